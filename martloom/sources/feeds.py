@@ -94,10 +94,19 @@ def nonempty(messages: DataFrame) -> DataFrame:
     return messages.filter(F.length("value") > 0)
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters reuse.
+
+    A filter on a projected column is pushed below the projection together with the column's whole expression, which
+    is then worked out twice. Filters on a generated column stay above it.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def parse(messages: DataFrame) -> DataFrame:
     """Add ``doc``, the message as a VARIANT; NULL unless the text is one JSON object."""
     is_object = F.btrim("value", F.lit(" \t\r\n")).startswith("{")
-    return messages.withColumn("doc", F.when(is_object, F.try_parse_json("value")))
+    return computed_once(messages, "doc", F.when(is_object, F.try_parse_json("value")))
 
 
 def with_reject_reason(parsed: DataFrame, required: tuple[str, ...] = (), items: bool = False) -> DataFrame:

@@ -16,6 +16,7 @@ from martloom.functions.vocabulary import (
     STATE_CODES,
 )
 from martloom.plans.goods import goods_info
+from martloom.sources.feeds import computed_once
 
 # Line items have no key; these columns order them completely (equal rows are exact copies).
 LINE_ORDER = ["l_linenumber", "l_suppkey", "subtotal", "quantity", "l_shipdate"]
@@ -195,7 +196,8 @@ def product_feed(spark: SparkSession, folder: str) -> DataFrame:
         F.lit('{"price":'), price, F.lit(',"is_variant":'), variant, F.lit(',"keywords":'), keywords, F.lit(","),
         F.substring(plain, 2, 1 << 30),
     )
-    return table(spark, folder, "part").select(_damaged(message, every(97, 5), every(50, 49)).alias("value"))
+    value = _damaged(message, every(97, 5), every(50, 49))
+    return computed_once(table(spark, folder, "part"), "value", value).select("value")
 
 
 def _damaged(message: Column, empty: Column, cut: Column) -> Column:
@@ -284,8 +286,6 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("logistics"),
         F.when(every(7, 2), "unknown").otherwise(placed).alias("created_at"),
     )
-    return (
-        _order_facts(spark, folder)
-        .join(gathered, "order_id", "left")
-        .select(_damaged(F.to_json(fields), every(37, 9), every(50, 49)).alias("value"))
-    )
+    facts = _order_facts(spark, folder).join(gathered, "order_id", "left")
+    value = _damaged(F.to_json(fields), every(37, 9), every(50, 49))
+    return computed_once(facts, "value", value).select("value")
