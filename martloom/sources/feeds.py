@@ -4,20 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martloom.functions import json_fields as J
 
 PRODUCT_TOPIC = "ods_products_data"
 ORDER_TOPIC = "ods_orders_data"
 
-PRODUCT_EVENT = T.StructType.fromDDL(
-    """product_id string, name string, brand string, category string, sub_category string, price decimal(38,10),
-    description string, image_url string, keywords array<string>, created_at string, is_variant boolean"""
-)
+PRODUCT_EVENT = """product_id string, name string, brand string, category string, sub_category string,
+    price decimal(38,10), description string, image_url string, keywords array<string>, created_at string,
+    is_variant boolean"""
 
-ORDER_EVENT = T.StructType.fromDDL(
-    """order_id string, order_status string,
+ORDER_EVENT = """order_id string, order_status string,
     items array<struct<product_id: string, product_name: string, brand: string, category: string,
         sub_category: string, original_price: decimal(38,10), price: decimal(38,10), quantity: int,
         sales_volume: int, subtotal: decimal(38,10)>>,
@@ -28,7 +25,6 @@ ORDER_EVENT = T.StructType.fromDDL(
     payment struct<method: string, amount: decimal(38,10), paid_at: string>,
     logistics struct<company: string, tracking_number: string, shipped_at: string, estimated_delivery: string>,
     created_at string, remark string"""
-)
 
 SEQ = "struct<batch: bigint, origin: string, position: bigint, row: bigint>"
 

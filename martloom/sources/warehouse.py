@@ -52,13 +52,13 @@ DAILY = (
     "dws_category_sales_1d",
     "dws_user_order_1d",
 )
-REJECTS = T.StructType.fromDDL("value string, reason string, load_time timestamp")
+REJECTS = "value string, reason string, load_time timestamp"
 
 
 def stored_schema(table: str) -> T.StructType:
     """Columns as stored: the table's own, its place in arrival order, and the day for tables split by day."""
     if table.startswith("rejected_"):
-        return REJECTS
+        return T.StructType.fromDDL(REJECTS)
     fields = [T.StructField(f.name, f.dataType) for f in TABLES[table].schema]
     if table in MERGED_ON_READ:
         seq = T.StructType.fromDDL(f"seq {SEQ}")[0].dataType
