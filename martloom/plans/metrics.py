@@ -15,9 +15,18 @@ REGION = ("province", "city", "district")
 
 
 def _with_share_and_rank(totals: DataFrame, dense: bool) -> DataFrame:
-    grand = totals.agg(F.sum("total_amount").alias("grand_total")).scalar()
-    shared = totals.withColumn("percentage", percent(F.col("total_amount"), grand))
-    return rank_by(shared, "total_amount", dense="dense_rank" if dense else None)
+    """Share of the grand total and rank. A shop has a short list of categories, so windows over all of them are small
+    and, unlike joining a total back, need the sales only once."""
+    everything = Window.partitionBy()
+    by_amount = everything.orderBy(F.desc("total_amount"))
+    grand = F.sum("total_amount").over(everything).cast(MONEY_SUM)
+    columns = {
+        "percentage": percent(F.col("total_amount"), grand),
+        "rank": F.rank().over(by_amount).cast("bigint"),
+    }
+    if dense:
+        columns["dense_rank"] = F.dense_rank().over(by_amount).cast("bigint")
+    return totals.withColumns(columns)
 
 
 def category_revenue(category_days: DataFrame, dense: bool = False) -> DataFrame:

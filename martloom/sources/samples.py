@@ -68,21 +68,35 @@ def goods(spark: SparkSession, folder: str) -> DataFrame:
 def items(spark: SparkSession, folder: str) -> DataFrame:
     """Clean item rows with the columns of ``LINE_ORDER``."""
     lines = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"
-    )
-    part = table(spark, folder, "part")
-    return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
+        "l_partkey",
+        F.col("l_quantity").cast("int").alias("quantity"),
+        _money("l_extendedprice").alias("subtotal"),
+        "l_linenumber",
+        "l_suppkey",
+        "l_shipdate",
+    )
+    part = table(spark, folder, "part").select(
+        "p_partkey",
+        F.col("p_partkey").cast("string").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_brand").alias("brand"),
         F.col("p_type").alias("category"),
         F.col("p_size").cast("string").alias("sub_category"),
-        _money("p_retailprice").alias("original_price"),
         _money("p_retailprice").alias("price"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_quantity").cast("int").alias("sales_volume"),
-        _money("l_extendedprice").alias("subtotal"),
+    )
+    return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        "order_id",
+        "product_id",
+        "product_name",
+        "brand",
+        "category",
+        "sub_category",
+        F.col("price").alias("original_price"),
+        "price",
+        "quantity",
+        F.col("quantity").alias("sales_volume"),
+        "subtotal",
         "l_linenumber",
         "l_suppkey",
         "l_shipdate",
