@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martloom.operators.order_join import splittable
+
 FIRST, LAST = "first_seq", "last_seq"
 
 
@@ -66,10 +68,10 @@ def append_groups(state: DataFrame | None, rows: DataFrame, group: str, seq: str
     """
     fresh = rows
     if state is not None:
-        fresh = fresh.join(state.select(group).distinct(), group, "left_anti")
+        fresh = fresh.join(splittable(state.select(group).distinct(), group), group, "left_anti")
     if seq is not None:
         first = rows.groupBy(group).agg(F.min(seq).alias("_first"))
-        fresh = fresh.join(first, group).filter(F.col(seq) == F.col("_first")).drop("_first")
+        fresh = fresh.join(splittable(first, group), group).filter(F.col(seq) == F.col("_first")).drop("_first")
     return fresh
 
 

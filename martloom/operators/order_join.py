@@ -44,6 +44,15 @@ def defaulted_orphans(joined: DataFrame, columns: list[str]) -> DataFrame:
     return joined.withColumns(filled)
 
 
+def splittable(df: DataFrame, key: str) -> DataFrame:
+    """An aggregate about to be joined back by its text key, re-keyed so that the join shuffles it once more.
+
+    An aggregate is already placed by its key and would go into the join as it is; the adaptive skew join can only
+    split the other side's hot keys when both sides come straight from a shuffle.
+    """
+    return df.withColumn(key, F.concat(F.col(key), F.lit("")))
+
+
 def with_product(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items with the product table's descriptive fields, or the item's own snapshot when the product is unknown.
 
@@ -52,7 +61,7 @@ def with_product(items: DataFrame, products: DataFrame) -> DataFrame:
     fields = {"product_name": "name", "brand": "brand", "category": "category", "sub_category": "sub_category"}
     known = products.select("product_id", *[F.col(src).alias(f"known_{dst}") for dst, src in fields.items()])
     return (
-        items.join(known, "product_id", "left")
+        items.join(splittable(known, "product_id"), "product_id", "left")
         .withColumns({dst: F.coalesce(F.col(f"known_{dst}"), F.col(dst)) for dst in fields})
         .drop(*[f"known_{dst}" for dst in fields])
     )

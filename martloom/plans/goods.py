@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.amounts import MONEY
 from martloom.functions.vocabulary import OPEN_END
+from martloom.operators.order_join import splittable
 from martloom.plans.detail import load_time
 
 DESCRIBED = [
@@ -32,7 +33,7 @@ def goods_info(products: DataFrame) -> DataFrame:
     """Current goods. Units sharing a name form one product line with a common price range.
 
     The range is a plain aggregate joined back, not a window, so a name shared by a third of all units is folded where
-    the rows lie and only the unit side of the join is skewed.
+    the rows lie and the hot unit side of the join can be split.
     """
     price = F.col("price")
     lines = products.groupBy("name").agg(F.min(price).alias("price_min"), F.max(price).alias("price_max"))
@@ -40,7 +41,7 @@ def goods_info(products: DataFrame) -> DataFrame:
     words = F.when(F.coalesce("keywords", F.lit("")) == "", F.array().cast("array<string>")).otherwise(
         F.split("keywords", ",")
     )
-    return products.join(lines, "name").select(
+    return products.join(splittable(lines, "name"), "name").select(
         F.col("product_id").alias("sku_id"),
         "product_id",
         F.col("name").alias("spu_name"),

@@ -15,6 +15,7 @@ from martloom.functions.vocabulary import (
     SHIPPED,
     STATE_CODES,
 )
+from martloom.operators.order_join import splittable
 from martloom.plans.goods import goods_info
 from martloom.sources.feeds import computed_once
 
@@ -245,7 +246,7 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
         "subtotal",
     )
     gathered = (
-        lines.join(large, "order_id", "left")
+        lines.join(splittable(large, "order_id"), "order_id", "left")
         .withColumn("_part", F.coalesce(spread, F.lit(0)))
         .groupBy("order_id", "_part")
         .agg(F.sort_array(F.collect_list(F.struct(*LINE_ORDER, item.alias("item")))).alias("_lines"))

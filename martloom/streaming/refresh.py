@@ -24,17 +24,19 @@ def refresh(
 ) -> int:
     """Recompute the summaries of the given days (all by default), then the metrics, and publish them together.
 
-    The wide table only gains rows unless ``overwrite_wide`` is set. Items and orders are joined once; the joined rows
-    are kept in the shared folder for the statements that read them.
+    The wide table only gains rows unless ``overwrite_wide`` is set. Orders are merged once and joined with their items
+    once; both results are kept in the shared folder for the statements that read them.
     """
     change = wh.begin(REFRESH)
     order_version = wh.head(ORDERS)["version"]
-    orders = wh.read("dwd_order", days)
+    orders, orders_stage = wh.stage(
+        wh.read("dwd_order", days).select("order_id", "created_at", *summary.WIDE_ORDER_COLUMNS), "orders"
+    )
     items = wh.read("dwd_order_item", days).drop(DAY)
     joined, stage = wh.stage(
         items_with_orders(
             items.select("order_id", "item_no", "product_id", *summary.WIDE_ITEM_COLUMNS),
-            orders.select("order_id", "created_at", *summary.WIDE_ORDER_COLUMNS),
+            orders,
             as_of,
         ),
         "item-orders",
@@ -46,12 +48,13 @@ def refresh(
         change.append("dws_order_wide", wide)
     change.replace("dws_product_sales_1d", summary.product_sales(joined), days)
     change.replace("dws_category_sales_1d", summary.category_sales(joined), days)
-    change.replace("dws_user_order_1d", summary.user_orders(items, orders.drop(DAY), as_of), days)
+    change.replace("dws_user_order_1d", summary.user_orders(items, orders, as_of), days)
 
     for table, rows in metric_tables(change.read, bounds).items():
         change.replace(table, rows)
     version = change.commit(order_version=order_version)
     wh.drop_stage(stage)
+    wh.drop_stage(orders_stage)
     return version
 
 
