@@ -61,6 +61,19 @@ class Layers:
     def orders(self) -> DataFrame:
         return samples.orders(self.spark, self.folder)
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        return samples.lines(self.spark, self.folder).drop("l_partkey")
+
+    @cached_property
+    def order_states(self) -> DataFrame:
+        return samples.order_states(self.spark, self.folder)
+
+    @cached_property
+    def item_days(self) -> DataFrame:
+        """Items with their order's state and day; no buyer."""
+        return items_with_orders(self.items, self.order_states)
+
     @cached_property
     def item_orders(self) -> DataFrame:
         return items_with_orders(self.items, self.orders)
@@ -77,15 +90,15 @@ class Layers:
 
     @cached_property
     def product_days(self) -> DataFrame:
-        return summary.product_sales(self.item_orders)
+        return summary.product_sales(self.item_days)
 
     @cached_property
     def category_days(self) -> DataFrame:
-        return summary.category_sales(self.item_orders)
+        return summary.category_sales(self.item_days)
 
     @cached_property
     def user_days(self) -> DataFrame:
-        return summary.user_orders(self.items, self.orders)
+        return summary.user_orders(self.lines, self.orders)
 
     # Metrics
 
@@ -246,7 +259,7 @@ def _upsert_product(x: Layers) -> DataFrame:
 
 def _upsert_order(x: Layers) -> DataFrame:
     """Every order arrives unpaid, and once more in its final state."""
-    final = x.orders.select("order_id", "payment_method", "order_amount", "order_status", "actual_amount")
+    final = x.order_states.select("order_id", "payment_method", "order_amount", "order_status", "actual_amount")
     first = final.withColumns(
         {
             "payment_method": F.lit(None).cast("string"),
@@ -263,19 +276,19 @@ def _upsert_order(x: Layers) -> DataFrame:
 def _append_items(x: Layers) -> DataFrame:
     """Items of finished orders are stored; then the items of all orders arrive."""
     columns = ["order_id", "product_id", "quantity", "subtotal"]
-    done = x.orders.filter(F.col("order_status").isin(V.COMPLETED, V.CANCELLED)).select("order_id")
-    state = x.items.join(done, "order_id", "left_semi").select(*columns)
-    added = append_groups(state, x.items.select(*columns), "order_id")
+    done = x.order_states.filter(F.col("order_status").isin(V.COMPLETED, V.CANCELLED)).select("order_id")
+    state = x.lines.join(done, "order_id", "left_semi").select(*columns)
+    added = append_groups(state, x.lines.select(*columns), "order_id")
     return state.withColumn("origin", F.lit("stored")).unionByName(added.withColumn("origin", F.lit("added")))
 
 
 def _upsert_metrics(x: Layers) -> DataFrame:
     """Summaries of finished orders are stored; then those of all orders since 1998 arrive."""
     finished = F.col("order_status").isin(V.COMPLETED, V.CANCELLED)
-    state = summary.product_sales(x.item_orders.filter(finished)).withColumn(
+    state = summary.product_sales(x.item_days.filter(finished)).withColumn(
         "product_name", F.concat(F.lit("stored "), F.col("product_name"))
     )
-    new = summary.product_sales(x.item_orders.filter(F.col("dt") >= F.lit("1998-01-01").cast("date")))
+    new = summary.product_sales(x.item_days.filter(F.col("dt") >= F.lit("1998-01-01").cast("date")))
     spec = TABLES["dws_product_sales_1d"]
     return upsert_metrics(state, new, spec.key, spec.frozen, spec.live)
 
@@ -284,7 +297,7 @@ def _upsert_metrics(x: Layers) -> DataFrame:
 
 
 def _join_item_order(x: Layers) -> DataFrame:
-    return x.item_orders.select(
+    return items_with_orders(x.lines, x.orders).select(
         "order_id", "product_id", "quantity", "subtotal", "order_status", "buyer_phone", "actual_amount", "dt"
     )
 
@@ -298,7 +311,7 @@ def _join_product(x: Layers) -> DataFrame:
 
 def _orphans(x: Layers) -> DataFrame:
     arrived = x.orders.filter(F.col("order_status") != V.SHIPPED)
-    joined = items_with_orders(x.items, arrived, AS_OF)
+    joined = items_with_orders(x.lines, arrived, AS_OF)
     columns = ["order_status", "buyer_phone", "province", "order_amount", "actual_amount"]
     return defaulted_orphans(joined, columns).select("order_id", "product_id", "subtotal", *columns, "dt")
 
@@ -358,12 +371,12 @@ _BUILDS: dict[str, Callable[[Layers], DataFrame]] = {
     "dws_product_sales_1d": lambda x: x.product_days,
     "dws_category_sales_1d": lambda x: x.category_days,
     "dws_user_order_1d": lambda x: x.user_days,
-    "dws_user_order_1d_order_grain": lambda x: summary.user_orders(x.items, x.orders, order_grain=True),
+    "dws_user_order_1d_order_grain": lambda x: summary.user_orders(x.lines, x.orders, order_grain=True),
     "ads_category_revenue": lambda x: x.revenue,
     "ads_category_revenue_exact": lambda x: metrics.category_revenue_exact(x.items),
     "ads_category_revenue_dense": lambda x: metrics.category_revenue(x.category_days, dense=True),
     "ads_daily_sales_trend": lambda x: x.trend,
-    "ads_daily_sales_trend_exact": lambda x: metrics.daily_trend_exact(x.item_orders),
+    "ads_daily_sales_trend_exact": lambda x: metrics.daily_trend_exact(items_with_orders(x.lines, x.order_states)),
     "ads_daily_trend_change": lambda x: metrics.daily_trend_change(x.trend),
     "ads_user_value": lambda x: x.users,
     "ads_product_ranking": lambda x: x.ranking,
@@ -394,14 +407,14 @@ _BUILDS: dict[str, Callable[[Layers], DataFrame]] = {
         "buyer_phone", "recency_days", "order_frequency", "total_monetary"
     ),
     "v_home_top5": lambda x: page_views.home_top(x.revenue, x.ranking),
-    "dq_wide_vs_items": lambda x: quality.wide_vs_items(x.wide, x.items),
+    "dq_wide_vs_items": lambda x: quality.wide_vs_items(x.wide, x.lines),
     "dq_ratios": lambda x: quality.ratios(x.product_days, x.trend),
     "dq_share_rank": lambda x: quality.share_and_rank(x.revenue),
     "dq_tiers": lambda x: quality.tiers(x.users, samples.SAMPLE_TIERS),
     "dq_required_fields": lambda x: quality.required_fields(x.wide, REQUIRED),
     "dq_region_rollup": lambda x: quality.region_rollup(x.regions),
-    "dq_sku_count": lambda x: quality.sku_count(x.category_days, x.item_orders),
-    "dq_user_trace": lambda x: quality.user_trace(x.user_days, x.items, x.orders),
+    "dq_sku_count": lambda x: quality.sku_count(x.category_days, x.item_days),
+    "dq_user_trace": lambda x: quality.user_trace(x.user_days, x.lines, x.orders),
     "dim_goods_info": lambda x: x.goods.withColumn("keywords", F.array_join("keywords", ",")),
     "event_daily_windows": lambda x: event_windows.daily_windows(_events(x), ["event_type"], "value"),
     "event_without_repeats": _repeated_events,

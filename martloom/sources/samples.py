@@ -66,27 +66,31 @@ def goods(spark: SparkSession, folder: str) -> DataFrame:
     return current.withColumn("is_active", F.when(withdrawn, 0).otherwise(1))
 
 
-def items(spark: SparkSession, folder: str) -> DataFrame:
-    """Clean item rows with the columns of ``LINE_ORDER``."""
-    lines = table(spark, folder, "lineitem").select(
+def lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Item rows without the product's own fields, for results that need none of them."""
+    return table(spark, folder, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("order_id"),
-        "l_partkey",
+        F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         _money("l_extendedprice").alias("subtotal"),
+        "l_partkey",
         "l_linenumber",
         "l_suppkey",
         "l_shipdate",
     )
+
+
+def items(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean item rows with the columns of ``LINE_ORDER``."""
     part = table(spark, folder, "part").select(
         "p_partkey",
-        F.col("p_partkey").cast("string").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_brand").alias("brand"),
         F.col("p_type").alias("category"),
         F.col("p_size").cast("string").alias("sub_category"),
         _money("p_retailprice").alias("price"),
     )
-    return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+    return lines(spark, folder).join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         "order_id",
         "product_id",
         "product_name",
@@ -117,39 +121,65 @@ def _state() -> Column:
 
 def _order_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Order rows with their buyer's name and region, nothing cleaned or blanked yet."""
-    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     places = (
         table(spark, folder, "nation")
         .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", "n_name", "r_name")
+        .select("n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("province"))
     )
-    return (
-        table(spark, folder, "orders")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    buyers = (
+        table(spark, folder, "customer")
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
-            "o_orderkey",
-            F.col("o_orderkey").cast("string").alias("order_id"),
+            "c_custkey",
             F.col("c_name").alias("buyer_name"),
             F.col("c_custkey").cast("string").alias("buyer_phone"),
             F.concat("c_custkey", F.lit("@example.com")).alias("buyer_email"),
-            F.col("r_name").alias("province"),
-            F.col("n_name").alias("city"),
+            "province",
+            "city",
             F.col("c_mktsegment").alias("district"),
-            _state().alias("order_status"),
-            F.col("o_orderpriority").alias("payment_method"),
-            _money("o_totalprice").alias("order_amount"),
-            F.col("o_orderdate").cast("timestamp").alias("created_at"),
         )
     )
+    return _bare_orders(spark, folder).join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+
+
+def _bare_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        _state().alias("order_status"),
+        F.col("o_orderpriority").alias("payment_method"),
+        _money("o_totalprice").alias("order_amount"),
+        F.col("o_orderdate").cast("timestamp").alias("created_at"),
+    )
+
+
+def order_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Order headers without their buyer, for results that need none."""
+    return _with_amounts(_bare_orders(spark, folder)).select(
+        "order_id", "order_status", "payment_method", "order_amount", "actual_amount", "created_at"
+    )
+
+
+def _with_amounts(facts: DataFrame) -> DataFrame:
+    """Blank what a cancelled order does not have."""
+    cancelled = F.col("order_status") == CANCELLED
+    return facts.withColumns(
+        {
+            "payment_method": F.when(~cancelled, F.col("payment_method")),
+            "payment_amount": F.when(~cancelled, F.col("order_amount")),
+            "payment_time": F.when(~cancelled, F.col("created_at") + F.expr("INTERVAL 1 HOUR")),
+            "discount": F.lit(0).cast(MONEY),
+            "actual_amount": F.when(cancelled, F.lit(0).cast(MONEY)).otherwise(F.col("order_amount")),
+        }
+    )
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Clean order headers; the item count is left to the feed."""
-    cancelled = F.col("order_status") == CANCELLED
     sent = F.col("order_status").isin(*DISPATCHED_STATES)
     placed = F.col("created_at")
-    return _order_facts(spark, folder).select(
+    return _with_amounts(_order_facts(spark, folder)).select(
         "order_id",
         "buyer_name",
         "buyer_phone",
@@ -158,16 +188,16 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         "city",
         "district",
         "order_status",
-        F.when(~cancelled, F.col("payment_method")).alias("payment_method"),
-        F.when(~cancelled, F.col("order_amount")).alias("payment_amount"),
-        F.when(~cancelled, placed + F.expr("INTERVAL 1 HOUR")).alias("payment_time"),
+        "payment_method",
+        "payment_amount",
+        "payment_time",
         F.when(sent, F.concat(F.lit("Carrier "), F.col("province"))).alias("logistics_company"),
         F.when(sent, F.concat(F.lit("T"), F.col("order_id"))).alias("tracking_number"),
         F.when(sent, placed + F.expr("INTERVAL 1 DAY")).alias("shipped_at"),
         F.when(sent, F.date_add(F.to_date(placed), 4)).alias("estimated_delivery"),
         "order_amount",
-        F.lit(0).cast(MONEY).alias("discount"),
-        F.when(cancelled, F.lit(0).cast(MONEY)).otherwise(F.col("order_amount")).alias("actual_amount"),
+        "discount",
+        "actual_amount",
         "created_at",
     )
 
@@ -226,8 +256,8 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
 
     Items of an order are gathered into one text, so an order above ``ITEMS_PER_MESSAGE`` is cut into parts first.
     """
-    lines = items(spark, folder)
-    sizes = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
+    rows = items(spark, folder)
+    sizes = lines(spark, folder).groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
     large = sizes.filter(F.col("_n") > ITEMS_PER_MESSAGE).select(
         "order_id", F.ceil(F.col("_n") / ITEMS_PER_MESSAGE).alias("_parts")
     )
@@ -246,7 +276,7 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
         "subtotal",
     )
     gathered = (
-        lines.join(splittable(large, "order_id"), "order_id", "left")
+        rows.join(splittable(large, "order_id"), "order_id", "left")
         .withColumn("_part", F.coalesce(spread, F.lit(0)))
         .groupBy("order_id", "_part")
         .agg(F.sort_array(F.collect_list(F.struct(*LINE_ORDER, item.alias("item")))).alias("_lines"))

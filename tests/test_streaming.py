@@ -41,6 +41,18 @@ FILES = [
 ]
 
 
+@pytest.fixture(autouse=True)
+def interpreted(spark):
+    """A handful of rows is done sooner than its code is compiled."""
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.shuffle.partitions": "2"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
 @pytest.fixture
 def folder(tmp_path):
     feed = tmp_path / "feed"
@@ -56,10 +68,10 @@ def write(feed, n, lines):
     time.sleep(0.02)
 
 
-def run(wh, folder, checkpoint="cp", defaults=None, after=None, feed="feed"):
+def run(wh, folder, checkpoint="cp", defaults=None, after=None, feed="feed", per_batch=None):
     options = {"defaults": defaults} if defaults else {}
     ingest.start(
-        wh, feeds.file_feed(wh.spark, str(folder / feed), 1), ingest.ingest_orders, str(folder / checkpoint),
+        wh, feeds.file_feed(wh.spark, str(folder / feed), per_batch), ingest.ingest_orders, str(folder / checkpoint),
         clock=lambda: NOW, after=after, **options,
     ).awaitTermination()
 
@@ -71,9 +83,14 @@ def content(wh, table, drop=()):
 
 def test_stream_equals_batch_and_replay_changes_nothing(spark, folder):
     streamed, whole = Warehouse(spark, str(folder / "streamed")), Warehouse(spark, str(folder / "whole"))
-    run(streamed, folder, after=lambda _: refresh.refresh_touched(streamed, NOW, overwrite_wide=True))
+
+    def every_other(version):
+        if version % 2 == 0:
+            refresh.refresh_touched(streamed, NOW, overwrite_wide=True)
+
+    run(streamed, folder, after=every_other, per_batch=1)
     assert streamed.head(ORDERS)["version"] == len(FILES)
-    assert streamed.head(REFRESH)["version"] == len(FILES)
+    assert streamed.head(REFRESH)["version"] == len(FILES) // 2
 
     ingest.ingest_orders(whole, feeds.file_messages(spark, str(folder / "feed")), NOW)
     refresh.refresh(whole, NOW)
@@ -101,12 +118,12 @@ def test_restart_resumes_and_committed_batches_are_skipped(spark, folder):
     run(wh, folder)
     write(folder / "feed", 9, [message("9", day=3)])
     run(wh, folder)
-    assert wh.head(ORDERS)["version"] == len(FILES) + 1
+    assert wh.head(ORDERS)["version"] == 2
     assert wh.read("dwd_order").count() == 6
     again = ingest.ingest_orders(
         wh, feeds.file_messages(spark, str(folder / "feed")), NOW, source=str(folder / "cp"), batch_id=0
     )
-    assert again is None and wh.head(ORDERS)["version"] == len(FILES) + 1
+    assert again is None and wh.head(ORDERS)["version"] == 2
 
 
 def test_failed_attempt_leaves_nothing_visible(spark, folder):
@@ -127,17 +144,20 @@ def test_live_preset_keeps_empty_orders_and_takes_their_later_items(spark, folde
     write(folder / "live", 0, [message("7", items=())])
     write(folder / "live", 1, [message("7", items=("a",)), message("7", items=("b",))])
     wh = Warehouse(spark, str(folder / "wh"))
-    run(wh, folder, defaults=LIVE, feed="live")
+    run(wh, folder, defaults=LIVE, feed="live", per_batch=1)
     assert wh.read("dwd_order").first().item_count == 0
     assert [r.product_id for r in wh.read("dwd_order_item").collect()] == ["a"]
 
 
 def test_wide_rows_stay_stale_unless_overwritten(spark, folder):
     wh = Warehouse(spark, str(folder / "wh"))
-    run(wh, folder, after=lambda _: refresh.refresh_touched(wh, NOW))
+    run(wh, folder, after=lambda v: refresh.refresh_touched(wh, NOW) if v in (1, 2) else None, per_batch=1)
     states = {r.order_id: r.order_status for r in wh.read("dws_order_wide").collect()}
     assert (states["1"], states["2"], states["3"]) == ("已付款", "已付款", "已付款")
     assert wh.read("dws_order_wide").filter("order_id = '3'").count() == 1
+    refresh.refresh(wh, NOW)
+    states = {r.order_id: r.order_status for r in wh.read("dws_order_wide").collect()}
+    assert (states["1"], states["2"], states["3"], states["5"]) == ("已付款",) * 4
     refresh.refresh(wh, NOW, overwrite_wide=True)
     states = {r.order_id: r.order_status for r in wh.read("dws_order_wide").collect()}
     assert (states["1"], states["2"], states["3"]) == ("已完成", "已取消", "已发货")
