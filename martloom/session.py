@@ -36,6 +36,8 @@ def local_session(cores: str = "8", name: str = "martloom", memory: str = "8g")
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
+        # One-file sample tables are read by one task; a join that shuffles puts the other cores to work.
+        .config("spark.sql.autoBroadcastJoinThreshold", "512KB")
         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "8")
         .getOrCreate()
     )
