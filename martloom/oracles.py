@@ -74,6 +74,8 @@ _VIEWS = {
  order_amount, CAST(0 AS DECIMAL(15,2)) discount,
  CASE WHEN order_status='已取消' THEN CAST(0 AS DECIMAL(15,2)) ELSE order_amount END actual_amount, created_at
  FROM order_fact""",
+    "order_message": """SELECT f.k, f.order_id, CASE WHEN n>1000 THEN CAST(CEIL(n/1000.0) AS BIGINT) ELSE 1 END messages
+ FROM order_fact f LEFT JOIN (SELECT order_id oid, COUNT(*) n FROM item GROUP BY order_id) c ON f.order_id=c.oid""",
     "order_doc": f"""SELECT f.*, CASE WHEN k%31=8 THEN '待付款' ELSE order_status END state,
  CASE WHEN k%29=6 THEN 0 ELSE COALESCE(n,0) END item_count, k%11<>5 has_address, k%19<>1 has_payment,
  CAST(CASE WHEN k%10=4 THEN order_amount+CAST(0.01 AS DECIMAL(3,2)) ELSE order_amount END AS DECIMAL(15,2)) amount,
@@ -97,8 +99,7 @@ _VIEWS = {
  amount AS order_amount, CAST(0 AS DECIMAL(15,2)) discount,
  CASE WHEN state='已取消' THEN CAST(0 AS DECIMAL(15,2)) ELSE order_amount END actual_amount,
  CAST(item_count AS INTEGER) item_count, placed AS created_at, CAST(NULL AS VARCHAR) remark FROM order_doc""",
-    "item_doc": """SELECT i.order_id, CAST(ROW_NUMBER() OVER (PARTITION BY i.order_id ORDER BY l_linenumber, l_suppkey,
- subtotal, quantity, l_shipdate, product_id) AS INTEGER) item_no, product_id, product_name, brand, category,
+    "item_doc": """SELECT i.order_id, product_id, product_name, brand, category,
  sub_category, price AS original_price, price, quantity, subtotal, o.k FROM item i
  JOIN order_doc o ON i.order_id=o.order_id WHERE o.k%29<>6""",
     "item_order": """SELECT i.*, o.buyer_name, o.buyer_phone, o.buyer_email, o.province, o.city, o.district,
@@ -189,7 +190,7 @@ _REPORT_PRICE = half_up("subtotal", "quantity")
 
 _BODIES = {
     "ods_nonempty": """SELECT 'products' AS feed, COUNT(*) AS messages FROM part WHERE p_partkey%97<>5
- UNION ALL SELECT 'orders', COUNT(*) FROM order_fact WHERE k%37<>9""",
+ UNION ALL SELECT 'orders', CAST(SUM(messages) AS BIGINT) FROM order_message WHERE k%37<>9""",
     "ods_order_decode": """SELECT o.order_id,
  CASE WHEN k%31=8 THEN '' WHEN k%3<>0 THEN order_status ELSE CASE order_status WHEN '待付款' THEN 'pending'
   WHEN '已付款' THEN 'paid' WHEN '已发货' THEN 'shipped' WHEN '已完成' THEN 'completed' ELSE 'cancelled' END END
@@ -206,18 +207,18 @@ _BODIES = {
     "ods_product_decode": """SELECT product_id, COALESCE(name,'') AS name, CAST(sub_category AS INTEGER) AS sub_category,
  CASE WHEN k%3=1 THEN 'STRING' ELSE 'BOOLEAN' END AS is_variant_type,
  CASE WHEN k%5=0 THEN NULL ELSE brand END AS first_keyword, created_text AS created_at FROM product_doc""",
-    "ods_dead_letter": """SELECT feed, reason, COUNT(*) AS messages FROM (
- SELECT 'products' AS feed, CASE WHEN k%50=49 THEN 'malformed_json' WHEN k%13=0 THEN 'missing_name'
+    "ods_dead_letter": """SELECT feed, reason, CAST(SUM(messages) AS BIGINT) AS messages FROM (
+ SELECT 1 AS messages, 'products' AS feed, CASE WHEN k%50=49 THEN 'malformed_json' WHEN k%13=0 THEN 'missing_name'
   WHEN k%17=1 THEN 'missing_category' END AS reason FROM product_all WHERE k%97<>5
- UNION ALL SELECT 'orders', CASE WHEN f.k%50=49 THEN 'malformed_json' WHEN item_count=0 THEN 'no_items' END
- FROM order_fact f LEFT JOIN order_doc d ON f.order_id=d.order_id WHERE f.k%37<>9) t
+ UNION ALL SELECT messages, 'orders', CASE WHEN f.k%50=49 THEN 'malformed_json' WHEN item_count=0 THEN 'no_items' END
+ FROM order_message f LEFT JOIN order_doc d ON f.order_id=d.order_id WHERE f.k%37<>9) t
  WHERE reason IS NOT NULL GROUP BY feed, reason""",
     "clean_strings": """SELECT product_id, COALESCE(name,'?') AS name_live, COALESCE(name,'未知商品') AS name_documented,
  COALESCE(category,'') AS category_live, COALESCE(category,'其他') AS category_documented, sub_category,
  'none' AS description FROM product_doc""",
     "clean_money": """SELECT product_id, price_live AS price,
  COALESCE(price_given, CAST(0 AS DECIMAL(15,2))) AS price_from_text FROM product_doc""",
-    "clean_ints": """SELECT order_id, item_no, CASE WHEN k%23=4 THEN 1 ELSE quantity END AS quantity, 1 AS sales_volume
+    "clean_ints": """SELECT order_id, product_id, CASE WHEN k%23=4 THEN 1 ELSE quantity END AS quantity, 1 AS sales_volume
  FROM item_doc""",
     "clean_flags": "SELECT product_id, is_variant FROM product_doc",
     "clean_keywords": "SELECT product_id, keywords FROM product_doc",
@@ -234,10 +235,10 @@ _BODIES = {
  sub_category, price_live AS price, '' AS description, '' AS image_url, keywords, created_live AS created_at,
  is_variant, FALSE AS is_abnormal FROM product_doc""",
     "dwd_order": "SELECT * FROM order_live",
-    "dwd_order_item": """SELECT order_id, item_no, product_id, product_name, brand, category, sub_category,
+    "dwd_order_item": """SELECT order_id, product_id, product_name, brand, category, sub_category,
  original_price, price, CASE WHEN k%23=4 THEN 1 ELSE quantity END AS quantity, 1 AS sales_volume, subtotal
  FROM item_doc""",
-    "dwd_order_item_documented": """SELECT order_id, item_no, product_id, product_name, brand, category, sub_category,
+    "dwd_order_item_documented": """SELECT order_id, product_id, product_name, brand, category, sub_category,
  original_price, price, CASE WHEN k%23=4 THEN 1 ELSE quantity END AS quantity,
  CASE WHEN k%23=4 THEN quantity ELSE 1 END AS sales_volume, subtotal FROM item_doc""",
     "dwd_order_nonempty": "SELECT order_id, order_status, item_count FROM order_live WHERE item_count>0",

@@ -130,6 +130,16 @@ def _query(build: Callable[[Layers], DataFrame]) -> Query:
 # Feeds and decoding
 
 
+def _by_order(rows: DataFrame, *added: str) -> DataFrame:
+    """A large order comes in several messages, whose rows differ at most in the ``added`` columns."""
+    names = rows.columns
+    types = {f.name: f.dataType for f in rows.schema}
+    same = [c for c in names if c not in added]
+    if not added:
+        return rows.distinct()
+    return rows.groupBy(*same).agg(*[F.sum(c).cast(types[c]).alias(c) for c in added]).select(*names)
+
+
 def _nonempty(x: Layers) -> DataFrame:
     def counted(name: str, messages: DataFrame) -> DataFrame:
         return messages.agg(F.lit(name).alias("feed"), F.count(F.lit(1)).alias("messages"))
@@ -139,7 +149,7 @@ def _nonempty(x: Layers) -> DataFrame:
 
 def _order_decode(x: Layers) -> DataFrame:
     events = feeds.decode_orders(x.order_docs)
-    return events.select(
+    decoded = events.select(
         "order_id",
         "order_status",
         F.array_size("items").alias("items"),
@@ -154,6 +164,7 @@ def _order_decode(x: Layers) -> DataFrame:
         F.col("logistics.tracking_number").alias("tracking_number"),
         "created_at",
     )
+    return _by_order(decoded, "items", "subtotal")
 
 
 def _product_decode(x: Layers) -> DataFrame:
@@ -191,7 +202,8 @@ def _orders(x: Layers, preset: V.Defaults = V.LIVE) -> DataFrame:
 
 
 def _items(x: Layers, preset: V.Defaults) -> DataFrame:
-    return detail.item_rows(x.order_docs, AS_OF, preset).drop("load_time")
+    """Item rows; their number within the message is left out, as a large order's messages each count from 1."""
+    return detail.item_rows(x.order_docs, AS_OF, preset).drop("load_time", "item_no")
 
 
 def _clean_strings(x: Layers) -> DataFrame:
@@ -217,7 +229,7 @@ def _clean_money(x: Layers) -> DataFrame:
 
 
 def _clean_ints(x: Layers) -> DataFrame:
-    return _items(x, V.LIVE).select("order_id", "item_no", "quantity", "sales_volume")
+    return _items(x, V.LIVE).select("order_id", "product_id", "quantity", "sales_volume")
 
 
 def _clean_timestamps(x: Layers) -> DataFrame:
@@ -231,14 +243,16 @@ def _clean_timestamps(x: Layers) -> DataFrame:
 
 def _order_state(x: Layers) -> DataFrame:
     d = F.col("doc")
-    return x.order_docs.select(
+    states = x.order_docs.select(
         J.text(d, "order_id").alias("order_id"), V.order_state(J.raw_text(d, "order_status")).alias("order_state")
     )
+    return _by_order(states)
 
 
 def _nonempty_orders(x: Layers) -> DataFrame:
     judged = feeds.with_reject_reason(feeds.parse(x.order_messages), items=True)
-    return detail.order_rows(feeds.accepted(judged), AS_OF).select("order_id", "order_status", "item_count")
+    kept = detail.order_rows(feeds.accepted(judged), AS_OF).select("order_id", "order_status", "item_count")
+    return _by_order(kept, "item_count")
 
 
 # Keyed writes. Stored states and later batches are cut from the tables along a date or state column.
@@ -325,6 +339,14 @@ def _repeated_events(x: Layers) -> DataFrame:
     return event_windows.without_repeats(events.unionByName(events), ["event_id"])
 
 
+FLAT_COLUMNS = [
+    "order_id", "buyer_name", "buyer_phone", "buyer_email", "province", "city", "district", "address_detail",
+    "postal_code", "recipient_name", "recipient_phone",
+]
+STATE_COLUMNS = [
+    "order_id", "order_status", "payment_method", "payment_amount", "payment_time", "logistics_company",
+    "tracking_number", "shipped_at", "estimated_delivery", "actual_amount",
+]
 REQUIRED = ["buyer_name", "province", "city", "category", "payment_method", "logistics_company"]
 
 _BUILDS: dict[str, Callable[[Layers], DataFrame]] = {
@@ -344,19 +366,13 @@ _BUILDS: dict[str, Callable[[Layers], DataFrame]] = {
     ),
     "clean_timestamps": _clean_timestamps,
     "clean_price_repair": lambda x: _products(x, V.DOCUMENTED).select("product_id", "price", "is_abnormal"),
-    "order_flatten": lambda x: _orders(x).select(
-        "order_id", "buyer_name", "buyer_phone", "buyer_email", "province", "city", "district", "address_detail",
-        "postal_code", "recipient_name", "recipient_phone",
-    ),
-    "order_status_rules": lambda x: _orders(x).select(
-        "order_id", "order_status", "payment_method", "payment_amount", "payment_time", "logistics_company",
-        "tracking_number", "shipped_at", "estimated_delivery", "actual_amount",
-    ),
-    "order_item_count": lambda x: _orders(x).select("order_id", "item_count"),
+    "order_flatten": lambda x: _by_order(_orders(x).select(*FLAT_COLUMNS)),
+    "order_status_rules": lambda x: _by_order(_orders(x).select(*STATE_COLUMNS)),
+    "order_item_count": lambda x: _by_order(_orders(x).select("order_id", "item_count"), "item_count"),
     "order_status_map": _order_state,
     "dwd_product": lambda x: _products(x, V.DOCUMENTED),
     "dwd_product_live": lambda x: _products(x, V.LIVE),
-    "dwd_order": _orders,
+    "dwd_order": lambda x: _by_order(_orders(x), "item_count"),
     "dwd_order_item": lambda x: _items(x, V.LIVE),
     "dwd_order_item_documented": lambda x: _items(x, V.DOCUMENTED),
     "dwd_order_nonempty": _nonempty_orders,
