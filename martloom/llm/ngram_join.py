@@ -35,7 +35,7 @@ SEND_GRAMS = 1 << 20
 #: 64-bit words of a class's bitmap.
 BITMAP_WORDS = 8
 #: Further rounds of comparing with one class of each n-gram, as long as a round still joins this part of the rest.
-WORTHWHILE = 0.05
+WORTHWHILE = 0.01
 
 _SENT = "fragment int, k1 binary, k2 binary, n binary, sizes binary, grams binary, m_id binary, m_k1 binary, m_k2 binary, m_n binary"
 _COUNTED = "bucket int, k1 binary, k2 binary, n binary, sizes binary, grams binary, seen binary, m_id binary, m_k1 binary, m_k2 binary, m_n binary"
@@ -220,12 +220,15 @@ def _links_by_rounds(reps: DataFrame, percent: int) -> DataFrame:
     roots, turn = None, 0
     while True:
         if roots is None:
-            labelled = postings.withColumn("comp", F.col("rep"))
+            labelled = postings.withColumn("comp", F.col("rep")).withColumn("linked", F.lit(False))
         else:
             to = roots.withColumnRenamed("node", "rep").withColumnRenamed("root", "comp")
-            labelled = postings.join(to, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+            labelled = postings.join(to, "rep", "left").withColumn("linked", F.col("comp").isNotNull()).withColumn("comp", F.coalesce("comp", "rep"))
         labelled = written(labelled, "postings")
-        hubs = labelled.groupBy("gram").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("key"), *info)).alias("hub"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+        # The hub has few n-grams of its own, as the original of a group of edited copies has; later it is a class that
+        # no earlier hub has linked.
+        central = F.struct("linked", F.col("own").alias("few"), F.xxhash64("rep", F.lit(turn)).alias("key"), *info)
+        hubs = labelled.groupBy("gram").agg(F.min(central).alias("hub"), F.min("comp").alias("low"), F.max("comp").alias("high"))
         hubs = written(hubs.where("low < high").select("gram", *[F.col(f"hub.{c}").alias(f"h_{c}") for c in info]), "hubs")
         open_lists = labelled.join(hubs.select("gram"), "gram", "left_semi")
         pairs = labelled.join(hubs, "gram").where((F.col("comp") != F.col("h_comp")) & _near_enough("", "h_", percent))
