@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martloom.llm import ngram_join
+from martloom.llm import decontaminate, ngram_join, token_records, topk_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +16,30 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op6_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """Queries are the rows whose id is divisible by 20, against all rows."""
+    vectors = topk_search.whole_numbers(_table(spark, folder, "embeddings"))
+    return topk_search.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+def op8_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_records.token_table(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Four-word shingles, Jaccard similarity of 85 in 100 or more."""
     return ngram_join.near_duplicates(_table(spark, folder, "documents"), size=4, percent=85)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op9_ngram_jaccard_join,)}
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    rows = decontaminate.judged(decontaminate.contamination(docs, _table(spark, folder, "benchmark")))
+    names = F.sha2(F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ","), 256)
+    return rows.select("doc_id", "n_words", "n_hit", "n_items", names.alias("items_sha256"), "contaminated")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_exact_topk, op8_token_records, op9_ngram_jaccard_join, op10_benchmark_decontamination)}
 
 ORACLES: dict[str, str] = {}
