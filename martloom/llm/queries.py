@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, ngram_join, token_records, topk_search
+from martloom.llm import decontaminate, mixing, ngram_join, sharding, token_records, topk_search, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,24 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sharding.sharded(_table(spark, folder, "documents"))
+    return rows.select("doc_id", "shard", "shard_bytes", "shard_rows")
+
+
+def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"))
+
+
+#: Rules of the filter over pages: host, path, verdict.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url")
+    return url_filter.judged(pages, url_filter.rule_table(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     """Queries are the rows whose id is divisible by 20, against all rows."""
     vectors = topk_search.whole_numbers(_table(spark, folder, "embeddings"))
@@ -40,6 +58,25 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return rows.select("doc_id", "n_words", "n_hit", "n_items", names.alias("items_sha256"), "contaminated")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op6_exact_topk, op8_token_records, op9_ngram_jaccard_join, op10_benchmark_decontamination)}
-
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_extendible_sharding, op4_source_mixing, op5_url_filter, op6_exact_topk, op8_token_records, op9_ngram_jaccard_join, op10_benchmark_decontamination)}
+
+ORACLES: dict[str, str] = {
+    "op5_url_filter": f"""
+        WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+        rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+        parts AS (SELECT page_id, row_number() OVER () AS row_no,
+                translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+        best AS (SELECT row_no, rule_host || rule_path AS rule, rule_verdict FROM parts JOIN rules
+            ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+            QUALIFY row_number() OVER (PARTITION BY row_no ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) = 1)
+        SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (row_no)""",
+    "op6_exact_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id,
+                list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20""",
+}
