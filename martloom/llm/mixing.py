@@ -1,7 +1,7 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
 Every source's documents lie in blocks by a keyed hash, about equal in words. A source's target is met by whole blocks, once or twice
-through the source, and by the first documents of one more block. The numbers of blocks drawn are exact quotas; a tree
+through the source, and by documents of one more block, taken in order as long as they fit. The numbers of blocks drawn are exact quotas; a tree
 over the output shards halves them again and again, each time by a multivariate-hypergeometric draw, so every shard's
 share of every source is random and all blocks are used once. A shard's blocks are a stretch of the source's permuted
 blocks, and its rows are shuffled by hash within it.
@@ -99,7 +99,7 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int = SEED) -> DataFram
 
 
 def _draws(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int, shards: int, block_words: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """(docs with src, size, key and block; per src and block: target, source size, shards of each pass, last key of a part)."""
+    """(docs with src, size, key and block; per src and block: target, source size, shards of each pass, keys of a part)."""
     key = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 1)
     sized = docs.withColumn("src", _source_key("source")).withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")).withColumn("key", key)
     light = written(sized.select("source", "src", "size", "key"), "sizes")
@@ -121,12 +121,14 @@ def _draws(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int
     blocks = written(blocks.select("src", "block", "words", "target", "source_size", "n_blocks", "passes", room.alias("room")), "blocks")
     split = blocks.where("room > 0 and words > room").select("src", "block", "room", "n_blocks")
     inside = light.where("size > 0").join(split, "src").where(block == F.col("block")).groupBy("src", "room", "key").agg(F.sum("size").alias("size"))
-    upto = F.sum("size").over(Window.partitionBy("src").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
-    last = inside.withColumn("upto", upto).where("upto <= room").groupBy("src").agg(F.max("key").alias("last_key"))
-    last = written(split.join(last, "src").select("src", "block", "last_key"), "last-keys")
-    blocks = blocks.join(last, ["src", "block"], "left")
+    listed = inside.groupBy("src", "room").agg(F.array_sort(F.collect_list(F.struct("key", "size"))).alias("rows"))
+    fill = """aggregate(rows, named_struct('left', cast(room as double), 'keys', cast(array() as array<bigint>)),
+        (a, x) -> IF(x.size <= a.left, named_struct('left', a.left - x.size, 'keys', concat(a.keys, array(x.key))), a), a -> a.keys)"""
+    chosen = listed.select("src", F.expr(fill).alias("chosen")).where(F.size("chosen") > 0)
+    chosen = written(split.join(chosen, "src").select("src", "block", "chosen"), "chosen")
+    blocks = blocks.join(chosen, ["src", "block"], "left")
     whole = (F.col("room") > 0) & (F.col("words") <= F.col("room"))
-    partly = whole | F.col("last_key").isNotNull()
+    partly = whole | F.col("chosen").isNotNull()
     # Draws of a source: all blocks for each whole pass, then those of the part; numbered, then permuted.
     turns = F.when(partly, F.col("passes")).otherwise(F.col("passes") - 1)
     drawn = blocks.where(turns >= 0).select("src", "block", F.explode(F.sequence(F.lit(0).cast("long"), turns)).alias("turn"))
@@ -141,7 +143,7 @@ def _draws(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int
     numbered = numbered.join(counts, ["src", "group"]).withColumn("number", number).join(quota, "src")
     place = F.pmod(F.col("number") * _STEP + seed, F.col("blocks"))
     shard_of = numbered.withColumn("place", place).join(to, ["src", "place"]).groupBy("src", "block").agg(*[F.max(F.when(F.col("turn") == t, F.col("shard"))).alias(f"shard{t}") for t in range(repeats)])
-    plan = blocks.join(shard_of, ["src", "block"], "left").select("src", "block", "target", "source_size", "n_blocks", "passes", whole.alias("whole"), "last_key", *[f"shard{t}" for t in range(repeats)])
+    plan = blocks.join(shard_of, ["src", "block"], "left").select("src", "block", "target", "source_size", "n_blocks", "passes", whole.alias("whole"), "chosen", *[f"shard{t}" for t in range(repeats)])
     plan = written(plan, "plan")
     count = per_source.select(F.col("src").alias("_src"), F.col("n_blocks").alias("_n"))
     home = F.least(F.col("_n") - 1, F.floor(F.col("key") / _LARGEST * F.col("_n"))).cast("long")
@@ -150,7 +152,7 @@ def _draws(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int
 
 def _taken(repeats: int) -> Column:
     """Shards of a document's draws, one for each time that it is taken."""
-    part = F.col("whole") | (F.col("key") <= F.coalesce(F.col("last_key"), F.lit(-1).cast("long")))
+    part = F.col("whole") | F.coalesce(F.array_contains("chosen", F.col("key")), F.lit(False))
     return F.array_compact(F.array(*[F.when((F.lit(t) < F.col("passes")) | ((F.lit(t) == F.col("passes")) & part), F.col(f"shard{t}")) for t in range(repeats)]))
 
 
@@ -158,7 +160,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     """Per row of `docs` (doc_id, text, source): doc_id, size, source_size, target, taken and its output shards.
 
     size counts runs of anything but ASCII white space; a null or empty text has none and is never taken beyond 0 words. A source takes its
-    target but for less than one document, which is left out. Rows equal in doc_id and text are taken or left together. A
+    target but for fewer words than any document left in its last block has. Rows equal in doc_id and text are taken or left together. A
     null source is a source; an empty table gives no rows.
     """
     rows, plan = _draws(docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")), weights, share, repeats, shards, block_words, seed)

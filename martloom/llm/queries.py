@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, mixing, ngram_join, sharding, token_records, topk_search, url_filter
+from martloom.llm import decontaminate, license_scan, mixing, ngram_join, pseudonyms, sharding, site_quality, token_records, topk_search, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,15 @@ def op1_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "shard", "shard_bytes", "shard_rows")
 
 
+def op2_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymised(docs, key="martloom2")
+
+
+def op3_license_digests(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(_table(spark, folder, "documents"), license_scan.known_table(spark))
+
+
 def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
 
@@ -40,6 +49,10 @@ def op6_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+def op7_site_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return site_quality.judged(_table(spark, folder, "documents"), _table(spark, folder, "labels"), keep=["doc_id", "source", "lang"])
+
+
 def op8_token_records(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -58,7 +71,21 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return rows.select("doc_id", "n_words", "n_hit", "n_items", names.alias("items_sha256"), "contaminated")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_extendible_sharding, op4_source_mixing, op5_url_filter, op6_exact_topk, op8_token_records, op9_ngram_jaccard_join, op10_benchmark_decontamination)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_extendible_sharding,
+        op2_pii_pseudonyms,
+        op3_license_digests,
+        op4_source_mixing,
+        op5_url_filter,
+        op6_exact_topk,
+        op7_site_quality,
+        op8_token_records,
+        op9_ngram_jaccard_join,
+        op10_benchmark_decontamination,
+    )
+}
 
 ORACLES: dict[str, str] = {
     "op5_url_filter": f"""
