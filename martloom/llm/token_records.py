@@ -27,8 +27,10 @@ from martloom.llm.ngram_join import slices
 from martloom.llm.shared import partitions, shared_folder, written
 
 FILE_BYTES = 8 << 20
-#: Pieces of text whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers, about 200 bytes each, and text encoded at a time.
+REMEMBERED, ENCODED_BYTES = 800_000, 4 << 20
+#: Words of letters that are encoded in one text.
+JOINED = 256
 NO_ID = -(1 << 63)
 _PUNCTUATION = '.,;:!?"()[]{}|*%$&#+-/<=>@\\^_`~'
 
@@ -47,48 +49,61 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.pieces: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.words: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
-    def _learn(self, new: set[str]) -> None:
-        plain, ended = set(), {}
-        for p in new:
-            base = p.rstrip(_PUNCTUATION)
-            if base != p and base.isalpha():
-                ended[p] = base
-                if base not in self.pieces:
-                    plain.add(base)
-            else:
-                plain.add(p)
-        names = list(plain)
-        for p, e in zip(names, self.tokenizer.encode_batch_fast([" " + p for p in names], add_special_tokens=False), strict=True):
-            self.pieces[p] = np.array(e.ids, dtype=self.kind).tobytes()
-        for p, base in ended.items():
-            mark = p[len(base) :]
-            if mark not in self.marks:
-                self.marks[mark] = self.whole(mark)
-            self.pieces[p] = self.pieces[base] + self.marks[mark]
+    def _learn(self, words: list[str], joined: int) -> None:
+        """Words after a space each, several in one text if they have letters only: then each begins at a token with a space."""
+        width = np.dtype(self.kind).itemsize
+        texts = [words[i : i + joined] for i in range(0, len(words), joined)]
+        for group, e in zip(texts, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in texts], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype=self.kind)
+            begins = np.flatnonzero(self.spaced[ids]) if len(group) > 1 else np.zeros(1, np.int64)
+            if len(begins) != len(group):
+                self._learn(group, 1)
+                continue
+            data, bounds = ids.tobytes(), [*(begins * width).tolist(), len(ids) * width]
+            for w, a, b in zip(group, bounds[:-1], bounds[1:], strict=True):
+                self.words[w] = data[a:b]
+
+    def _ids(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of each piece after a space: those of its letters, which are remembered, and those of the marks that end it."""
+        parts = {}
+        for p in pieces:
+            letters = p if p.isalpha() else p.rstrip(_PUNCTUATION)
+            parts[p] = (letters, p[len(letters) :]) if letters.isalpha() else (p, "")
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        new = list({w for w, _ in parts.values()} - self.words.keys())
+        self._learn([w for w in new if w.isalpha()], JOINED)
+        self._learn([w for w in new if not w.isalpha()], 1)
+        for mark in {m for _, m in parts.values()} - self.marks.keys():
+            self.marks[mark] = self.whole(mark)
+        out = {p: self.words[w] + self.marks[m] if m else self.words[w] for p, (w, m) in parts.items()}
+        if len(self.marks) > REMEMBERED:
+            self.marks.clear()
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.pieces) > REMEMBERED:
-            self.pieces.clear()
         split = [t.split(" ") for t in texts]
         new: set[str] = set()
         for s in split:
             new.update(s)
-        new -= self.pieces.keys()
         apart = {p for p in new if not p or p[0].isspace()}
-        self._learn(new - apart)
+        ids = self._ids(new - apart)
         out = []
         for text, s in zip(texts, split, strict=True):
             rest = s[1:]
             if apart and not apart.isdisjoint(rest):
                 out.append(self.whole(text))
             else:
-                out.append((self.whole(s[0]) if s[0] else b"") + b"".join(map(self.pieces.__getitem__, rest)))
+                out.append((self.whole(s[0]) if s[0] else b"") + b"".join(map(ids.__getitem__, rest)))
         return out
 
 
@@ -152,7 +167,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0)
         width = np.dtype(encoder.kind).itemsize
         end = np.array([end_id], dtype=encoder.kind).tobytes()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", ENCODED_BYTES):
                 for name, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text").to_pylist()), strict=True):
                     writer.add(name, ids + end, width)
         writer.close()
