@@ -11,6 +11,7 @@ attempt that is renamed when complete, so a repeated task leaves the same files.
 
 from __future__ import annotations
 
+import gc
 import struct
 import uuid
 import zlib
@@ -27,8 +28,8 @@ from martloom.llm.ngram_join import slices
 from martloom.llm.shared import partitions, shared_folder, written
 
 FILE_BYTES = 8 << 20
-#: Words whose ids a worker remembers, about 200 bytes each, and text encoded at a time.
-REMEMBERED, ENCODED_BYTES = 800_000, 4 << 20
+#: Words, and pieces of them with marks, whose ids a worker remembers, up to 200 bytes each; text encoded at a time.
+REMEMBERED, ENCODED_BYTES = 900_000, 4 << 20
 #: Words of letters that are encoded in one text.
 JOINED = 256
 NO_ID = -(1 << 63)
@@ -53,6 +54,7 @@ class Encoder:
         self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -72,23 +74,29 @@ class Encoder:
             for w, a, b in zip(group, bounds[:-1], bounds[1:], strict=True):
                 self.words[w] = data[a:b]
 
-    def _ids(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of each piece after a space: those of its letters, which are remembered, and those of the marks that end it."""
-        parts = {}
-        for p in pieces:
-            letters = p if p.isalpha() else p.rstrip(_PUNCTUATION)
-            parts[p] = (letters, p[len(letters) :]) if letters.isalpha() else (p, "")
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        new = list({w for w, _ in parts.values()} - self.words.keys())
+    @staticmethod
+    def _letters(piece: str) -> str:
+        """The piece without the marks that end it, if the rest is letters only; else all of it."""
+        letters = piece.rstrip(_PUNCTUATION)
+        return letters if letters.isalpha() else piece
+
+    def _add(self, pieces: list[str]) -> None:
+        """Remember ids of pieces after a space: those of their letters and those of the marks that end them."""
+        for known in (self.words, self.marks):
+            if len(known) > REMEMBERED:
+                known.clear()
+        new = {w for w in map(self._letters, pieces) if w not in self.words}
         self._learn([w for w in new if w.isalpha()], JOINED)
         self._learn([w for w in new if not w.isalpha()], 1)
-        for mark in {m for _, m in parts.values()} - self.marks.keys():
-            self.marks[mark] = self.whole(mark)
-        out = {p: self.words[w] + self.marks[m] if m else self.words[w] for p, (w, m) in parts.items()}
-        if len(self.marks) > REMEMBERED:
-            self.marks.clear()
-        return out
+        for p in pieces:
+            w = self._letters(p)
+            if len(w) == len(p):
+                self.pieces[p] = self.words[w]
+            else:
+                mark = p[len(w) :]
+                if mark not in self.marks:
+                    self.marks[mark] = self.whole(mark)
+                self.pieces[p] = self.words[w] + self.marks[mark]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
@@ -96,14 +104,16 @@ class Encoder:
         for s in split:
             new.update(s)
         apart = {p for p in new if not p or p[0].isspace()}
-        ids = self._ids(new - apart)
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
+        self._add([p for p in new if p not in self.pieces and p not in apart])
         out = []
         for text, s in zip(texts, split, strict=True):
             rest = s[1:]
             if apart and not apart.isdisjoint(rest):
                 out.append(self.whole(text))
             else:
-                out.append((self.whole(s[0]) if s[0] else b"") + b"".join(map(ids.__getitem__, rest)))
+                out.append((self.whole(s[0]) if s[0] else b"") + b"".join(map(self.pieces.__getitem__, rest)))
         return out
 
 
@@ -163,6 +173,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0)
     store.create_dir(path)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # the worker holds millions of strings and makes no cycles; looking for some takes a tenth of the time
         encoder, writer = _encoder(tokenizer), _Writer(folder)
         width = np.dtype(encoder.kind).itemsize
         end = np.array([end_id], dtype=encoder.kind).tobytes()
@@ -171,6 +182,7 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0)
                 for name, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text").to_pylist()), strict=True):
                     writer.add(name, ids + end, width)
         writer.close()
+        gc.enable()
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in writer.made], pa.int64()) for i in range(4)], ["task", "file", "records", "tokens"])
 
     return written(ranged.mapInArrow(write, "task long, file long, records long, tokens long"), "record-files")
