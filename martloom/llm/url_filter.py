@@ -21,7 +21,8 @@ Rule = tuple[str, str, str]
 
 def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
     """(host, path, verdict) rules as a table; a long list is better kept as a table from the start."""
-    return spark.createDataFrame(rules, "host string, path string, verdict string")
+    rows = F.array(*[F.struct(F.lit(h).alias("host"), F.lit(p).alias("path"), F.lit(v).alias("verdict")) for h, p, v in rules])
+    return spark.range(1).select(F.inline(rows))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
