@@ -61,7 +61,6 @@ EQUIVALENT = [
     ("judgement", "judgment"),
     ("labelled", "labeled"),
     ("licence", "license"),
-    ("merchantability", "merchantability"),
     ("modelling", "modeling"),
     ("non commercial", "noncommercial"),
     ("organisation", "organization"),
@@ -76,21 +75,35 @@ EQUIVALENT = [
 _COPYRIGHT = r"(?im)^[^\p{L}\p{N}\n]*(?:copyright\b(?:[^\p{L}\n]*\b(?:c|by)\b|[^\p{L}\n]*\d|\s*[(<©])|\(c\)\s|©|all rights reserved)[^\n]*$"
 
 
+def _words(text: Column) -> Column:
+    """Lower case, without copyright lines; a space for every run of other characters than letters, digits and line ends."""
+    low = F.lower(text)
+    named = low.contains("copyright") | low.contains("(c)") | low.contains("\u00a9") | low.contains("all rights reserved")
+    return F.regexp_replace(F.when(named, F.regexp_replace(low, _COPYRIGHT, "")).otherwise(low), r"[^\p{L}\p{N}\n]+", " ")
+
+
+def _alike(plain: Column) -> Column:
+    for odd, usual in EQUIVALENT:
+        plain = F.replace(plain, F.lit(odd), F.lit(usual))
+    return plain
+
+
+def _whole(words: Column) -> Column:
+    return _alike(F.trim(F.regexp_replace(words, r" ?\n[ \n]*", " ")))
+
+
 def canonical(text: Column) -> Column:
     """Lower case without copyright lines and punctuation, one space between words, equivalent spellings made one."""
-    out = F.when(text.rlike(r"(?i)copyright|\(c\)|©|all rights reserved"), F.regexp_replace(text, _COPYRIGHT, "")).otherwise(text)
-    out = F.trim(F.regexp_replace(F.lower(out), r"[^\p{L}\p{N}]+", " "))
-    same = out
-    for odd, usual in EQUIVALENT:
-        if odd != usual:
-            same = F.replace(same, F.lit(odd), F.lit(usual))
-    return F.when(out.rlike("|".join(odd for odd, usual in EQUIVALENT if odd != usual)), same).otherwise(out)
+    return _whole(_words(text))
+
+
+def _digest(plain: Column) -> Column:
+    return F.when(plain != "", F.sha2(plain, 256))
 
 
 def digest(text: Column) -> Column:
     """SHA-256 of the canonical text; null if nothing is left of it."""
-    plain = canonical(text)
-    return F.when(plain != "", F.sha2(plain, 256))
+    return _digest(canonical(text))
 
 
 def known_table(spark: SparkSession, texts: dict[str, str] = KNOWN) -> DataFrame:
@@ -107,10 +120,10 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """
     known = written(known.where("digest is not null").groupBy("digest").agg(F.min("license").alias("license")), "known")
     text = F.col("text").cast("string")
-    rows = docs.select("doc_id", text.alias("text"), F.xxhash64("text").alias("part"))
-    whole = rows.select("doc_id", "part", digest(F.col("text")).alias("digest"))
-    lines = rows.where(F.instr("text", "\n") > 0).select("doc_id", "part", F.explode(F.split("text", r"\n")).alias("line"))
-    found = lines.where("line <> ''").select("doc_id", "part", digest(F.col("line")).alias("digest")).join(known, "digest").select("doc_id", "part", "license", F.lit(False).alias("whole"))
+    rows = docs.select("doc_id", F.xxhash64(text).alias("part"), _words(text).alias("words"))
+    whole = rows.select("doc_id", "part", _digest(_whole(F.col("words"))).alias("digest"))
+    lines = rows.where(F.instr("words", "\n") > 0).select("doc_id", "part", F.explode(F.split("words", r"\n")).alias("line"))
+    found = lines.select("doc_id", "part", _digest(_alike(F.trim("line"))).alias("digest")).join(known, "digest").select("doc_id", "part", "license", F.lit(False).alias("whole"))
     every = whole.join(known, "digest", "left").select("doc_id", "part", "digest", "license").distinct()
     notices = found.groupBy("doc_id", "part").agg(F.array_sort(F.collect_set("license")).alias("notices"))
     n = notices.select(F.col("doc_id").alias("_id"), F.col("part").alias("_part"), "notices")

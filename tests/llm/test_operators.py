@@ -1,0 +1,272 @@
+"""Each operator against a brute-force version on small tables, and on nulls, empty texts, ties, repeats and empty tables."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from compare import difference
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from martloom.llm import decontaminate, license_scan, mixing, ngram_join, pseudonyms, sharding, site_quality, token_records, topk_search
+from martloom.llm.queries import ORACLES, QUERIES
+
+ODD = [(1, "a b c d e f"), (1, "a b c d e f"), (2, None), (3, ""), (4, " \n "), (None, "a b c d e f"), (5, "x"), (6, "X"), (7, "Ünïcode " * 3000), (8, "a b c d e f")]
+SCHEMA = "doc_id long, text string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SMALL}/documents.parquet")
+
+
+def odd(spark, rows=ODD):
+    return spark.createDataFrame([(i, t, t, "s", None) for i, t in rows], "doc_id long, text string, n_words string, source string, lang string")
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_against_sql(spark, name):
+    assert difference(QUERIES[name](spark, SMALL), ORACLES[name], SMALL) == ""
+
+
+def components(rows, size, percent):
+    sets = {}
+    for i, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", lowered(text))
+        sets[i] = {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))} if words else set()
+    ids, root = sorted(sets), {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+@pytest.mark.parametrize(("size", "percent"), [(4, 85), (5, 80)])
+def test_ngram_join(spark, docs, size, percent):
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs, size, percent).collect()}
+    assert got == components(rows, size, percent)
+
+
+def test_ngram_join_odd(spark):
+    got = ngram_join.near_duplicates(odd(spark), 4, 85).collect()
+    assert len(got) == len(ODD)
+    found = {(r.doc_id, r.n_shingles, r.component_id) for r in got}
+    assert {(1, 3, 1), (8, 3, 1), (2, 0, 2), (3, 0, 3), (4, 0, 4), (5, 1, 5), (6, 1, 5), (None, 0, None)} <= found
+    assert ngram_join.near_duplicates(odd(spark, [])).count() == 0
+    assert sorted(r.doc_id or 0 for r in ngram_join.one_of_each(odd(spark)).collect()) == [0, 1, 2, 3, 4, 5, 7]
+
+
+def test_decontamination(spark, docs):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()] + [(900, "the of"), (901, None), (902, "..."), (None, "the")]
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = defaultdict(set)
+    for name, text in items:
+        w = tuple(word.findall(lowered(text)))
+        if name is not None:
+            for k in range(max(0, len(w) - 13) + 1) if w else ():
+                windows[w[k : k + 13]].add(name)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()] + ODD
+    table = spark.createDataFrame(rows, SCHEMA).withColumn("n_words", F.lit("clash"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in decontaminate.judged(decontaminate.contamination(table, bench)).collect())
+    want = Counter()
+    for i, text in rows:
+        w, hit, found = word.findall(lowered(text)), set(), set()
+        for size in {len(x) for x in windows}:
+            for k in range(len(w) - size + 1):
+                if (x := tuple(w[k : k + size])) in windows:
+                    hit |= set(range(k, k + size))
+                    found |= windows[x]
+        want[(i, len(w), len(hit), tuple(sorted(found)))] += 1
+    assert got == want
+    assert decontaminate.clean(table.limit(0), bench).count() == 0
+
+
+def test_benchmark_in_parts(spark, docs, monkeypatch):
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    columns = ["doc_id", "n_words", "hit_from", "hit_to", "items"]
+    once = sorted(decontaminate.contamination(docs, bench).select(columns).collect())
+    monkeypatch.setattr(decontaminate, "BENCHMARK_BYTES", 1500)
+    assert sorted(decontaminate.contamination(docs, bench).select(columns).collect()) == once
+
+
+def test_token_records(spark, docs):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()] + [(1000, None), (1001, "a  b \n c<|endoftext|> d "), (1002, ""), (1003, " x   y  z's'll 12,5")]
+    start = 0
+    want = []
+    for i, text in sorted(rows):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        want.append((i, start, len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids))))
+        start += len(ids)
+    got = token_records.token_table(spark.createDataFrame(rows, SCHEMA), path("byte_bpe_50k.json"))
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_record_files(spark, tmp_path):
+    from public_tokenizers import path
+
+    table = spark.createDataFrame([(i, "word " * i) for i in range(1, 9)], SCHEMA)
+    token_records.write_records(table.repartition(1), path("byte_bpe_50k.json"), str(tmp_path / "r"))
+    name = sorted(p.stem for p in (tmp_path / "r").glob("*.bin"))[0]
+    whole = list(token_records.records_of((tmp_path / "r" / f"{name}.bin").read_bytes()))
+    back = token_records.read_at(str(tmp_path / "r"), name, list(range(len(whole)))[::-1])
+    assert [(i, x.tolist()) for i, x in back[::-1]] == [(i, x.tolist()) for i, x in whole]
+    data = bytearray((tmp_path / "r" / f"{name}.bin").read_bytes())
+    data[-6] ^= 1
+    with pytest.raises(ValueError, match="damaged"):
+        list(token_records.records_of(bytes(data)))
+
+
+def test_topk_odd(spark):
+    rows = [(i, [float(i % 3), 1.0]) for i in range(50)] + [(60, None), (80, [None, 1.0]), (100, [float("nan"), 1.0]), (120, [1.0])]
+    v = topk_search.whole_numbers(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    got = topk_search.top_k(v, v.where("vec_id % 20 = 0"), 5).collect()
+    assert {r.query_id for r in got} == {0, 20, 40}
+    best = sorted(r.vec_id for r in got if r.query_id == 20)
+    assert best == [2, 5, 8, 11, 14]
+    assert topk_search.top_k(v.limit(0), v.limit(0)).count() == 0
+
+
+def test_mixing(spark, docs):
+    got = mixing.mix(docs)
+    rows = docs.select("doc_id", "source").join(got, "doc_id").collect()
+    assert len(rows) == docs.count()
+    by = defaultdict(list)
+    for r in rows:
+        by[r.source].append(r)
+        assert r.taken in (0, r.size, 2 * r.size)
+    total = sum(r.size for r in rows)
+    weight = dict(zip(sorted(by), [3, 1, 2] * len(by), strict=False))
+    want, capped = {}, set()
+    while True:  # reshare until no target is above its cap
+        left = 1.5 * total - sum(2 * by[s][0].source_size for s in capped)
+        free = [s for s in by if s not in capped]
+        want = {s: 2 * by[s][0].source_size for s in capped} | {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        if not (above := {s for s in free if want[s] > 2 * by[s][0].source_size}):
+            break
+        capped |= above
+    for s, own in by.items():
+        assert math.isclose(own[0].target, want[s], rel_tol=1e-9)
+        assert 0 <= own[0].target - sum(r.taken for r in own) <= max(r.size for r in own)
+    assert sorted(mixing.mix(docs).collect()) == sorted(got.collect())
+    assert mixing.mixed(docs).count() == sum(len(r.shards) for r in rows)
+
+
+def test_splitting_tree_keeps_quotas(spark):
+    quotas = spark.createDataFrame([("sa", 1000), ("sb", 7), ("n", 0), ("sc", 333)], "src string, blocks long")
+    cells = mixing.splitting_tree(quotas, 7).collect()
+    assert {s: sum(c.blocks for c in cells if c.src == s) for s in ("sa", "sb", "sc")} == {"sa": 1000, "sb": 7, "sc": 333}
+    sizes = Counter()
+    for c in cells:
+        sizes[c.shard] += c.blocks
+    assert max(sizes.values()) - min(sizes.values()) <= 3
+    spans = sorted((c.begin, c.begin + c.blocks) for c in cells if c.src == "sa")
+    assert all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
+def test_mixing_odd(spark):
+    rows = mixing.mix(odd(spark)).collect()
+    assert len(rows) == len(ODD) and all(r.taken <= 2 * r.size for r in rows)
+    assert mixing.mix(odd(spark, [])).count() == 0
+
+
+def test_sharding(spark, docs):
+    limit = 20_000
+    rows = sharding.sharded(docs, limit=limit).select("doc_id", "shard", "shard_bytes", "shard_rows", F.octet_length("text").alias("b")).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    sums, n = Counter(), Counter()
+    for r in rows:
+        sums[r.shard] += r.b
+        n[r.shard] += 1
+    assert all(sums[r.shard] == r.shard_bytes and n[r.shard] == r.shard_rows and (r.shard_bytes <= limit or r.shard_rows == 1) for r in rows)
+    names = sorted(sums)
+    assert not any(b.startswith(a) for a in names for b in names if a != b)
+    for name in names:  # a bucket's parent was oversized
+        assert not name or sum(v for k, v in sums.items() if k.startswith(name[:-1])) > limit
+
+
+def test_sharding_of_equal_rows(spark):
+    rows = sharding.sharded(odd(spark, [(1, "x" * 100)] * 50 + [(2, None)]), limit=1000).collect()
+    assert len(rows) == 51
+    assert all(r.shard_bytes <= 1000 for r in rows) and len({r.shard for r in rows if r.doc_id == 1}) == 5
+    assert sharding.sharded(odd(spark, [])).count() == 0
+
+
+def luhn(digits):
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def test_pseudonyms(spark):
+    texts = ["card 4111 1111 1111 1111, 4111111111111111 or 4111111111111112", "on 2024-02-29 and 29.02.2024, not 2023-02-29", "from 10.0.0.1 or 10.0.0.999", "ask Ann.Lee7@mail.example.com", "1 (017) 555-7713", "123-45-6789 and 000-12-3456", None, "", "nothing 12"]
+    table = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    out = {r.doc_id: r for r in pseudonyms.pseudonymised(table, "k1").collect()}
+    again = {r.doc_id: r.text for r in pseudonyms.pseudonymised(table, "k1").collect()}
+    other = {r.doc_id: r.text for r in pseudonyms.pseudonymised(table, "k2").collect()}
+    assert again == {i: r.text for i, r in out.items()} and other[0] != out[0].text
+    first, second, third = re.findall(r"\d[\d ]{14,}\d", out[0].text)
+    assert first.replace(" ", "") == second and luhn(second) and second != "4111111111111111" and third == "4111111111111112"
+    days = re.findall(r"\d{4}-\d\d-\d\d", out[1].text)
+    swapped = re.search(r"(\d\d)\.(\d\d)\.(\d{4})", out[1].text)
+    assert days[0] == "-".join(swapped.groups()[::-1]) and days[1] == "2023-02-29" and days[0] != "2024-02-29"
+    assert out[2].text.endswith("10.0.0.999") and all(int(x) < 256 for x in re.findall(r"\d+", out[2].text)[:4])
+    assert re.fullmatch(r"ask [A-Z][a-z]{2}\.[A-Z][a-z]{2}\d@mail\.example\.com", out[3].text) and "Ann" not in out[3].text
+    assert re.fullmatch(r"1 \(\d{3}\) \d{3}-\d{4}", out[4].text) and out[5].text.endswith("000-12-3456")
+    assert (out[6].text, out[7].text, out[8].text) == (None, "", "nothing 12") and out[8].n_replaced == 0
+
+
+def test_pseudonyms_are_one_to_one(spark):
+    rows = spark.range(0, 3000).select(F.col("id").alias("doc_id"), F.date_format(F.expr("date_add(DATE'1990-01-01', cast(id as int))"), "yyyy-MM-dd").alias("text"))
+    assert pseudonyms.pseudonymised(rows, "k").select("text").distinct().count() == 3000
+
+
+def test_license_scan(spark):
+    mit = license_scan.KNOWN["MIT"]
+    texts = [mit, mit.upper().replace("<year> <copyright holders>", "2020 Some One").replace(",", " ;"), "prose\nReleased under the MIT Licence!\nmore", None, "", "...", mit + " more"]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), SCHEMA), license_scan.known_table(spark)).collect()}
+    assert [got[i].license for i in range(7)] == ["MIT", "MIT", None, None, None, None, None]
+    assert got[2].notices == ["MIT notice"] and got[3].digest is None and got[5].digest is None
+    assert got[0].digest == hashlib.sha256(license_scan_plain(spark, mit).encode()).hexdigest()
+
+
+def license_scan_plain(spark, text):
+    return spark.range(1).select(license_scan.canonical(F.lit(text)).alias("t")).first().t
+
+
+def test_site_quality(spark, docs):
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    train, held = labels.where("doc_id % 3 > 0"), {r.doc_id: r.quality for r in labels.where("doc_id % 3 = 0").collect()}
+    got = {r.doc_id: r for r in site_quality.judged(docs, train, ["doc_id"]).collect()}
+    right = sum(got[i].kept == bool(q) for i, q in held.items())
+    assert len(got) == docs.count() and right >= 0.95 * len(held)
+    assert all(0 < r.path_rate < 1 for r in got.values())
+
+
+def test_site_quality_odd(spark):
+    none = spark.createDataFrame([(1, None, 0)], "doc_id long, quality int, toxic int")
+    rows = site_quality.judged(odd(spark), none, ["doc_id", "source"]).collect()
+    assert len(rows) == len(ODD) and all(r.kept for r in rows)
+    two = spark.createDataFrame([(7, 1, 0), (8, 0, 0), (8, 0, 1), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    assert site_quality.judged(odd(spark), two, ["doc_id"]).count() == len(ODD)
