@@ -36,8 +36,6 @@ TIER_LOW = "低价值"
 TIER_BOUNDS = (10000, 1000)
 
 # Serving defaults.
-TREND_START = "2026-01-01"
-TREND_END = "2099-01-01"
 RANKING_SIZE = 10
 PAGE_SIZE = 20
 GOODS_PAGE_SIZE = 15

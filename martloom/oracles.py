@@ -254,16 +254,12 @@ _BODIES = {
     "append_items_idempotent": """SELECT i.order_id, product_id, quantity, subtotal,
  CASE WHEN order_status IN ('已完成','已取消') THEN 'stored' ELSE 'added' END AS origin
  FROM item i JOIN order_head o ON i.order_id=o.order_id""",
-    "upsert_metrics": f"""SELECT COALESCE(n.product_id,o.product_id) AS product_id, COALESCE(n.dt,o.dt) AS dt,
+    "upsert_metrics": """SELECT COALESCE(n.product_id,o.product_id) AS product_id, COALESCE(n.dt,o.dt) AS dt,
  CASE WHEN o.product_id IS NOT NULL THEN 'stored ' || o.product_name ELSE n.product_name END AS product_name,
  COALESCE(o.category,n.category) AS category, COALESCE(o.brand,n.brand) AS brand,
  COALESCE(n.total_quantity,o.total_quantity) AS total_quantity,
  COALESCE(n.total_amount,o.total_amount) AS total_amount, COALESCE(n.order_count,o.order_count) AS order_count,
- COALESCE(n.avg_price,o.avg_price) AS avg_price FROM (SELECT *, {half_up('total_amount', 'total_quantity')} avg_price
-  FROM (SELECT product_id, dt, MAX(product_name) product_name, MAX(category) category, MAX(brand) brand,
-  CAST(SUM(quantity) AS BIGINT) total_quantity, CAST(SUM(subtotal) AS DECIMAL(25,2)) total_amount,
-  COUNT(DISTINCT order_id) order_count FROM item_order WHERE order_status IN ('已完成','已取消')
-  GROUP BY product_id, dt) s) o
+ COALESCE(n.avg_price,o.avg_price) AS avg_price FROM (SELECT * FROM product_day WHERE dt<DATE '1999-01-01') o
  FULL JOIN (SELECT * FROM product_day WHERE dt>=DATE '1998-01-01') n ON o.product_id=n.product_id AND o.dt=n.dt""",
     "join_item_order": """SELECT order_id, product_id, quantity, subtotal, order_status, buyer_phone, actual_amount, dt
  FROM item_order""",
@@ -317,6 +313,7 @@ _BODIES = {
  FROM (SELECT DISTINCT order_id, buyer_phone, province, city, district, actual_amount FROM wide) d
  GROUP BY GROUPING SETS ((province),(province,city),(province,city,district))) t""",
     "q_category_revenue": 'SELECT * FROM revenue ORDER BY "rank", category',
+    "q_daily_trend_all": "SELECT * FROM trend ORDER BY dt",
     "q_daily_trend": "SELECT * FROM trend WHERE dt BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' ORDER BY dt",
     "q_user_value": "SELECT * FROM user_worth WHERE value_tier='中价值' ORDER BY total_monetary DESC, buyer_phone",
     "q_tier_distribution": "SELECT value_tier, COUNT(*) AS user_count FROM user_worth GROUP BY value_tier",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.amounts import MONEY_SUM
-from martloom.functions.vocabulary import PAGE_SIZE, RANKING_SIZE, SUBTOTAL, TREND_END, TREND_START
+from martloom.functions.vocabulary import PAGE_SIZE, RANKING_SIZE, SUBTOTAL
 
 
 def category_revenue(revenue: DataFrame) -> DataFrame:
@@ -16,9 +16,12 @@ def category_revenue(revenue: DataFrame) -> DataFrame:
 
 
 def daily_trend(trend: DataFrame, start: str | date | None = None, end: str | date | None = None) -> DataFrame:
-    """Days from ``start`` to ``end``, both included, in order."""
-    first, last = F.lit(str(start or TREND_START)).cast("date"), F.lit(str(end or TREND_END)).cast("date")
-    return trend.filter(F.col("dt").between(first, last)).orderBy("dt")
+    """Days from ``start`` to ``end``, both included, in order; a bound that is not given is open."""
+    if start:
+        trend = trend.filter(F.col("dt") >= F.lit(str(start)).cast("date"))
+    if end:
+        trend = trend.filter(F.col("dt") <= F.lit(str(end)).cast("date"))
+    return trend.orderBy("dt")
 
 
 def user_value(users: DataFrame, tier: str | None = None) -> DataFrame:

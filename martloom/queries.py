@@ -297,9 +297,8 @@ def _append_items(x: Layers) -> DataFrame:
 
 
 def _upsert_metrics(x: Layers) -> DataFrame:
-    """Summaries of finished orders are stored; then those of all orders since 1998 arrive."""
-    finished = F.col("order_status").isin(V.COMPLETED, V.CANCELLED)
-    state = summary.product_sales(x.item_days.filter(finished)).withColumn(
+    """Summaries of the days before 1999 are stored; then those of the days from 1998 on arrive."""
+    state = summary.product_sales(x.item_days.filter(F.col("dt") < F.lit("1999-01-01").cast("date"))).withColumn(
         "product_name", F.concat(F.lit("stored "), F.col("product_name"))
     )
     new = summary.product_sales(x.item_days.filter(F.col("dt") >= F.lit("1998-01-01").cast("date")))
@@ -402,6 +401,7 @@ _BUILDS: dict[str, Callable[[Layers], DataFrame]] = {
     "ads_regional_sales_order_grain": lambda x: metrics.regional_sales_order_grain(x.wide),
     "q_category_revenue": lambda x: serving.category_revenue(x.revenue),
     "q_daily_trend": lambda x: serving.daily_trend(x.trend, *YEAR),
+    "q_daily_trend_all": lambda x: serving.daily_trend(x.trend),
     "q_user_value": lambda x: serving.user_value(x.users, V.TIER_MIDDLE),
     "q_tier_distribution": lambda x: serving.tier_distribution(x.users),
     "q_product_ranking": lambda x: serving.product_ranking(x.ranking, 20, "MEDIUM"),

@@ -1,10 +1,7 @@
-"""Session settings the plans rely on, and the shared folder for work that must outlive an executor."""
+"""Session settings the plans rely on."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 # Order-keyed joins are followed by windows and distinct counts that would reuse the join's partitioning. Without the
@@ -43,16 +40,3 @@ def local_session(cores: str = "8", name: str = "martloom", memory: str = "8g")
     )
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
-
-
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new, empty path below the cluster's shared ``spark.checkpoint.dir``.
-
-    Only a local session may run without that setting; it then gets a folder of this machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="martloom-")
-    return f"{root.rstrip('/')}/martloom/{purpose}-{uuid.uuid4().hex}"

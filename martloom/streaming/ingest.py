@@ -23,13 +23,15 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _judged(wh: Warehouse, messages: DataFrame, version: int, items_required: bool = False) -> tuple[DataFrame, str]:
-    """The batch parsed once and kept aside for the tables made from it.
+def _judged(
+    wh: Warehouse, messages: DataFrame, version: int, required: tuple[str, ...], items_required: bool = False
+) -> tuple[DataFrame, str]:
+    """The batch parsed once and kept aside for the tables made from it; messages without a required field are rejects.
 
     Reading it back with the warehouse's session also restores the adaptive plans a streaming session switches off.
     """
     placed = feeds.numbered(messages).withColumn("seq", feeds.arrival(version)).select("value", "seq")
-    judged = feeds.with_reject_reason(feeds.parse(feeds.nonempty(placed)), items=items_required)
+    judged = feeds.with_reject_reason(feeds.parse(feeds.nonempty(placed)), required, items=items_required)
     return wh.stage(judged, "messages")
 
 
@@ -55,7 +57,7 @@ def ingest_products(
     if source is not None and change.seen(source, batch_id):
         return None
     stamp = detail.load_time(as_of)
-    judged, parsed_stage = _judged(wh, messages, change.version)
+    judged, parsed_stage = _judged(wh, messages, change.version, ("product_id",))
     rows = detail.product_rows(feeds.accepted(judged), stamp, defaults)
     change.append("dwd_product", _folded(rows, "dwd_product"))
     change.append("rejected_products", _rejects(judged, stamp))
@@ -110,7 +112,9 @@ def ingest_orders(
     if source is not None and change.seen(source, batch_id):
         return None
     stamp = detail.load_time(as_of)
-    judged, parsed_stage = _judged(wh, messages, change.version, items_required=not defaults.keep_empty_orders)
+    judged, parsed_stage = _judged(
+        wh, messages, change.version, ("order_id",), items_required=not defaults.keep_empty_orders
+    )
     docs = feeds.accepted(judged)
     headers = detail.order_rows(docs, stamp, defaults)
     first, first_stage = wh.stage(_first_seen(wh, headers), "first-seen")

@@ -194,7 +194,9 @@ def test_ranking_is_global_and_limited_when_read(spark):
 
 def test_trend_range_defaults(spark):
     trend = spark.createDataFrame([(date(2025, 12, 31),), (date(2026, 1, 1),), (date(2026, 2, 1),)], "dt date")
-    assert serving.daily_trend(trend).count() == 2
+    assert serving.daily_trend(trend).count() == 3
+    assert serving.daily_trend(trend, "2026-01-01").count() == 2
+    assert serving.daily_trend(trend, None, "2026-01-01").count() == 2
     assert serving.daily_trend(trend, "2025-12-31", "2026-01-01").count() == 2
     assert page_views.recent_trend(trend, "2026-01-07", 7).count() == 2
     assert page_views.recent_trend(trend, "2026-01-07", 6).count() == 1

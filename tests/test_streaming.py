@@ -262,3 +262,14 @@ def test_repeats_and_running_distinct(events, tmp_path):
     assert {r.distinct_about for r in about.filter("dt = '2024-01-02'").collect()} == {8}
     closed, _ = drained(event_windows.running_distinct(stream, ["kind"], "id"), tmp_path, "distinct")
     assert closed.count() == 45
+
+
+def test_messages_without_id_are_rejected(spark, tmp_path):
+    (tmp_path / "feed").mkdir()
+    nameless = json.dumps({k: v for k, v in json.loads(message("1")).items() if k != "order_id"})
+    write(tmp_path / "feed", 0, [message("1"), nameless, nameless])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    ingest.ingest_orders(wh, feeds.file_messages(spark, str(tmp_path / "feed")), NOW)
+    assert [r.reason for r in wh.read("rejected_orders").collect()] == ["missing_order_id"] * 2
+    assert wh.read("dwd_order").count() == 1
+    assert wh.read("dwd_order_item").count() == 2
