@@ -120,9 +120,9 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """
     known = written(known.where("digest is not null").groupBy("digest").agg(F.min("license").alias("license")), "known")
     text = F.col("text").cast("string")
-    rows = docs.select("doc_id", F.xxhash64(text).alias("part"), _words(text).alias("words"))
+    rows = docs.select("doc_id", F.xxhash64(text).alias("part"), (F.instr(text, "\n") > 0).alias("parted"), _words(text).alias("words"))
     whole = rows.select("doc_id", "part", _digest(_whole(F.col("words"))).alias("digest"))
-    lines = rows.where(F.instr("words", "\n") > 0).select("doc_id", "part", F.explode(F.split("words", r"\n")).alias("line"))
+    lines = rows.where("parted").select("doc_id", "part", F.explode(F.split("words", r"\n")).alias("line"))
     found = lines.select("doc_id", "part", _digest(_alike(F.trim("line"))).alias("digest")).join(known, "digest").select("doc_id", "part", "license", F.lit(False).alias("whole"))
     every = whole.join(known, "digest", "left").select("doc_id", "part", "digest", "license").distinct()
     notices = found.groupBy("doc_id", "part").agg(F.array_sort(F.collect_set("license")).alias("notices"))
