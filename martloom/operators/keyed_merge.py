@@ -26,11 +26,16 @@ def as_changes(rows: DataFrame, seq: Column | str = "seq") -> DataFrame:
 
 
 def merge_changes(
-    changes: DataFrame, key: Sequence[str], frozen: Sequence[str], live: Sequence[str], keep_seq: bool = False
+    changes: DataFrame,
+    key: Sequence[str],
+    frozen: Sequence[str],
+    live: Sequence[str],
+    keep_seq: bool = False,
+    added: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per key: ``frozen`` columns from the earliest change, ``live`` columns from the latest.
+    """One row per key: ``frozen`` columns from the earliest change, ``live`` columns from the latest, ``added`` summed.
 
-    Both are partial aggregates, so a hot key is folded where its rows lie and one row per task is shuffled.
+    All are partial aggregates, so a hot key is folded where its rows lie and one row per task is shuffled.
     """
     picks = []
     if frozen:
@@ -39,9 +44,11 @@ def merge_changes(
         picks.append(F.max_by(F.struct(*live), LAST).alias("_live"))
     if keep_seq:
         picks += [F.min(FIRST).alias(FIRST), F.max(LAST).alias(LAST)]
+    types = {f.name: f.dataType for f in changes.schema}
+    picks += [F.sum(c).cast(types[c]).alias(c) for c in added]
     merged = changes.groupBy(*key).agg(*picks)
     parts = [f"_{side}.{c}" for side, names in (("frozen", frozen), ("live", live)) for c in names]
-    return merged.select(*key, *parts, *([FIRST, LAST] if keep_seq else []))
+    return merged.select(*key, *parts, *added, *([FIRST, LAST] if keep_seq else []))
 
 
 def first_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

@@ -74,7 +74,7 @@ _VIEWS = {
  order_amount, CAST(0 AS DECIMAL(15,2)) discount,
  CASE WHEN order_status='已取消' THEN CAST(0 AS DECIMAL(15,2)) ELSE order_amount END actual_amount, created_at
  FROM order_fact""",
-    "order_message": """SELECT f.k, f.order_id, CASE WHEN n>1000 THEN CAST(CEIL(n/1000.0) AS BIGINT) ELSE 1 END messages
+    "order_message": """SELECT f.k, f.order_id, COALESCE(n,1) messages
  FROM order_fact f LEFT JOIN (SELECT order_id oid, COUNT(*) n FROM item GROUP BY order_id) c ON f.order_id=c.oid""",
     "order_doc": f"""SELECT f.*, CASE WHEN k%31=8 THEN '待付款' ELSE order_status END state,
  CASE WHEN k%29=6 THEN 0 ELSE COALESCE(n,0) END item_count, k%11<>5 has_address, k%19<>1 has_payment,

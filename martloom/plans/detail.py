@@ -37,7 +37,7 @@ def is_abnormal(price: Column, *required: Column) -> Column:
 
 
 def _carried(docs: DataFrame) -> list[str]:
-    return [c for c in ("seq",) if c in docs.columns]
+    return [c for c in ("seq", "part") if c in docs.columns]
 
 
 def product_rows(docs: DataFrame, as_of: datetime | Column, defaults: Defaults = DOCUMENTED) -> DataFrame:

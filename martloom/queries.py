@@ -47,9 +47,14 @@ class Layers:
     def product_docs(self) -> DataFrame:
         return feeds.accepted(feeds.with_reject_reason(feeds.parse(self.product_messages)))
 
+    @cached_property
+    def order_parsed(self) -> DataFrame:
+        """Parsed messages; an order's parts stand in no order but that of their names."""
+        return feeds.parse(self.order_messages).withColumn("seq", J.raw_text(F.col("doc"), "part"))
+
     @cached_property
     def order_docs(self) -> DataFrame:
-        return feeds.accepted(feeds.with_reject_reason(feeds.parse(self.order_messages)))
+        return feeds.accepted(feeds.with_reject_reason(self.order_parsed))
 
     # Detail
 
@@ -131,13 +136,10 @@ def _query(build: Callable[[Layers], DataFrame]) -> Query:
 
 
 def _by_order(rows: DataFrame, *added: str) -> DataFrame:
-    """A large order comes in several messages, whose rows differ at most in the ``added`` columns."""
-    names = rows.columns
-    types = {f.name: f.dataType for f in rows.schema}
-    same = [c for c in names if c not in added]
-    if not added:
-        return rows.distinct()
-    return rows.groupBy(*same).agg(*[F.sum(c).cast(types[c]).alias(c) for c in added]).select(*names)
+    """One row per order from those of its messages, folded as the ingest does; ``added`` columns are summed."""
+    names = [c for c in rows.columns if c != "seq"]
+    frozen = [c for c in names if c not in ("order_id", *added)]
+    return merge_changes(as_changes(rows), ["order_id"], frozen, [], added=added).select(*names)
 
 
 def _nonempty(x: Layers) -> DataFrame:
@@ -150,6 +152,7 @@ def _nonempty(x: Layers) -> DataFrame:
 def _order_decode(x: Layers) -> DataFrame:
     events = feeds.decode_orders(x.order_docs)
     decoded = events.select(
+        F.col("part").alias("seq"),
         "order_id",
         "order_status",
         F.array_size("items").alias("items"),
@@ -202,8 +205,8 @@ def _orders(x: Layers, preset: V.Defaults = V.LIVE) -> DataFrame:
 
 
 def _items(x: Layers, preset: V.Defaults) -> DataFrame:
-    """Item rows; their number within the message is left out, as a large order's messages each count from 1."""
-    return detail.item_rows(x.order_docs, AS_OF, preset).drop("load_time", "item_no")
+    """Item rows; their number within the message is left out, as every message counts from 1."""
+    return detail.item_rows(x.order_docs, AS_OF, preset).drop("load_time", "item_no", "seq")
 
 
 def _clean_strings(x: Layers) -> DataFrame:
@@ -244,14 +247,15 @@ def _clean_timestamps(x: Layers) -> DataFrame:
 def _order_state(x: Layers) -> DataFrame:
     d = F.col("doc")
     states = x.order_docs.select(
-        J.text(d, "order_id").alias("order_id"), V.order_state(J.raw_text(d, "order_status")).alias("order_state")
+        "seq",
+        J.text(d, "order_id").alias("order_id"), V.order_state(J.raw_text(d, "order_status")).alias("order_state"),
     )
     return _by_order(states)
 
 
 def _nonempty_orders(x: Layers) -> DataFrame:
-    judged = feeds.with_reject_reason(feeds.parse(x.order_messages), items=True)
-    kept = detail.order_rows(feeds.accepted(judged), AS_OF).select("order_id", "order_status", "item_count")
+    judged = feeds.with_reject_reason(x.order_parsed, items=True)
+    kept = detail.order_rows(feeds.accepted(judged), AS_OF).select("seq", "order_id", "order_status", "item_count")
     return _by_order(kept, "item_count")
 
 
@@ -365,9 +369,9 @@ _BUILDS: dict[str, Callable[[Layers], DataFrame]] = {
     ),
     "clean_timestamps": _clean_timestamps,
     "clean_price_repair": lambda x: _products(x, V.DOCUMENTED).select("product_id", "price", "is_abnormal"),
-    "order_flatten": lambda x: _by_order(_orders(x).select(*FLAT_COLUMNS)),
-    "order_status_rules": lambda x: _by_order(_orders(x).select(*STATE_COLUMNS)),
-    "order_item_count": lambda x: _by_order(_orders(x).select("order_id", "item_count"), "item_count"),
+    "order_flatten": lambda x: _by_order(_orders(x).select("seq", *FLAT_COLUMNS)),
+    "order_status_rules": lambda x: _by_order(_orders(x).select("seq", *STATE_COLUMNS)),
+    "order_item_count": lambda x: _by_order(_orders(x).select("seq", "order_id", "item_count"), "item_count"),
     "order_status_map": _order_state,
     "dwd_product": lambda x: _products(x, V.DOCUMENTED),
     "dwd_product_live": lambda x: _products(x, V.LIVE),

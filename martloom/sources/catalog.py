@@ -13,7 +13,8 @@ from martloom.functions.amounts import MONEY, MONEY_SUM, SHARE
 class Table:
     """A stored table.
 
-    ``frozen`` columns keep their first value when a key comes again, ``live`` columns take the latest one.
+    ``frozen`` columns keep their first value when a key comes again, ``live`` columns take the latest one, and
+    ``added`` columns are summed.
     """
 
     name: str
@@ -21,6 +22,7 @@ class Table:
     key: tuple[str, ...]
     columns: str
     live: tuple[str, ...] = ()
+    added: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     not_null: tuple[str, ...] = field(default=())
 
@@ -37,7 +39,8 @@ class Table:
 
     @property
     def frozen(self) -> tuple[str, ...]:
-        return tuple(f.name for f in self.schema if f.name not in self.key and f.name not in self.live)
+        other = {*self.key, *self.live, *self.added}
+        return tuple(f.name for f in self.schema if f.name not in other)
 
 
 _ORDER_HEADER = f"""order_id string, buyer_name string, buyer_phone string, buyer_email string, province string,
@@ -66,13 +69,14 @@ TABLES = {
             ("order_id",),
             _ORDER_HEADER,
             live=("order_status", "actual_amount", "load_time"),
+            added=("item_count",),
             not_null=("order_status", "order_amount", "discount", "actual_amount", "item_count", "created_at"),
         ),
         Table(
             "dwd_order_item",
-            "order items, one row per element of an order's item list",
-            ("order_id", "item_no"),
-            f"""order_id string, item_no int, product_id string, product_name string, brand string, category string,
+            "order items, one row per element of the item lists of an order's parts; a whole order's part is empty",
+            ("order_id", "part", "item_no"),
+            f"""order_id string, part string, item_no int, product_id string, product_name string, brand string, category string,
             sub_category string, original_price {MONEY}, price {MONEY}, quantity int, sales_volume int,
             subtotal {MONEY}, load_time timestamp""",
             not_null=("product_id", "product_name", "original_price", "price", "quantity", "subtotal"),

@@ -14,7 +14,7 @@ PRODUCT_EVENT = """product_id string, name string, brand string, category string
     price decimal(38,10), description string, image_url string, keywords array<string>, created_at string,
     is_variant boolean"""
 
-ORDER_EVENT = """order_id string, order_status string,
+ORDER_EVENT = """order_id string, part string, order_status string,
     items array<struct<product_id: string, product_name: string, brand: string, category: string,
         sub_category: string, original_price: decimal(38,10), price: decimal(38,10), quantity: int,
         sales_volume: int, subtotal: decimal(38,10)>>,

@@ -15,16 +15,12 @@ from martloom.functions.vocabulary import (
     SHIPPED,
     STATE_CODES,
 )
-from martloom.operators.order_join import splittable
 from martloom.plans.goods import goods_info
 from martloom.sources.feeds import computed_once
 
 # Line items have no key; these columns order them completely (equal rows are exact copies).
 LINE_ORDER = ["l_linenumber", "l_suppkey", "subtotal", "quantity", "l_shipdate"]
 
-# An order message holds at most about this many items; a larger order is sent as several messages.
-ITEMS_PER_MESSAGE = 1000
-
 # Tier bounds under which these tables give all three tiers.
 SAMPLE_TIERS = (12_000_000, 6_000_000)
 
@@ -252,16 +248,12 @@ def _damaged(message: Column, empty: Column, cut: Column) -> Column:
 
 
 def order_feed(spark: SparkSession, folder: str) -> DataFrame:
-    """One JSON message per order with its items, with defects chosen by the order key.
+    """One JSON message per item row, and one per order without items, with defects chosen by the order key.
 
-    Items of an order are gathered into one text, so an order above ``ITEMS_PER_MESSAGE`` is cut into parts first.
+    Each message has the order's header and a ``part`` of its own, so an order of any size is sent the same way and no
+    order's items are gathered in one place.
     """
     rows = items(spark, folder)
-    sizes = lines(spark, folder).groupBy("order_id").agg(F.count(F.lit(1)).alias("_n"))
-    large = sizes.filter(F.col("_n") > ITEMS_PER_MESSAGE).select(
-        "order_id", F.ceil(F.col("_n") / ITEMS_PER_MESSAGE).alias("_parts")
-    )
-    spread = F.pmod(F.xxhash64("product_id", *LINE_ORDER), F.col("_parts"))
     odd_quantity = F.pmod(F.col("order_id").cast("bigint"), F.lit(23)) == 4
     item = F.struct(
         "product_id",
@@ -275,13 +267,6 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
         F.when(odd_quantity, F.col("quantity").cast("string")).alias("sales_volume"),
         "subtotal",
     )
-    gathered = (
-        rows.join(splittable(large, "order_id"), "order_id", "left")
-        .withColumn("_part", F.coalesce(spread, F.lit(0)))
-        .groupBy("order_id", "_part")
-        .agg(F.sort_array(F.collect_list(F.struct(*LINE_ORDER, item.alias("item")))).alias("_lines"))
-        .select("order_id", F.col("_lines.item").alias("items"))
-    )
     k = F.col("o_orderkey")
 
     def every(n: int, rest: int) -> Column:
@@ -293,6 +278,7 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
     fields = F.struct(
         "order_id",
         F.when(every(31, 8), "").when(every(3, 0), code).otherwise(F.col("order_status")).alias("order_status"),
+        F.monotonically_increasing_id().cast("string").alias("part"),
         F.when(~every(29, 6), F.col("items")).alias("items"),
         F.lit(99).alias("item_count"),
         F.when(every(10, 4), rounded_up).otherwise(F.col("order_amount")).alias("order_amount"),
@@ -331,6 +317,10 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("logistics"),
         F.when(every(7, 2), "unknown").otherwise(placed).alias("created_at"),
     )
-    facts = _order_facts(spark, folder).join(gathered, "order_id", "left")
-    value = _damaged(F.to_json(fields), every(37, 9), every(50, 49))
-    return computed_once(facts, "value", value).select("value")
+    facts = _order_facts(spark, folder)
+    sold = rows.select("order_id", F.array(item).alias("items")).join(facts, "order_id")
+    bare = facts.join(rows.select("order_id").distinct(), "order_id", "left_anti")
+    sent = sold.unionByName(bare, allowMissingColumns=True)
+    value = _damaged(F.col("text"), every(37, 9), every(50, 49))
+    texts = sent.select("o_orderkey", F.to_json(fields).alias("text"))
+    return computed_once(texts, "value", value).select("value")

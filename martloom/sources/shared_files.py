@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -27,13 +29,14 @@ def read_text(spark: SparkSession, path: str) -> str:
 def publish_text(spark: SparkSession, path: str, text: str) -> None:
     """Write aside, then rename: readers see the whole file or none. Fails when the file is already there."""
     fs, target = _open(spark, path)
-    draft = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}")
+    draft = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{uuid.uuid4().hex}-{target.getName()}")
     stream = fs.create(draft, True)
     try:
         stream.write(text.encode("utf-8"))
     finally:
         stream.close()
     if fs.exists(target) or not fs.rename(draft, target):
+        fs.delete(draft, False)
         raise RuntimeError(f"{path} was published by another writer")
 
 

@@ -94,19 +94,20 @@ class Warehouse:
     def begin(self, writer: str) -> Change:
         return Change(self, writer)
 
-    def days_touched(self, writer: str, table: str, after: int) -> list[str]:
-        """Days of ``table`` written by the commits later than version ``after``."""
+    def days_touched(self, writer: str, table: str, after: int, until: int | None = None) -> list[str]:
+        """Days of ``table`` written by the commits later than version ``after``, up to version ``until``."""
         days: set[str] = set()
         for version in self.versions(writer):
-            if version > after:
+            if version > after and (until is None or version <= until):
                 days.update(self.commit_at(writer, version)["touched"].get(table, []))
         return sorted(days)
 
     # Reading
 
-    def read(self, table: str, days: Sequence[str] | None = None) -> DataFrame:
-        """The table's current rows, of the given days or all."""
-        return self._read(table, self.head(OWNER[table])["tables"].get(table, {}), days)
+    def read(self, table: str, days: Sequence[str] | None = None, commit: dict | None = None) -> DataFrame:
+        """The table's rows, of the given days or all, as of a commit of its writer or now."""
+        commit = commit or self.head(OWNER[table])
+        return self._read(table, commit["tables"].get(table, {}), days)
 
     def changes(self, table: str, days: Sequence[str] | None = None) -> DataFrame:
         """The stored change rows of a table that is merged on read."""
@@ -127,7 +128,7 @@ class Warehouse:
             return rows
         spec = TABLES[table]
         frozen = [*spec.frozen, *([DAY] if table in DAILY else [])]
-        return merge_changes(rows, spec.key, frozen, spec.live)
+        return merge_changes(rows, spec.key, frozen, spec.live, added=spec.added)
 
     # Scratch
 
@@ -174,7 +175,7 @@ class Warehouse:
         change = self.begin(OWNER[table])
         spec = TABLES[table]
         frozen = [*spec.frozen, *([DAY] if table in DAILY else [])]
-        folded = merge_changes(self.changes(table), spec.key, frozen, spec.live, keep_seq=True)
+        folded = merge_changes(self.changes(table), spec.key, frozen, spec.live, keep_seq=True, added=spec.added)
         change.replace(table, folded)
         return change.commit(touch=False)
 
@@ -224,6 +225,10 @@ class Change:
         self.touched.setdefault(table, []).extend(days if days is not None else written)
         self.tables[table] = {**kept, **written}
 
+    def changes(self, table: str) -> DataFrame:
+        """The stored change rows this commit builds on."""
+        return self.wh._stored(table, self.base["tables"].get(table, {}), None)
+
     def read(self, table: str, days: Sequence[str] | None = None) -> DataFrame:
         """The table as this commit will publish it."""
         return self.wh._read(table, self.tables.get(table, {}), days)

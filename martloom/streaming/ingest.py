@@ -9,15 +9,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from martloom.functions import json_fields as J
 from martloom.functions.vocabulary import DOCUMENTED, Defaults
-from martloom.operators.keyed_merge import FIRST, LAST, as_changes, merge_changes
+from martloom.operators.keyed_merge import FIRST, as_changes, merge_changes
 from martloom.plans import detail
 from martloom.sources import feeds
 from martloom.sources.catalog import TABLES
-from martloom.sources.warehouse import DAY, ORDERS, PRODUCTS, Warehouse
+from martloom.sources.warehouse import DAY, ORDERS, PRODUCTS, Change, Warehouse
 
 Clock = Callable[[], datetime]
 
+# Part of a message that holds a whole order.
+WHOLE_ORDER = ""
+
 
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -41,7 +45,7 @@ def _rejects(judged: DataFrame, as_of: Column) -> DataFrame:
 
 def _folded(rows: DataFrame, table: str, extra: tuple[str, ...] = ()) -> DataFrame:
     spec = TABLES[table]
-    return merge_changes(as_changes(rows), spec.key, [*spec.frozen, *extra], spec.live, keep_seq=True)
+    return merge_changes(as_changes(rows), spec.key, [*spec.frozen, *extra], spec.live, keep_seq=True, added=spec.added)
 
 
 def ingest_products(
@@ -66,33 +70,38 @@ def ingest_products(
     return version
 
 
-def _first_seen(wh: Warehouse, headers: DataFrame) -> DataFrame:
-    """Per order of the batch: the day of its first message, and the first message that brought items.
+def _days(change: Change, headers: DataFrame) -> DataFrame:
+    """Per order of the batch, the day of its first message.
 
-    Stored orders are looked up by id in two columns of the stored headers; the order's first message decides its day
-    for good, so all rows of an order share a folder and a refresh can prune by day.
+    Stored orders are looked up by id in two columns of the stored headers; the first message decides the day for good,
+    so all rows of an order share a folder and a refresh can prune by day.
     """
-    here = headers.select(
-        "order_id",
-        "seq",
-        F.to_date("created_at").alias(DAY),
-        F.when(F.col("item_count") > 0, F.col("seq")).alias("item_seq"),
-    )
-    ids = here.select("order_id").distinct()
+    here = headers.select("order_id", "seq", F.to_date("created_at").alias(DAY))
     stored = (
-        wh.changes("dwd_order")
-        .join(ids, "order_id", "left_semi")
-        .select(
-            "order_id",
-            F.col(FIRST).alias("seq"),
-            DAY,
-            F.when(F.col("item_count") > 0, F.col(FIRST)).alias("item_seq"),
-        )
+        change.changes("dwd_order")
+        .join(here.select("order_id").distinct(), "order_id", "left_semi")
+        .select("order_id", F.col(FIRST).alias("seq"), DAY)
     )
+    return here.unionByName(stored).groupBy("order_id").agg(F.min_by(DAY, "seq").alias(DAY))
+
+
+def _new_parts(headers: DataFrame, stored: DataFrame) -> DataFrame:
+    """(order_id, part, seq) of the messages whose items are taken: the first of each part that is not stored.
+
+    A message without part is the whole order. The first message with items, stored or of this batch, decides whether an
+    order comes whole or in parts; messages of the other kind add no items to it.
+    """
+    offered = headers.filter(F.col("item_count") > 0).groupBy("order_id", "part").agg(F.min("seq").alias("seq"))
+    parts = stored.select("order_id", "part").distinct()
+    whole = F.col("part") == WHOLE_ORDER
+    before = parts.groupBy("order_id").agg(F.bool_or(whole).alias("was_whole"))
+    kinds = offered.groupBy("order_id").agg(F.min_by(whole, "seq").alias("comes_whole")).join(before, "order_id", "left")
+    kinds = kinds.select("order_id", F.coalesce("was_whole", "comes_whole").alias("whole"))
     return (
-        here.unionByName(stored)
-        .groupBy("order_id")
-        .agg(F.min_by(DAY, "seq").alias(DAY), F.min("item_seq").alias("item_seq"))
+        offered.join(kinds, "order_id")
+        .filter(whole == F.col("whole"))
+        .drop("whole")
+        .join(parts, ["order_id", "part"], "left_anti")
     )
 
 
@@ -106,7 +115,8 @@ def ingest_orders(
 ) -> int | None:
     """Publish one batch of order messages: headers, items and rejects together.
 
-    Items are those of the order's first message that has any, so a replayed order adds none.
+    An order may come in several messages, told apart by their ``part``. Items are those of the first message of each
+    part, so a replayed one adds none; the item count is the number of items kept.
     """
     change = wh.begin(ORDERS)
     if source is not None and change.seen(source, batch_id):
@@ -115,19 +125,26 @@ def ingest_orders(
     judged, parsed_stage = _judged(
         wh, messages, change.version, ("order_id",), items_required=not defaults.keep_empty_orders
     )
-    docs = feeds.accepted(judged)
+    part = F.coalesce(J.raw_text(F.col("doc"), "part"), F.lit(WHOLE_ORDER))
+    docs = feeds.accepted(judged).withColumn("part", part)
     headers = detail.order_rows(docs, stamp, defaults)
-    first, first_stage = wh.stage(_first_seen(wh, headers), "first-seen")
-
-    change.append("dwd_order", _folded(headers.join(first.select("order_id", DAY), "order_id"), "dwd_order", (DAY,)))
-    items = detail.item_rows(docs, stamp, defaults)
-    change.append(
-        "dwd_order_item",
-        items.join(first, "order_id").filter(F.col("seq") == F.col("item_seq")),
+    days, days_stage = wh.stage(_days(change, headers), "days")
+    # One row per calendar day, however many orders there are.
+    busy = [str(r[DAY]) for r in days.select(DAY).distinct().collect()]
+    stored = change.read("dwd_order_item", busy).join(days, "order_id", "left_semi")
+    new, new_stage = wh.stage(_new_parts(headers, stored), "new-parts")
+
+    place = ["order_id", "part", "seq"]
+    counted = headers.join(new.withColumn("taken", F.lit(True)), place, "left").withColumn(
+        "item_count", F.when(F.col("taken"), F.col("item_count")).otherwise(0)
     )
+    change.append("dwd_order", _folded(counted.join(days, "order_id"), "dwd_order", (DAY,)))
+    items = detail.item_rows(docs, stamp, defaults).join(new, place, "left_semi")
+    change.append("dwd_order_item", items.join(days, "order_id"))
     change.append("rejected_orders", _rejects(judged, stamp))
     version = change.commit(source, batch_id)
-    wh.drop_stage(first_stage)
+    wh.drop_stage(new_stage)
+    wh.drop_stage(days_stage)
     wh.drop_stage(parsed_stage)
     return version
 

@@ -21,27 +21,30 @@ def refresh(
     days: Sequence[str] | None = None,
     overwrite_wide: bool = False,
     bounds: tuple[int, int] = TIER_BOUNDS,
+    source: dict | None = None,
 ) -> int:
     """Recompute the summaries of the given days (all by default), then the metrics, and publish them together.
 
+    Orders and items are read from one commit of the order feed, ``source`` or the latest, whatever is published meanwhile.
     The wide table only gains rows unless ``overwrite_wide`` is set. Orders are merged once and joined with their items
     once; both results are kept in the shared folder for the statements that read them.
     """
     change = wh.begin(REFRESH)
-    order_version = wh.head(ORDERS)["version"]
+    source = source or wh.head(ORDERS)
     orders, orders_stage = wh.stage(
-        wh.read("dwd_order", days).select("order_id", "created_at", *summary.WIDE_ORDER_COLUMNS), "orders"
+        wh.read("dwd_order", days, source).select("order_id", "created_at", *summary.WIDE_ORDER_COLUMNS), "orders"
     )
-    items = wh.read("dwd_order_item", days).drop(DAY)
+    items = wh.read("dwd_order_item", days, source).drop(DAY)
     joined, stage = wh.stage(
         items_with_orders(
-            items.select("order_id", "item_no", "product_id", *summary.WIDE_ITEM_COLUMNS),
+            items.select("order_id", "part", "item_no", "product_id", *summary.WIDE_ITEM_COLUMNS),
             orders,
             as_of,
         ),
         "item-orders",
     )
-    wide = summary.wide_rows(joined, as_of, None if overwrite_wide else change.read("dws_order_wide", days))
+    state = None if overwrite_wide else change.read("dws_order_wide", days)
+    wide = summary.wide_rows(joined, as_of, state, ["part", "item_no"])
     if overwrite_wide:
         change.replace("dws_order_wide", wide, days)
     else:
@@ -52,7 +55,7 @@ def refresh(
 
     for table, rows in metric_tables(change.read, bounds).items():
         change.replace(table, rows)
-    version = change.commit(order_version=order_version)
+    version = change.commit(order_version=source["version"])
     wh.drop_stage(stage)
     wh.drop_stage(orders_stage)
     return version
@@ -79,8 +82,9 @@ def refresh_touched(wh: Warehouse, as_of: datetime, **options) -> int | None:
     included, and late orders simply touch an old day.
     """
     done = wh.head(REFRESH).get("order_version", 0)
-    days = wh.days_touched(ORDERS, "dwd_order", done)
-    return refresh(wh, as_of, days, **options) if days else None
+    source = wh.head(ORDERS)
+    days = wh.days_touched(ORDERS, "dwd_order", done, source["version"])
+    return refresh(wh, as_of, days, source=source, **options) if days else None
 
 
 def start_refresh(

@@ -145,7 +145,7 @@ def test_live_preset_keeps_empty_orders_and_takes_their_later_items(spark, folde
     write(folder / "live", 1, [message("7", items=("a",)), message("7", items=("b",))])
     wh = Warehouse(spark, str(folder / "wh"))
     run(wh, folder, defaults=LIVE, feed="live", per_batch=1)
-    assert wh.read("dwd_order").first().item_count == 0
+    assert wh.read("dwd_order").first().item_count == 1
     assert [r.product_id for r in wh.read("dwd_order_item").collect()] == ["a"]
 
 
@@ -273,3 +273,67 @@ def test_messages_without_id_are_rejected(spark, tmp_path):
     assert [r.reason for r in wh.read("rejected_orders").collect()] == ["missing_order_id"] * 2
     assert wh.read("dwd_order").count() == 1
     assert wh.read("dwd_order_item").count() == 2
+
+
+def part_of(oid, part, items, state="paid"):
+    return json.dumps(json.loads(message(oid, state, items=items)) | {"part": part})
+
+
+def test_an_order_in_several_messages_keeps_all_its_items(spark, tmp_path):
+    (tmp_path / "feed").mkdir()
+    sizes = {"x": 1000, "y": 1000, "z": 500}
+    texts = {p: part_of("1", p, [f"{p}{i}" for i in range(n)]) for p, n in sizes.items()}
+    write(tmp_path / "feed", 0, [texts["x"], texts["y"], texts["x"]])
+    write(tmp_path / "feed", 1, [texts["z"], texts["y"], message("1", "completed", items=("late whole",))])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    run(wh, tmp_path, per_batch=1)
+
+    def stored():
+        rows = wh.read("dwd_order_item")
+        return rows.count(), rows.select("part", "item_no").distinct().count(), wh.read("dwd_order").first().item_count
+
+    assert stored() == (2500, 2500, 2500)
+    run(wh, tmp_path, checkpoint="again")
+    assert stored() == (2500, 2500, 2500)
+    wh.compact("dwd_order")
+    assert stored() == (2500, 2500, 2500)
+    assert wh.read("dwd_order").first().order_status == "已完成"
+
+
+def test_refresh_reads_one_commit(spark, tmp_path, monkeypatch):
+    (tmp_path / "feed").mkdir()
+    write(tmp_path / "feed", 0, [message("1")])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    ingest.ingest_orders(wh, feeds.file_messages(spark, str(tmp_path / "feed")), NOW)
+    (tmp_path / "late").mkdir()
+    write(tmp_path / "late", 0, [message("2"), message("3", day=2)])
+    late = feeds.file_messages(spark, str(tmp_path / "late"))
+    stage, touched, pending = wh.stage, wh.days_touched, [1]
+
+    def once():
+        if pending:
+            pending.pop()
+            ingest.ingest_orders(wh, late, NOW)
+
+    def staged(df, label):
+        out = stage(df, label)
+        if label == "orders":
+            once()
+        return out
+
+    def days_touched(*args):
+        days = touched(*args)
+        once()
+        return days
+
+    monkeypatch.setattr(wh, "stage", staged)
+    refresh.refresh_touched(wh, NOW)
+    assert [r.order_id for r in wh.read("dws_order_wide").select("order_id").distinct().collect()] == ["1"]
+    monkeypatch.setattr(wh, "days_touched", days_touched)
+    write(tmp_path / "late", 1, [message("4", day=3)])
+    late, pending = feeds.file_messages(spark, str(tmp_path / "late")), [1]
+    refresh.refresh_touched(wh, NOW)
+    refresh.refresh_touched(wh, NOW)
+    states = {r.order_id: r.order_status for r in wh.read("dws_order_wide").collect()}
+    assert states == dict.fromkeys("1234", "已付款")
+    assert [str(r.dt) for r in wh.read("ads_daily_sales_trend").orderBy("dt").collect()] == [f"2024-01-0{d}" for d in (1, 2, 3)]
