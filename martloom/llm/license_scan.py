@@ -75,9 +75,8 @@ EQUIVALENT = [
 _COPYRIGHT = r"(?im)^[^\p{L}\p{N}\n]*(?:copyright\b(?:[^\p{L}\n]*\b(?:c|by)\b|[^\p{L}\n]*\d|\s*[(<©])|\(c\)\s|©|all rights reserved)[^\n]*$"
 
 
-def _words(text: Column) -> Column:
-    """Lower case, without copyright lines; a space for every run of other characters than letters, digits and line ends."""
-    low = F.lower(text)
+def _words(low: Column) -> Column:
+    """Without copyright lines; a space for every run of other characters than letters, digits and line ends."""
     named = low.contains("copyright") | low.contains("(c)") | low.contains("\u00a9") | low.contains("all rights reserved")
     return F.regexp_replace(F.when(named, F.regexp_replace(low, _COPYRIGHT, "")).otherwise(low), r"[^\p{L}\p{N}\n]+", " ")
 
@@ -94,7 +93,12 @@ def _whole(words: Column) -> Column:
 
 def canonical(text: Column) -> Column:
     """Lower case without copyright lines and punctuation, one space between words, equivalent spellings made one."""
-    return _whole(_words(text))
+    return _whole(_words(F.lower(text)))
+
+
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column: a generated one is not copied into each expression that reads it."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def _digest(plain: Column) -> Column:
@@ -120,10 +124,11 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     """
     known = written(known.where("digest is not null").groupBy("digest").agg(F.min("license").alias("license")), "known")
     text = F.col("text").cast("string")
-    rows = docs.select("doc_id", F.xxhash64(text).alias("part"), (F.instr(text, "\n") > 0).alias("parted"), _words(text).alias("words"))
-    whole = rows.select("doc_id", "part", _digest(_whole(F.col("words"))).alias("digest"))
+    rows = docs.select("doc_id", F.xxhash64(text).alias("part"), (F.instr(text, "\n") > 0).alias("parted"), text.alias("text"))
+    rows = _once(_once(rows, "low", F.lower("text")).drop("text"), "words", _words(F.col("low"))).drop("low")
+    whole = _once(rows, "plain", _whole(F.col("words"))).select("doc_id", "part", _digest(F.col("plain")).alias("digest"))
     lines = rows.where("parted").select("doc_id", "part", F.explode(F.split("words", r"\n")).alias("line"))
-    found = lines.select("doc_id", "part", _digest(_alike(F.trim("line"))).alias("digest")).join(known, "digest").select("doc_id", "part", "license", F.lit(False).alias("whole"))
+    found = _once(lines, "plain", _alike(F.trim("line"))).select("doc_id", "part", _digest(F.col("plain")).alias("digest")).join(known, "digest").select("doc_id", "part", "license", F.lit(False).alias("whole"))
     every = whole.join(known, "digest", "left").select("doc_id", "part", "digest", "license").distinct()
     notices = found.groupBy("doc_id", "part").agg(F.array_sort(F.collect_set("license")).alias("notices"))
     n = notices.select(F.col("doc_id").alias("_id"), F.col("part").alias("_part"), "notices")
