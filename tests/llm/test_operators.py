@@ -270,3 +270,24 @@ def test_site_quality_odd(spark):
     assert len(rows) == len(ODD) and all(r.kept for r in rows)
     two = spark.createDataFrame([(7, 1, 0), (8, 0, 0), (8, 0, 1), (None, 1, 0)], "doc_id long, quality int, toxic int")
     assert site_quality.judged(odd(spark), two, ["doc_id"]).count() == len(ODD)
+
+
+def test_full_license_texts(spark):
+    """Whole licence texts under, without and beside their titles; Spark's digest of each spelling is the stored one."""
+    where = license_scan.files("martloom.llm").joinpath("licenses")
+    parts = {f.name.removesuffix(".txt"): f.read_text(encoding="utf-8").split("\n%%\n") for f in where.iterdir()}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense", "CC0-1.0", "CC-BY-SA-4.0"} <= set(parts)
+    texts = []
+    for name, (titles, body, appendix) in parts.items():
+        first = titles.split("\n%\n")[0]
+        texts += [(name, f"{first}\n\n{body}\n{appendix}"), (name, f"Copyright (c) 2020 Some One\n\n{body}"), (name, f"{first}\n{body}".replace("http://", "https://").upper())]
+    mit, isc, zlib_ = (license_scan.KNOWN[x] for x in ("MIT", "ISC", "Zlib"))
+    texts += [("MIT", mit.split("\n", 1)[1]), ("MIT", "The " + mit), ("ISC", isc.split("\n", 1)[1]), ("ISC", isc.replace("and/or dist", "and dist")), ("Zlib", zlib_.split("\n", 1)[1])]
+    two = parts["BSD-2-Clause"][1]
+    texts += [("BSD-2-Clause", two.replace("1. ", "* ").replace("2. ", "* ")), ("Apache-2.0", parts["Apache-2.0"][1].replace("authorized", "authorised"))]
+    table = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.license for r in license_scan.scan(table, license_scan.known_table(spark)).collect()}
+    assert [(n, got[i]) for i, (n, _) in enumerate(texts) if got[i] != n] == []
+    notices = ["// SPDX-License-Identifier: BSD-3-Clause", "This project is licensed under the Mozilla Public License 2.0.", "Released under the MIT License."]
+    row = license_scan.scan(spark.createDataFrame([(1, "code\n" + "\n".join(notices) + "\nmore")], SCHEMA), license_scan.known_table(spark)).first()
+    assert row.license is None and row.notices == ["BSD-3-Clause", "MIT notice", "MPL-2.0"]
