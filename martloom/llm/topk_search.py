@@ -73,8 +73,9 @@ class Block:
             open_queries = open_queries[~done]
         if len(open_queries):
             scores = q[open_queries] @ self.x.T
+            scores[own[open_queries]] = worst
             for i, row in zip(open_queries, scores, strict=True):
-                least = np.partition(row, -(k + 1))[-(k + 1)] if len(row) > k + 1 else worst
+                least = np.partition(row, -k)[-k] if len(row) > k else worst
                 keep = np.flatnonzero((row >= least) & ~own[i])
                 out[i] = _best(self.ids[keep], row[keep], k)
         return out

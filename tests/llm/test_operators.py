@@ -291,3 +291,14 @@ def test_full_license_texts(spark):
     notices = ["// SPDX-License-Identifier: BSD-3-Clause", "This project is licensed under the Mozilla Public License 2.0.", "Released under the MIT License."]
     row = license_scan.scan(spark.createDataFrame([(1, "code\n" + "\n".join(notices) + "\nmore")], SCHEMA), license_scan.known_table(spark)).first()
     assert row.license is None and row.notices == ["BSD-3-Clause", "MIT notice", "MPL-2.0"]
+
+
+@pytest.mark.parametrize("others", [40, 2000])
+def test_topk_of_repeated_queries(spark, others):
+    """A query's repeated rows take no place of another vector, in a small block and in one left open after the stretches."""
+    x = {i: [i, others - i, i * 37 % others] for i in range(1, others)}
+    rows = [(i, [float(c) for c in v]) for i, v in x.items()] + [(0, [2000.0, 2000.0, 20.0])] * 3
+    v = topk_search.whole_numbers(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    got = sorted(topk_search.top_k(v, v.where("vec_id = 0"), 20).collect(), key=lambda r: r["rank"])
+    want = sorted((-64 * 64 * (2000 * (a + b) + 20 * c), i) for i, (a, b, c) in x.items())[:20]
+    assert [(r["rank"], -r.score, r.vec_id) for r in got] == [(n + 1, *w) for n, w in enumerate(want)]
