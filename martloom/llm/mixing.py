@@ -1,7 +1,8 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
 Every source's documents lie in blocks by a keyed hash, about equal in words. A source's target is met by whole blocks, once or twice
-through the source, and by documents of one more block, taken in order as long as they fit. The numbers of blocks drawn are exact quotas; a tree
+through the source, and by documents of one more block, taken in order as long as they fit; room that is left goes on to the blocks
+after it, until no document left in the source fits. The numbers of blocks drawn are exact quotas; a tree
 over the output shards halves them again and again, each time by a multivariate-hypergeometric draw, so every shard's
 share of every source is random and all blocks are used once. A shard's blocks are a stretch of the source's permuted
 blocks, and its rows are shuffled by hash within it.
@@ -9,7 +10,7 @@ blocks, and its rows are shuffled by hash within it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from martloom.llm.shared import written
@@ -98,6 +99,52 @@ def splitting_tree(quotas: DataFrame, shards: int, seed: int = SEED) -> DataFram
     return nodes.select("shard", F.explode("parts").alias("p")).select("shard", "p.src", "p.begin", "p.blocks").where("blocks > 0")
 
 
+def _earlier(*by: str) -> WindowSpec:
+    return Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _started(blocks: DataFrame) -> DataFrame:
+    """`blocks` (src, block, words) with start, the words of the source's blocks before; added up in groups of blocks."""
+    group = F.floor(F.col("block") / TOGETHER)
+    groups = blocks.groupBy("src", group.alias("group")).agg(F.sum("words").alias("words"))
+    groups = groups.select("src", "group", F.coalesce(F.sum("words").over(_earlier("src").orderBy("group")), F.lit(0)).alias("group_start"))
+    start = F.col("group_start") + F.coalesce(F.sum("words").over(_earlier("src", "group").orderBy("block")), F.lit(0))
+    return blocks.withColumn("group", group).join(groups, ["src", "group"]).withColumn("start", start).drop("group", "group_start")
+
+
+def _filled(inside: DataFrame) -> DataFrame:
+    """(src, block, left, chosen, words): `inside` (src, block, room, key, size) taken by key as long as it fits."""
+    listed = inside.groupBy("src", "block", "room").agg(F.array_sort(F.collect_list(F.struct("key", "size"))).alias("rows"))
+    fill = """aggregate(rows, named_struct('left', cast(room as double), 'keys', cast(array() as array<bigint>), 'words', 0L),
+        (a, x) -> IF(x.size <= a.left, named_struct('left', a.left - x.size, 'keys', concat(a.keys, array(x.key)), 'words', a.words + x.size), a))"""
+    return listed.select("src", "block", F.expr(fill).alias("f")).select("src", "block", "f.left", F.col("f.keys").alias("chosen"), "f.words")
+
+
+def _carried(loose: DataFrame, room: DataFrame) -> list[DataFrame]:
+    """(src, block, chosen, words) of documents `loose` (src, block, key, size) that fill `room` (src, after, room) from blocks beyond `after`.
+
+    A round takes documents of at most half the room. Where not all of them fit, the one that does not leaves less than half of the
+    room for the blocks after it, so rounds are few; where all fit, one larger document may follow, and no other fits.
+    """
+    taken = []
+    while True:
+        loose = written(loose.drop("after", "room").join(room, "src").where("block > after and size <= room"), "loose")
+        if loose.isEmpty():
+            return taken
+        small = loose.where("size <= room / 2")
+        sums = written(_started(small.groupBy("src", "block", "room").agg(F.sum("size").alias("words"))), "starts")
+        fits = sums.where("start + words <= room").select("src", "block")
+        taken.append(small.join(fits, ["src", "block"]).groupBy("src", "block").agg(F.collect_list("key").alias("chosen"), F.sum("size").alias("words")))
+        crossed = sums.where("start <= room and start + words > room").select("src", "block", (F.col("room") - F.col("start")).alias("room"))
+        filled = written(_filled(small.drop("room").join(crossed, ["src", "block"])), "filled")
+        taken.append(filled.select("src", "block", "chosen", "words"))
+        total = F.coalesce(F.sum(F.when(F.col("size") <= F.col("room") / 2, F.col("size"))), F.lit(0))
+        ended = loose.groupBy("src", "room").agg(total.alias("total")).where("total <= room").select("src", (F.col("room") - F.col("total")).alias("end"))
+        last = loose.where("size > room / 2").join(ended, "src").where("size <= end").groupBy("src").agg(F.min(F.struct("block", "key", "size")).alias("d"))
+        taken.append(last.select("src", "d.block", F.array("d.key").alias("chosen"), F.col("d.size").alias("words")))
+        room = filled.select("src", F.col("block").alias("after"), F.col("left").alias("room"))
+
+
 def _draws(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int, shards: int, block_words: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """(docs with src, size, key and block; per src and block: target, source size, shards of each pass, keys of a part)."""
     key = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 1)
@@ -110,24 +157,21 @@ def _draws(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int
     block = F.least(F.col("n_blocks") - 1, F.floor(F.col("key") / _LARGEST * F.col("n_blocks"))).cast("long")
     placed = light.join(per_source.select("src", "n_blocks"), "src").withColumn("block", block)
     blocks = written(placed.groupBy("src", "block").agg(F.sum("size").alias("words")), "blocks")
-    group = F.floor(F.col("block") / TOGETHER)
-    groups = blocks.groupBy("src", group.alias("group")).agg(F.sum("words").alias("words"))
-    earlier = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.select("src", "group", F.coalesce(F.sum("words").over(earlier("src").orderBy("group")), F.lit(0)).alias("group_start"))
-    blocks = blocks.withColumn("group", group).join(groups, ["src", "group"])
-    start = F.col("group_start") + F.coalesce(F.sum("words").over(earlier("src", "group").orderBy("block")), F.lit(0))
-    blocks = blocks.withColumn("start", start).join(per_source, "src")
+    blocks = _started(blocks).join(per_source, "src")
     room = F.col("part") - F.col("start")
     blocks = written(blocks.select("src", "block", "words", "target", "source_size", "n_blocks", "passes", room.alias("room")), "blocks")
     split = blocks.where("room > 0 and words > room").select("src", "block", "room", "n_blocks")
-    inside = light.where("size > 0").join(split, "src").where(block == F.col("block")).groupBy("src", "room", "key").agg(F.sum("size").alias("size"))
-    listed = inside.groupBy("src", "room").agg(F.array_sort(F.collect_list(F.struct("key", "size"))).alias("rows"))
-    fill = """aggregate(rows, named_struct('left', cast(room as double), 'keys', cast(array() as array<bigint>)),
-        (a, x) -> IF(x.size <= a.left, named_struct('left', a.left - x.size, 'keys', concat(a.keys, array(x.key))), a), a -> a.keys)"""
-    chosen = listed.select("src", F.expr(fill).alias("chosen")).where(F.size("chosen") > 0)
-    chosen = written(split.join(chosen, "src").select("src", "block", "chosen"), "chosen")
-    blocks = blocks.join(chosen, ["src", "block"], "left")
-    whole = (F.col("room") > 0) & (F.col("words") <= F.col("room"))
+    inside = light.where("size > 0").join(split, "src").where(block == F.col("block")).groupBy("src", "block", "room", "key").agg(F.sum("size").alias("size"))
+    filled = written(_filled(inside), "filled")
+    room = filled.select("src", F.col("block").alias("after"), F.col("left").alias("room"))
+    after = placed.where("size > 0").join(room, "src").where("block > after and size <= room")
+    loose = after.groupBy("src", "block", "key").agg(F.sum("size").alias("size"))
+    chosen = filled.select("src", "block", "chosen", "words")
+    for more in _carried(loose, room):
+        chosen = chosen.union(more)
+    chosen = chosen.where(F.size("chosen") > 0).groupBy("src", "block").agg(F.flatten(F.collect_list("chosen")).alias("chosen"), F.sum("words").alias("chosen_words"))
+    blocks = blocks.join(written(chosen, "chosen"), ["src", "block"], "left")
+    whole = ((F.col("room") > 0) & (F.col("words") <= F.col("room"))) | F.coalesce(F.col("chosen_words") == F.col("words"), F.lit(False))
     partly = whole | F.col("chosen").isNotNull()
     # Draws of a source: all blocks for each whole pass, then those of the part; numbered, then permuted.
     turns = F.when(partly, F.col("passes")).otherwise(F.col("passes") - 1)
@@ -138,7 +182,7 @@ def _draws(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int
     # Within a source the drawn blocks are numbered through: group by group, so that no task counts a whole source.
     numbered = drawn.withColumn("group", F.floor(F.col("block") / TOGETHER))
     counts = numbered.groupBy("src", "group").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.select("src", "group", F.coalesce(F.sum("n").over(earlier("src").orderBy("group")), F.lit(0)).alias("base"))
+    counts = counts.select("src", "group", F.coalesce(F.sum("n").over(_earlier("src").orderBy("group")), F.lit(0)).alias("base"))
     number = F.col("base") + F.row_number().over(Window.partitionBy("src", "group").orderBy("block", "turn")) - 1
     numbered = numbered.join(counts, ["src", "group"]).withColumn("number", number).join(quota, "src")
     place = F.pmod(F.col("number") * _STEP + seed, F.col("blocks"))
@@ -160,7 +204,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     """Per row of `docs` (doc_id, text, source): doc_id, size, source_size, target, taken and its output shards.
 
     size counts runs of anything but ASCII white space; a null or empty text has none and is never taken beyond 0 words. A source takes its
-    target but for fewer words than any document left in its last block has. Rows equal in doc_id and text are taken or left together. A
+    target but for fewer words than any document has that the part of a pass leaves. Rows equal in doc_id and text are taken or left together. A
     null source is a source; an empty table gives no rows.
     """
     rows, plan = _draws(docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")), weights, share, repeats, shards, block_words, seed)

@@ -302,3 +302,16 @@ def test_topk_of_repeated_queries(spark, others):
     got = sorted(topk_search.top_k(v, v.where("vec_id = 0"), 20).collect(), key=lambda r: r["rank"])
     want = sorted((-64 * 64 * (2000 * (a + b) + 20 * c), i) for i, (a, b, c) in x.items())[:20]
     assert [(r["rank"], -r.score, r.vec_id) for r in got] == [(n + 1, *w) for n, w in enumerate(want)]
+
+
+def test_mixing_beside_huge_documents(spark):
+    """Room that a huge document in the crossing block leaves goes to later blocks: in the end no document left fits."""
+    huge = [(10_000 + i, "w " * 3_000, "abcd"[i % 4]) for i in range(24)]
+    small = [(i, "w " * (20 + i % 97), "abcd"[i % 4]) for i in range(1200)]
+    table = spark.createDataFrame(huge + small, "doc_id long, text string, source string")
+    rows = table.select("doc_id", "source").join(mixing.mix(table, block_words=100), "doc_id").collect()
+    assert len(rows) == len(huge) + len(small)
+    for s in "abcd":
+        own = [r for r in rows if r.source == s]
+        left, passes = own[0].target - sum(r.taken for r in own), int(own[0].target / own[0].source_size)
+        assert 0 <= left < min((r.size for r in own if len(r.shards) <= passes), default=1)
