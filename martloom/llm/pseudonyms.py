@@ -14,13 +14,22 @@ ROUNDS = 6
 #: Days of 400 Gregorian years, as the product of the two sides of the dates' network.
 _DAYS, _LEFT, _RIGHT = 146_097, 189, 773
 
+# Countries by the length of their IBAN.
+IBAN = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH DE GB GE IE ME RS",
+    23: "AE GI IL IQ", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ CY DO GT HU LB PL",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT", 32: "LC",
+}
+
 # What is looked for. A match is replaced only if it is valid.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\d/-]|\.\d)",
     "address": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)",
-    "phone": r"(?<!\d)(?:\+?\d{1,3}[ -])?(?:\(\d{3}\) |\d{3}-)\d{3}-\d{4}(?!\d|-\d)",
-    "payment": r"(?<!\d)(?<!\d-)(?:\d{4}([ -])\d{4}\{SEP}\d{4}\{SEP}\d{1,7}|\d{13,19})(?!\d|-\d)",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}\d{{2}})(?:{'|'.join(rf'(?:{c.replace(" ", "|")})\d{{2}}(?: ?[A-Z0-9]){{{n - 4}}}' for n, c in IBAN.items())})(?![A-Za-z0-9])",
+    "phone": r"(?<!\d)(?:\+?\d{1,3}[ .-])?(?:\(\d{3}\)[ .-]?\d{3}[ .-]|\d{3}-\d{3}-|(?<!\d[ .])(?:\d{3}\.\d{3}\.|\d{3} \d{3} ))\d{4}(?!\d|[.-]\d)",
+    "international": r"(?<!\d)\+(?=[1-9](?:[ .()-]{0,2}\d){7})\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{1,4}){2,5}(?!\d)",
+    "payment": r"(?<!\d)(?<!\d-)(?:\d{4}([ .-])(?:\d{4}\{SEP}\d{4}\{SEP}\d{1,7}|\d{6}\{SEP}\d{4,5}|\d{3}\{SEP}\d{3}\{SEP}\d{3})|\d{13,19})(?!\d|-\d)",
     "social": r"(?<!\d)(?<!\d-)\d{3}-\d{2}-\d{4}(?!\d|-\d)",
 }
 
@@ -90,6 +99,19 @@ def _laid(text: str, digits: str) -> str:
     return _let("q", digits, f"aggregate(split({text}, ''), named_struct('out', '', 'at', 1), (a, c) -> {step}, a -> a.out)")
 
 
+def _remainder(text: str) -> str:
+    """`text` modulo 97, a letter counting as two digits from 10 for A."""
+    return f"aggregate(split({text}, ''), 0L, (r, c) -> IF(c BETWEEN '0' AND '9', (r * 10 + ascii(c) - 48) % 97, (r * 100 + ascii(c) - 55) % 97))"
+
+
+def _iban(key: str) -> str:
+    """An IBAN with its account moved and its check digits made anew; m itself if its own are wrong."""
+    laid = "aggregate(split(m, ''), named_struct('out', '', 'at', 1), (a, c) -> IF(c = ' ', named_struct('out', concat(a.out, c), 'at', a.at), named_struct('out', concat(a.out, substring(q, a.at, 1)), 'at', a.at + 1)), a -> a.out)"
+    check = "lpad(cast(98 - " + _remainder("concat(n, substring(b, 1, 2), '00')") + " as string), 2, '0')"
+    new = _let("n", _characters(key, "substring(b, 5)"), _let("q", f"concat(substring(b, 1, 2), {check}, n)", laid))
+    return _let("b", "replace(m, ' ', '')", f"IF({_remainder('concat(substring(b, 5), substring(b, 1, 4))')} = 1, {new}, m)")
+
+
 def _date(key: str, m: str, day: str, style: str) -> str:
     """A date moved within its 400 years."""
     number = f"datediff({day}, DATE'1600-01-01')"
@@ -113,9 +135,14 @@ def _pseudonym(key: str) -> str:
     parts = "concat_ws('.', v div 16777216, v div 65536 % 256, v div 256 % 256, v % 256)"
     moved = _let("o", octets, _let("v", _numbers(key, number, 65_536, 65_536), parts))
     cases.append(f"WHEN m RLIKE '^[0-9]{{1,3}}([.][0-9]{{1,3}}){{3}}$' THEN IF(forall({octets}, o -> o <= 255), {moved}, m)")
-    tail = "substring(m, length(m) - IF(m RLIKE '[(]', 13, 11))"
-    phone = f"concat(substring(m, 1, length(m) - length({tail})), {_laid(tail, _let('d', _digits(tail), _characters(key, 'd')))})"
-    cases.append(f"WHEN m RLIKE '([(][0-9]{{3}}[)] |[0-9]{{3}}-)[0-9]{{3}}-[0-9]{{4}}$' THEN {phone}")
+    cases.append(f"WHEN m RLIKE '^[A-Z]' THEN {_iban(key)}")
+    # The zone digit of an international number stays; of others the last ten digits move, so a number is the same with and without +1.
+    plus = f"concat(substring(m, 1, 2), {_let('t', 'substring(m, 3)', _laid('t', _let('d', _digits('t'), _characters(key, 'd'))))})"
+    cases.append(f"WHEN startswith(m, '+') THEN {plus}")
+    shape = "[(]?[0-9]{3}[) .-]{1,2}[0-9]{3}[ .-][0-9]{4}$"
+    tail = f"regexp_extract(m, '{shape}', 0)"
+    phone = _let("t", tail, f"concat(substring(m, 1, length(m) - length(t)), {_laid('t', _let('d', _digits('t'), _characters(key, 'd')))})")
+    cases.append(f"WHEN m RLIKE '^([0-9]{{1,3}}[ .-])?{shape}' THEN {phone}")
     social = f"IF(substring(m, 1, 3) IN ('000', '666') OR substring(m, 1, 1) = '9' OR substring(m, 5, 2) = '00' OR substring(m, 8) = '0000', m, {_laid('m', _let('d', _digits('m'), _characters(key, 'd')))})"
     cases.append(f"WHEN m RLIKE '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$' THEN {social}")
     body = _characters(key, "substring(d, 1, length(d) - 1)")
@@ -126,8 +153,8 @@ def _pseudonym(key: str) -> str:
 
 
 def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
-    """Columns of `docs` with `text` in which valid e-mail names, dates, network addresses, phone, payment and social security
-    numbers are replaced, and `n_replaced`.
+    """Columns of `docs` with `text` in which valid e-mail names, dates, network addresses, IBANs, phone, payment and social
+    security numbers are replaced, and `n_replaced`.
 
     Matches that are not valid (a check digit, a day or an octet is wrong) stay. A null text stays null with 0 replaced, an empty one empty.
     Repeated rows are treated alike. A column n_replaced of `docs` is replaced. The key is a secret of the caller, of letters and digits.

@@ -315,3 +315,18 @@ def test_mixing_beside_huge_documents(spark):
         own = [r for r in rows if r.source == s]
         left, passes = own[0].target - sum(r.taken for r in own), int(own[0].target / own[0].source_size)
         assert 0 <= left < min((r.size for r in own if len(r.shards) <= passes), default=1)
+
+
+def test_pseudonyms_of_other_shapes(spark):
+    """Printed groupings of payment numbers, dotted, spaced and international phones, and IBANs."""
+    texts = ["3782 822463 10005", "378282246310005", "3056-930902-5904", "30569309025904", "555.123.4567", "555 123 4567", "(555)123-4567", "+1 (555) 123-4567", "+15551234567", "+44 20 7946 0958", "+442079460958", "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32 2024", "DE88370400440532013000"]
+    rows = pseudonyms.pseudonymised(spark.createDataFrame([(i, f"see {t} now") for i, t in enumerate(texts)], SCHEMA), "k1").collect()
+    out = {r.doc_id: r.text.removeprefix("see ").removesuffix(" now") for r in rows}
+    plain = {i: re.sub(r"[^0-9A-Z]", "", t) for i, t in out.items()}
+    assert out[14] == texts[14] and all(out[i] != texts[i] for i in range(14))
+    assert all(re.sub(r"[0-9]", "0", out[i]) == re.sub(r"[0-9]", "0", texts[i]) for i in range(13))
+    assert plain[0] == plain[1] and plain[2] == plain[3] and luhn(plain[0]) and luhn(plain[2])
+    assert plain[4] == plain[5] == plain[6] == plain[7][1:] == plain[8][1:] and plain[9] == plain[10] and plain[11] == plain[12]
+    for iban in (plain[12], plain[13].removesuffix("2024")):
+        assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    assert re.fullmatch(r"GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d 2024", out[13])
