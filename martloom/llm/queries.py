@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import decontaminate, license_scan, mixing, ngram_join, pseudonyms, sharding, site_quality, token_records, topk_search, url_filter
+from martloom.llm import (
+    centroids,
+    decontaminate,
+    license_scan,
+    mixing,
+    ngram_join,
+    packing,
+    pseudonyms,
+    ranked_search,
+    sharding,
+    site_quality,
+    token_records,
+    topk_search,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +85,26 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return rows.select("doc_id", "n_words", "n_hit", "n_items", names.alias("items_sha256"), "contaminated")
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best of all documents for each benchmark item."""
+    return ranked_search.ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), k=10)
+
+
+def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """40 clusters after five rounds."""
+    vectors = centroids.whole_numbers(_table(spark, folder, "embeddings"))
+    rows, final = centroids.clustered(vectors, k=40, rounds=5, seed=2)
+    names = spark.createDataFrame(list(enumerate(centroids.digests(final))), "cluster int, centroid_sha256 string")
+    return rows.join(F.broadcast(names), "cluster")
+
+
+def op13_window_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Sequences of 2,048 tokens."""
+    import public_tokenizers
+
+    return packing.piece_table(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -84,9 +118,38 @@ QUERIES: dict[str, Query] = {
         op8_token_records,
         op9_ngram_jaccard_join,
         op10_benchmark_decontamination,
+        op11_ranked_search,
+        op12_centroid_clusters,
+        op13_window_packing,
     )
 }
 
+
+
+def _rounds_of_clustering(k: int = 40, rounds: int = 5, seed: int = 2) -> str:
+    """Clustering of `embeddings` round by round: (nearest) has every vector's cluster, (means) the moved centroids."""
+    distance = "list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    usable = "len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+    steps = [
+        f"""kept AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings WHERE {usable})""",
+        f"""means0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), v) - 1 AS cluster, v AS c
+            FROM kept QUALIFY row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), v) <= {k})""",
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""nearest{r} AS MATERIALIZED (SELECT id, vec_id, any_value(v) AS v, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance
+            FROM (SELECT id, vec_id, v, cluster, {distance} AS distance FROM kept, means{r}) GROUP BY id, vec_id)""")
+        if r < rounds:
+            steps.append(f"""sums{r} AS (SELECT cluster, i, sum(x)::BIGINT AS s, count(*) AS n
+            FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM nearest{r}) GROUP BY cluster, i)""")
+            steps.append(f"""means{r + 1} AS MATERIALIZED (SELECT cluster, coalesce(m, c) AS c FROM means{r}
+            LEFT JOIN (SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS m FROM sums{r} GROUP BY cluster) USING (cluster))""")
+    return f"""WITH {", ".join(steps)}
+        SELECT vec_id, cluster::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+            sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM nearest{rounds} JOIN means{rounds} USING (cluster)"""
+
+
 ORACLES: dict[str, str] = {
     "op5_url_filter": f"""
         WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
@@ -106,4 +169,18 @@ ORACLES: dict[str, str] = {
             FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
         FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20""",
+    "op11_ranked_search": """
+        WITH terms AS (SELECT doc_no, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM (SELECT row_number() OVER () AS doc_no, doc_id, text FROM documents)),
+        postings AS (SELECT doc_no, doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+        lengths AS (SELECT doc_no, sum(tf)::BIGINT AS n FROM postings GROUP BY doc_no),
+        totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths),
+        weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM postings, totals GROUP BY term, docs),
+        wanted AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+        scores AS (SELECT item_id, doc_no, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words))))::BIGINT AS score
+            FROM wanted JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (doc_no), totals GROUP BY ALL)
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM scores WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10""",
+    "op12_centroid_clusters": _rounds_of_clustering(),
 }
