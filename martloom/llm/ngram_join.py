@@ -22,7 +22,8 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.components import contracted
@@ -37,8 +38,14 @@ BITMAP_WORDS = 8
 #: Further rounds of comparing with one class of each n-gram, as long as a round still joins this part of the rest.
 WORTHWHILE = 0.01
 
-_SENT = "fragment int, k1 binary, k2 binary, n binary, sizes binary, grams binary, m_id binary, m_k1 binary, m_k2 binary, m_n binary"
-_COUNTED = "bucket int, k1 binary, k2 binary, n binary, sizes binary, grams binary, seen binary, m_id binary, m_k1 binary, m_k2 binary, m_n binary"
+#: Text bytes whose n-grams one fragment holds, and rows of an n-gram's list that are compared as one block.
+FRAGMENT_BYTES = 8 << 20
+BLOCK_ROWS = 2048
+
+_GRAMS = "k1 binary, k2 binary, n binary, sizes binary, grams binary"
+_DOCUMENTS = "m_id binary, m_text binary, m_k1 binary, m_k2 binary, m_n binary"
+_SENT = f"fragment int, {_GRAMS}, {_DOCUMENTS}"
+_COUNTED = f"bucket int, {_GRAMS}, seen binary, {_DOCUMENTS}"
 _CLASS = f"k1 long, k2 long, n long, own long, grams array<long>, seen array<int>, {', '.join(f'b{i} long' for i in range(BITMAP_WORDS))}"
 
 
@@ -54,20 +61,33 @@ def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterato
 
 
 def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    parts = [x for x in column.to_pylist() if x]
-    return np.frombuffer(b"".join(parts), dtype=kind)
+    """The bytes of all rows of a binary column, one after the other, as numbers."""
+    parts = [np.empty(0, np.uint8)]
+    for chunk in column.chunks:
+        _, offsets, data = chunk.buffers()
+        if data is not None and len(chunk):
+            at = np.frombuffer(offsets, dtype=np.int32)
+            parts.append(np.frombuffer(data, dtype=np.uint8)[at[chunk.offset] : at[chunk.offset + len(chunk)]])
+    return np.concatenate(parts).view(kind)
+
+
+def _batch(rows: list[tuple], fields: str) -> pa.RecordBatch:
+    schema = pa.schema([(f.split()[0], pa.int32() if f.endswith("int") else pa.binary()) for f in fields.split(", ")])
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema, strict=True)], schema=schema)
 
 
 def _sent(batches: Iterator[pa.RecordBatch], size: int, fragments: int) -> Iterator[pa.RecordBatch]:
-    """Texts to rows of whole arrays, one for each fragment: classes, the n-grams each has there, and the documents."""
-    schema = pa.schema([(f.split()[0], pa.int32() if f.endswith("int") else pa.binary()) for f in _SENT.split(", ")])
+    """Texts to rows of whole arrays, one for each fragment: classes and the n-grams each has there; and one of the documents,
+    dealt to the fragments in turn."""
+    turn = TaskContext.get().partitionId() * 7919 if TaskContext.get() else 0
 
-    def flush(ids: list, sets: list, has_id: list) -> pa.RecordBatch:
+    def flush(ids: np.ndarray, texts: np.ndarray, sets: list) -> pa.RecordBatch:
         key = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), dtype="<i8").reshape(-1, 2)
         n = np.array([len(s) for s in sets], dtype=np.int64)
         classes, first = {}, []
         for i, (a, b) in enumerate(key.tolist()):
-            if has_id[i] and n[i] and classes.setdefault((a, b), i) == i:
+            if n[i] and classes.setdefault((a, b), i) == i:
                 first.append(i)
         first = np.array(first, dtype=np.int64)
         grams = np.concatenate([sets[i] for i in first]) if len(first) else np.empty(0, np.uint64)
@@ -76,40 +96,32 @@ def _sent(batches: Iterator[pa.RecordBatch], size: int, fragments: int) -> Itera
         order = np.argsort(fragment.astype(np.uint16 if fragments < 1 << 16 else np.int64), kind="stable")
         grams, cell = grams[order], (fragment * max(len(first), 1) + doc)[order]
         cells, counts = np.unique(cell, return_counts=True)
-        at, ends = cells // max(len(first), 1), np.cumsum(counts)
-        member = key[:, 0].view(np.uint64) % np.uint64(fragments)
-        rows = []
-        for f in range(fragments):
-            a, b = np.searchsorted(at, [f, f + 1])
-            who = first[cells[a:b] % max(len(first), 1)]
-            m = np.flatnonzero(member == f)
-            if a == b and not len(m):
-                continue
-            lo, hi = (ends[a - 1] if a else 0), (ends[b - 1] if b else 0)
-            rows.append((f, key[who, 0].tobytes(), key[who, 1].tobytes(), n[who].tobytes(), counts[a:b].astype(np.int32).tobytes(), grams[lo:hi].tobytes(), ids[m].tobytes(), key[m, 0].tobytes(), key[m, 1].tobytes(), n[m].tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)] if rows else [pa.array([], t.type) for t in schema], schema=schema)
-
-    ids, sets, has_id, held = [], [], [], 0
+        at, ends = cells // max(len(first), 1), np.concatenate(([0], np.cumsum(counts)))
+        bounds = np.searchsorted(at, np.arange(fragments + 1))
+        rows = [(turn % fragments, *[None] * 5, ids.tobytes(), texts.tobytes(), key[:, 0].tobytes(), key[:, 1].tobytes(), n.tobytes())]
+        for f in np.flatnonzero(np.diff(bounds)):
+            a, b = bounds[f], bounds[f + 1]
+            who = first[cells[a:b] % len(first)]
+            rows.append((int(f), key[who, 0].tobytes(), key[who, 1].tobytes(), n[who].tobytes(), counts[a:b].astype(np.int32).tobytes(), grams[ends[a] : ends[b]].tobytes(), *[None] * 5))
+        return _batch(rows, _SENT)
+
+    ids, texts, sets, held = [], [], [], 0
     for batch in batches:
         for part in slices(batch, "text"):
             new = shingle_sets(Words(part.column("text"), NOT_SPACE), size)
-            known = part.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-            ids.append(np.asarray(part.column("doc_id").fill_null(0), dtype=np.int64))
+            ids.append(np.asarray(part.column("doc_id"), dtype=np.int64))
+            texts.append(np.asarray(part.column("text_hash"), dtype=np.int64))
             sets += new
-            has_id += known.tolist()
             held += sum(map(len, new))
             if held >= SEND_GRAMS or len(sets) >= 1 << 16:
-                keep = np.array(has_id, dtype=bool)
-                yield flush(np.concatenate(ids)[keep], [s for s, k in zip(sets, has_id, strict=True) if k], [True] * int(keep.sum()))
-                ids, sets, has_id, held = [], [], [], 0
+                yield flush(np.concatenate(ids), np.concatenate(texts), sets)
+                ids, texts, sets, held, turn = [], [], [], 0, turn + 1
     if sets:
-        keep = np.array(has_id, dtype=bool)
-        yield flush(np.concatenate(ids)[keep], [s for s, k in zip(sets, has_id, strict=True) if k], [True] * int(keep.sum()))
+        yield flush(np.concatenate(ids), np.concatenate(texts), sets)
 
 
 def _counted(table: pa.Table, buckets: int) -> pa.Table:
     """One fragment: in how many classes each n-gram occurs; those of two or more go on, dealt by class."""
-    schema = pa.schema([(f.split()[0], pa.int32() if f.endswith("int") else pa.binary()) for f in _COUNTED.split(", ")])
     k1, k2, n = (_joined(table[c], np.int64) for c in ("k1", "k2", "n"))
     sizes, grams = _joined(table["sizes"], np.int32).astype(np.int64), _joined(table["grams"], np.uint64)
     keys = np.empty(len(k1), dtype=[("a", np.int64), ("b", np.int64)])
@@ -129,15 +141,14 @@ def _counted(table: pa.Table, buckets: int) -> pa.Table:
     bucket = (k1.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
     order = np.lexsort((owner, bucket[owner]))
     grams, owner, seen = grams[order], owner[order], seen[order]
-    m_id, m_k1, m_k2, m_n = (_joined(table[c], np.int64) for c in ("m_id", "m_k1", "m_k2", "m_n"))
-    rows = [(None, None, None, None, None, None, None, m_id.tobytes(), m_k1.tobytes(), m_k2.tobytes(), m_n.tobytes())]
+    rows = [(None,) * 7 + tuple(_joined(table[c], np.int64).tobytes() for c in ("m_id", "m_text", "m_k1", "m_k2", "m_n"))]
     at = bucket[owner]
     bounds = np.searchsorted(at, np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(bounds)):
         s = slice(bounds[b], bounds[b + 1])
         who, counts = np.unique(owner[s], return_counts=True)
-        rows.append((int(b), k1[who].tobytes(), k2[who].tobytes(), n[who].tobytes(), counts.astype(np.int32).tobytes(), grams[s].tobytes(), seen[s].tobytes(), None, None, None, None))
-    return pa.table([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        rows.append((int(b), k1[who].tobytes(), k2[who].tobytes(), n[who].tobytes(), counts.astype(np.int32).tobytes(), grams[s].tobytes(), seen[s].tobytes(), *[None] * 5))
+    return pa.Table.from_batches([_batch(rows, _COUNTED)])
 
 
 def _gathered(table: pa.Table, percent: int) -> pa.Table:
@@ -168,14 +179,18 @@ def _gathered(table: pa.Table, percent: int) -> pa.Table:
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at = [_joined(pa.chunked_array([batch.column(c)]), np.int64) for c in ("m_id", "m_k1", "m_k2", "m_n")]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in at], ["doc_id", "k1", "k2", "n"])
+        at = [_joined(pa.chunked_array([batch.column(c)]), np.int64) for c in ("m_id", "m_text", "m_k1", "m_k2", "m_n")]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in at], ["doc_id", "text_hash", "k1", "k2", "n"])
 
 
 def sets_by_class(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(members: doc_id, k1, k2, n) of every document with an id, and (classes) that may have a partner. Both written."""
-    parts = partitions(docs.sparkSession)
-    sent = docs.select("doc_id", "text").mapInArrow(partial(_sent, size=size, fragments=parts), _SENT)
+    """(members: doc_id, text_hash, k1, k2, n) of every row, and (classes) that may have a partner. Both written.
+
+    Fragments and buckets follow the size of the texts, so that what one holds is bounded at any number of partitions.
+    """
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(partitions(docs.sparkSession), -(-total // FRAGMENT_BYTES))
+    sent = docs.mapInArrow(partial(_sent, size=size, fragments=parts), _SENT).repartition(parts, "fragment")
 
     def counted_in(table: pa.Table) -> pa.Table:
         return _counted(table, parts)
@@ -184,9 +199,9 @@ def sets_by_class(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame,
         return _gathered(table, percent)
 
     counted = written(sent.groupBy("fragment").applyInArrow(counted_in, _COUNTED), "fragments")
-    members = counted.where("bucket is null").select("m_id", "m_k1", "m_k2", "m_n").mapInArrow(_members, "doc_id long, k1 long, k2 long, n long")
-    classes = counted.where("bucket is not null").groupBy("bucket").applyInArrow(gathered_in, _CLASS)
-    return members, written(classes, "classes")
+    members = counted.where("bucket is null").select("m_id", "m_text", "m_k1", "m_k2", "m_n").mapInArrow(_members, "doc_id long, text_hash long, k1 long, k2 long, n long")
+    dealt = counted.where("bucket is not null").drop("m_id", "m_text", "m_k1", "m_k2", "m_n").repartition(parts, "bucket")
+    return written(members, "members"), written(dealt.groupBy("bucket").applyInArrow(gathered_in, _CLASS), "classes")
 
 
 def _near_enough(a: str, b: str, percent: int) -> Column:
@@ -244,9 +259,15 @@ def _links_by_rounds(reps: DataFrame, percent: int) -> DataFrame:
     labelled = written(labelled, "postings")
     open_grams = written(labelled.groupBy("gram").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("gram"), "open")
     rest = written(labelled.join(open_grams, "gram", "left_semi"), "rest")
-    other = rest.select(F.col("gram").alias("h_gram"), *[F.col(c).alias(f"h_{c}") for c in info])
+    # A long list is cut into blocks; each meets every block of its list in a key, and so in a task, of its own.
+    lists = written(rest.groupBy("gram").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks")), "lists")
+    rest = rest.join(lists, "gram").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = rest.select("gram", "block", *info, every.alias("against"))
+    other = rest.select(F.col("gram").alias("h_gram"), F.col("block").alias("h_against"), *[F.col(c).alias(f"h_{c}") for c in info], every.alias("h_block"))
+    same = (F.col("gram") == F.col("h_gram")) & (F.col("block") == F.col("h_block")) & (F.col("against") == F.col("h_against"))
     meet = (F.col("rep") < F.col("h_rep")) & (F.col("comp") != F.col("h_comp")) & _near_enough("", "h_", percent)
-    pairs = rest.join(other, (F.col("gram") == F.col("h_gram")) & meet).select(F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("h_rep").alias("y"), F.col("h_n").alias("ny"))
+    pairs = left.join(other, same & meet).select(F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("h_rep").alias("y"), F.col("h_n").alias("ny"))
     return _merged(roots, written(_verified(_ordered(pairs), segments, percent), "links"))[0]
 
 
@@ -272,34 +293,56 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> tuple[DataFrame, int]:
     return written(moved.union(added), "roots"), new.where("node <> root").count()
 
 
+def membership(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(doc_id, text_hash, n, component, component_id) of every row of `docs` (doc_id, text, text_hash) with a doc_id.
+
+    component tells components apart even where one doc_id stands on several texts; it is null for empty sets.
+    """
+    members, classes = sets_by_class(docs.where("doc_id is not null"), size, percent)
+    firsts = members.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first"))
+    # Classes are numbered in the order of their smallest documents, so a component's smallest class has its smallest document.
+    firsts = written(firsts.orderBy("first", "k1", "k2").withColumn("rep", F.monotonically_increasing_id()), "firsts")
+    reps = written(classes.join(firsts.drop("first"), ["k1", "k2"]), "reps")
+    roots = _links_by_rounds(reps, percent).where("node <> root").join(firsts.select(F.col("rep").alias("root"), F.col("first").alias("low")), "root")
+    placed = firsts.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    placed = written(placed.select("k1", "k2", F.coalesce("root", "rep").alias("component"), F.coalesce("low", "first").alias("component_id")), "placed")
+    blank = members.where("n = 0").select("doc_id", "text_hash", "n", F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("component_id"))
+    return members.where("n > 0").join(placed, ["k1", "k2"]).select("doc_id", "text_hash", "n", "component", "component_id").unionByName(blank)
+
+
+def _hashed(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of `docs` (doc_id, text; other columns are ignored).
 
     A document's set holds its distinct runs of `size` words, A-Z lower-cased, words parted by ASCII white space; the whole
     sequence if it has fewer. Two documents link if 100 * intersection >= percent * union. component_id is the smallest
     doc_id reachable by links. A null, empty or blank text has an empty set and is its own component. A row without doc_id
-    takes no part: its size is 0 and its component null. Repeated rows come out as often as they went in. N-grams are
-    64-bit hashes and classes 128-bit digests.
+    takes no part: its size is 0 and its component null. Repeated rows come out as often as they went in; unlike texts under one doc_id
+    are documents of their own. N-grams are 64-bit hashes and classes 128-bit digests.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    members, classes = sets_by_class(rows, size, percent)
-    members = written(members, "members")
-    firsts = written(members.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "firsts")
-    reps = written(classes.join(firsts, ["k1", "k2"]), "reps")
-    roots = _links_by_rounds(reps, percent)
-    placed = firsts.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    placed = written(placed.select("k1", "k2", F.coalesce("root", "rep").alias("component_id")), "placed")
-    blank = members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    filled = members.where("n > 0").join(placed, ["k1", "k2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    rows = _hashed(docs)
+    found = membership(rows, size, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     nameless = rows.where("doc_id is null").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
-    return filled.unionByName(blank).unionByName(nameless)
+    return found.unionByName(nameless)
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Rows of `docs`, all columns, without near duplicates: of each component its smallest doc_id stays, once.
 
-    Rows without doc_id all stay.
+    Of several texts under that doc_id in one component the one with the smallest hash stays, of rows equal in doc_id and
+    text the one whose columns have the smallest hash. Texts of one doc_id in different components stay each. Rows without
+    doc_id all stay, as do null and empty texts, once for each doc_id. Columns named as the made ones keep their values.
     """
-    kept = near_duplicates(docs, size, percent).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    rows = membership(_hashed(docs), size, percent)
+    kept = rows.where("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("d")).select("d.*")
+    kept = kept.union(rows.where("n = 0").select("doc_id", "text_hash").distinct())
+    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_text"), every.alias("_row")).where("_id is not null")
+    named = named.join(kept, (F.col("_id") == kept["doc_id"]) & (F.col("_text") == kept["text_hash"]), "left_semi")
+    same = Window.partitionBy("_id", "_text").orderBy(F.xxhash64(F.to_json("_row")))
+    once = named.withColumn("_n", F.row_number().over(same)).where("_n = 1").select("_row.*")
+    return once.unionByName(docs.where("doc_id is null"))

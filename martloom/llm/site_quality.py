@@ -14,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martloom.llm.ngram_join import slices
 from martloom.llm.shared import written
@@ -104,35 +103,34 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifi
     """The classifier, from at most `sample` labelled documents; None if the labels do not tell two kinds apart."""
     clear = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
     some = clear.where("quality = other").select("doc_id", "quality").orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id")
+    text = F.col("text").cast("string")
+    rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash")).join(F.broadcast(some), "doc_id")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(list(features(part.column("text")))), part.column("quality").cast(pa.int32())], ["doc_id", "x", "quality"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(list(features(part.column("text")))), part.column("quality").cast(pa.int32())], ["doc_id", "text_hash", "x", "quality"])
 
-    table = rows.mapInArrow(measured, "doc_id long, x array<double>, quality int").dropDuplicates(["doc_id"]).orderBy("doc_id").limit(sample).toArrow()
+    found = rows.mapInArrow(measured, "doc_id long, text_hash long, x array<double>, quality int")
+    table = found.groupBy("doc_id").agg(F.min_by(F.struct("x", "quality"), "text_hash").alias("f")).select("doc_id", "f.*").orderBy("doc_id").limit(sample).toArrow()
     good = np.asarray(table["quality"].combine_chunks(), dtype=float)
     if len(set(good.tolist())) < 2:
         return None
     return Classifier(np.array(table["x"].to_pylist()), good)
 
 
-def scored(docs: DataFrame, classifier: Classifier | None, keep: list[str]) -> DataFrame:
-    """Columns `keep` of `docs` and p, the classifier's probability of a good document from the whole text."""
-    kept = [f"`{c}`" for c in keep]
-    text = F.col("text").cast("string").alias("_text")
+def probability(classifier: Classifier | None, text: str) -> Column:
+    """The classifier's probability of a good document from the whole text. Only texts go to Python, and only numbers come back."""
     if classifier is None:
-        return docs.select(*kept, F.lit(0.5).alias("p"))
-    rows = docs.select(*kept, text)
+        return F.lit(0.5)
 
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "_text"):
-                p = classifier.probability(features(part.column("_text")))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(p)], [*keep, "p"])
+    @F.arrow_udf("double")
+    def measured(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            parts = slices(pa.RecordBatch.from_arrays([batch], ["text"]), "text")
+            yield pa.concat_arrays([pa.array(classifier.probability(features(p.column("text")))) for p in parts] or [pa.array([], pa.float64())])
 
-    return rows.mapInArrow(judged, T.StructType([*rows.schema.fields[:-1], T.StructField("p", T.DoubleType())]))
+    return measured(F.col(f"`{text}`").cast("string"))
 
 
 def _strength(groups: DataFrame, rate: str) -> Column:
@@ -167,30 +165,33 @@ def _logit(p: Column) -> Column:
     return F.ln(bounded / (1 - bounded))
 
 
+#: Columns that `judged` adds.
+MADE = ("evidence", "host_rate", "path_rate", "posterior", "kept")
+
+
 def judged(docs: DataFrame, labels: DataFrame, keep: list[str], host: str = "source", path: str = "lang", sample: int = SAMPLE, least: float = KEEP) -> DataFrame:
     """Columns `keep` of `docs` with evidence, host_rate, path_rate, posterior and kept.
 
     A null host or path is one of its own. A null or empty text is judged by its features, all zero but for that of having no words.
     Labels that are null, other than 0 or 1, or contradict each other are left out; without two kinds of labels the evidence is
-    0.5 and everything is kept. Repeated rows are judged alike. Columns of `docs` named as the made ones are replaced.
+    0.5 and everything is kept. Repeated rows are judged alike. Columns of `docs` named as the made ones are replaced. An empty
+    table gives no rows.
     """
-    made = ["_host", "_path"]
-    rows = docs.withColumns({"_host": F.col(host).cast("string"), "_path": F.col(path).cast("string")})
-    keep = [c for c in keep if c not in ("evidence", "host_rate", "path_rate", "posterior", "kept")]
+    keep = [c for c in keep if c not in MADE]
     classifier = fitted(docs, labels, sample)
-    priors = path_priors(scored(rows, classifier, made).select(F.col("_host").alias("host"), F.col("_path").alias("path"), "p"))
-    base = classifier.base if classifier else 0.5
-    every = scored(rows, classifier, [*keep, *made])
-    at = F.col("_host").eqNullSafe(F.col("host")) & F.col("_path").eqNullSafe(F.col("path"))
-    priors = priors.withColumnsRenamed({"host": "_h", "path": "_q"})
-    at = F.col("_host").eqNullSafe(F.col("_h")) & F.col("_path").eqNullSafe(F.col("_q"))
-    odds = _logit(F.col("p")) - _logit(F.lit(base)) + _logit(F.col("path_rate"))
-    found = every.join(priors, at).withColumn("posterior", 1 / (1 + F.exp(-odds)))
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    at = [F.col(f"`{c}`").cast("string").alias(name) for c, name in ((host, "host"), (path, "path"))]
+    # Every text is read and scored once; the columns kept go on with its score.
+    rows = written(docs.select(row, *at, probability(classifier, "text").alias("p")), "scored")
+    priors = path_priors(rows).withColumnsRenamed({"host": "_host", "path": "_path"})
+    found = rows.join(priors, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")))
+    odds = _logit(F.col("p")) - _logit(F.lit(classifier.base if classifier else 0.5)) + _logit(F.col("path_rate"))
+    found = found.withColumn("posterior", 1 / (1 + F.exp(-odds)))
     kept = F.col("posterior") >= least if classifier else F.lit(True)
-    return found.select(*[f"`{c}`" for c in keep], F.col("p").alias("evidence"), "host_rate", "path_rate", "posterior", kept.alias("kept"))
+    return found.select("row.*", F.col("p").alias("evidence"), "host_rate", "path_rate", "posterior", kept.alias("kept"))
 
 
 def good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of `docs`, its columns, that are kept."""
-    held = docs.withColumn("_row", F.struct(*[f"`{c}`" for c in docs.columns]))
+    held = docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
     return judged(held, labels, ["_row"]).where("kept").select("_row.*")
