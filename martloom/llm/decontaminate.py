@@ -13,17 +13,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.llm.ngram_join import slices
+from martloom.llm.shared import written
 from martloom.llm.text_arrays import ALPHANUMERIC, Words
 
 WINDOW = 13
 SHARD_BYTES = 6 << 20
-#: Benchmark text that goes to the executors at once; a longer benchmark takes one pass over the shards for each part.
-BENCHMARK_BYTES = 16 << 20
+#: (window, item) pairs that go to the executors at once, some 120 bytes each; more take one pass over the shards for each part.
+PART_PAIRS = 1 << 17
 SAMPLED = 8
 END, OTHER = 0, 1
 
@@ -155,32 +156,48 @@ class Phrases:
     known: np.ndarray
     windows: np.ndarray
     lengths: np.ndarray
+    names: pa.Array
     item: np.ndarray
     window_of: np.ndarray
 
     @staticmethod
-    def of(items: list[tuple[int, str]], window: int) -> Phrases:
-        words = Words(pa.array([t for _, t in items], pa.string()), ALPHANUMERIC)
-        known = np.unique(words.hash)
-        symbols = np.searchsorted(known, words.hash) + OTHER + 1
-        rows, lengths, owner = [], [], []
-        for (name, _), a, b in zip(items, words.first[:-1], words.first[1:], strict=True):
-            width = min(window, int(b - a))
-            for at in range(a, b - width + 1) if width else ():
-                rows.append(np.concatenate((np.zeros(window - width, np.int64), symbols[at : at + width])))
-                lengths.append(width)
-                owner.append(name)
-        if not rows:
-            return Phrases(known, np.zeros((0, window), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-        distinct, first, which = np.unique(np.array(rows), axis=0, return_index=True, return_inverse=True)
-        pairs = np.unique(np.stack((which.ravel(), np.array(owner, np.int64))), axis=1)
-        return Phrases(known, distinct, np.array(lengths)[first], pairs[1], pairs[0])
-
-
-def _found(batch: pa.RecordBatch, phrases: Phrases) -> tuple[list, list, list, np.ndarray]:
+    def of(pairs: pa.Table, window: int) -> Phrases:
+        """From (words, item_id): a window's word hashes as bytes, and an item that has it."""
+        distinct = pairs["words"].combine_chunks().dictionary_encode()
+        names = pairs["item_id"].combine_chunks().dictionary_encode()
+        rows = [np.frombuffer(w, dtype=np.uint64) for w in distinct.dictionary.to_pylist()]
+        lengths = np.array([len(r) for r in rows], dtype=np.int64)
+        known = np.unique(np.concatenate(rows)) if rows else np.empty(0, np.uint64)
+        windows = np.zeros((len(rows), window), dtype=np.int64)
+        for at, r in enumerate(rows):
+            windows[at, window - len(r) :] = np.searchsorted(known, r) + OTHER + 1
+        return Phrases(known, windows, lengths, names.dictionary, np.asarray(names.indices, dtype=np.int64), np.asarray(distinct.indices, dtype=np.int64))
+
+
+def windows_of(benchmark: DataFrame, window: int) -> DataFrame:
+    """(words, item_id): every distinct window of every item, as the bytes of its words' hashes."""
+    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                words = Words(part.column("text"), ALPHANUMERIC)
+                n = words.counts()
+                width = np.minimum(n, window)
+                count = np.where(n > 0, n - width + 1, 0)
+                owner = np.repeat(np.arange(len(n)), count)
+                start = words.first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+                found = [words.hash[a:b].tobytes() for a, b in zip(start.tolist(), (start + width[owner]).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), part.column("item_id").take(pa.array(owner))], ["words", "item_id"])
+
+    schema = T.StructType([T.StructField("words", T.BinaryType()), rows.schema["item_id"]])
+    return rows.mapInArrow(cut, schema).distinct()
+
+
+def _found(texts: pa.Array, phrases: Phrases) -> tuple[list, list, list, np.ndarray]:
     """Per text: starts and ends of merged hit spans (word numbers), items found, number of words."""
-    words = Words(batch.column("text"), ALPHANUMERIC)
-    n, docs = words.counts(), batch.num_rows
+    words = Words(texts, ALPHANUMERIC)
+    n, docs = words.counts(), len(texts)
     spans: list[tuple[list, list]] = [([], []) for _ in range(docs)]
     items: list = [[] for _ in range(docs)]
     if not len(words.hash) or not len(phrases.windows):
@@ -220,7 +237,8 @@ def _found(batch: pa.RecordBatch, phrases: Phrases) -> tuple[list, list, list, n
     a, b = np.searchsorted(sorted_windows, pairs[1], "left"), np.searchsorted(sorted_windows, pairs[1], "right")
     for d, x, y in zip(pairs[0].tolist(), a.tolist(), b.tolist(), strict=True):
         items[d] += phrases.item[order[x:y]].tolist()
-    return [s for s, _ in spans], [e for _, e in spans], [sorted(set(x)) for x in items], n
+    names = [phrases.names.take(pa.array(sorted(set(x)), pa.int64())).to_pylist() for x in items]
+    return [s for s, _ in spans], [e for _, e in spans], [sorted(x) for x in names], n
 
 
 def _merge(spans: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -233,65 +251,57 @@ def _merge(spans: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_MADE = {"n_words": "long", "hit_from": "array<int>", "hit_to": "array<int>", "items": "array<long>"}
+_MADE = ("n_words", "hit_from", "hit_to", "items")
 
 
-def _pass(rows: DataFrame, phrases: Phrases) -> DataFrame:
-    """One part of the benchmark against all shards; spans and items join those of earlier parts."""
-    schema = T.StructType([f for f in rows.schema.fields if f.name not in _MADE] + [T.StructField(k, T._parse_datatype_string(v)) for k, v in _MADE.items()])
-    earlier, carried = "n_words" in rows.columns, [f.name for f in rows.schema.fields if f.name not in _MADE]
+def _pass(rows: DataFrame, text: Column, phrases: Phrases, name: str, earlier: bool) -> DataFrame:
+    """One part of the benchmark against all shards: spans and items in the column `_found`, with those of earlier parts."""
     shared = rows.sparkSession.sparkContext.broadcast(phrases)
 
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def searched(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            begin, end, items, n = _found(batch, shared.value)
-            if earlier:
-                for i, (a, b, names) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("hit_from", "hit_to", "items")), strict=True)):
-                    both = _merge([*zip(a, b, strict=True), *zip(begin[i], end[i], strict=True)])
-                    begin[i], end[i], items[i] = [x for x, _ in both], [y for _, y in both], sorted({*names, *items[i]})
-            made = [pa.array(n.astype(np.int64)), pa.array(begin, pa.list_(pa.int32())), pa.array(end, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.int64()))]
-            return pa.RecordBatch.from_arrays([batch.column(c) for c in carried] + made, [*carried, *_MADE])
-
-        held, size = [], 0
-        for batch in batches:
-            for part in slices(batch, "text", SHARD_BYTES):
-                held.append(part)
-                size += part.column("text").nbytes
-                if size >= SHARD_BYTES:
-                    yield searched(held)
-                    held, size = [], 0
-        if held:
-            yield searched(held)
-
-    return rows.mapInArrow(shards, schema)
-
-
-def benchmark_parts(benchmark: DataFrame, window: int) -> Iterator[Phrases]:
-    """The benchmark in parts of bounded size, read one after the other."""
-    items, size = [], 0
-    for row in benchmark.where("item_id is not null and text is not null").select("item_id", "text").toLocalIterator():
-        items.append((row[0], row[1]))
-        size += len(row[1])
-        if size >= BENCHMARK_BYTES:
-            yield Phrases.of(items, window)
-            items, size = [], 0
-    yield Phrases.of(items, window)
+    def shard(part: pa.RecordBatch) -> pa.Array:
+        begin, end, items, n = _found(part.column("text"), shared.value)
+        if earlier:
+            for i, was in enumerate(part.column("was").to_pylist()):
+                both = _merge([*zip(was["hit_from"], was["hit_to"], strict=True), *zip(begin[i], end[i], strict=True)])
+                begin[i], end[i], items[i] = [x for x, _ in both], [y for _, y in both], sorted({*was["items"], *items[i]})
+        spans = pa.list_(pa.int32())
+        made = [pa.array(n.astype(np.int64)), pa.array(begin, spans), pa.array(end, spans), pa.array(items, pa.list_(shared.value.names.type))]
+        return pa.StructArray.from_arrays(made, list(_MADE))
+
+    @F.arrow_udf(f"n_words long, hit_from array<int>, hit_to array<int>, items array<{name}>")
+    def searched(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for arrays in batches:
+            batch = pa.RecordBatch.from_arrays(list(arrays), ["text", "was"])
+            yield pa.concat_arrays([shard(p) for p in slices(batch, "text", SHARD_BYTES)] or [shard(batch)])
+
+    return rows.withColumn("_found", searched(text, F.col("_found") if earlier else F.lit(0)))
+
+
+def _contaminated(rows: DataFrame, text: Column, benchmark: DataFrame, window: int) -> DataFrame:
+    """`rows` with the struct `_found`. Distinct windows are made by Spark; a part of them at a time is collected and broadcast,
+    and the rows are written between parts."""
+    pairs = written(windows_of(benchmark, window), "windows")
+    parts, name = max(1, -(-pairs.count() // PART_PAIRS)), pairs.schema["item_id"].dataType.simpleString()
+    for part in range(parts):
+        some = pairs.where(F.pmod(F.xxhash64("words"), F.lit(parts)) == part).toArrow()
+        rows = _pass(rows, text, Phrases.of(some, window), name, part > 0)
+        if part + 1 < parts:
+            rows = written(rows, "searched")
+    return rows
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Columns of `docs` and, per row: n_words, merged hit spans `hit_from`, `hit_to` (word numbers, end exclusive), and
     `items`, the sorted ids of benchmark items with a window in the text.
 
-    Words are runs of a-z, 0-9 and non-ASCII characters after A-Z are lower-cased. A benchmark text gives its windows of
-    `window` words, or itself as one if it is shorter; null texts, null ids and texts without words give none. A null or
-    empty text has no words and no hits. Repeated rows are judged each on its own. Columns of `docs` named as the made
-    ones are replaced.
+    Words are runs of a-z, 0-9 and non-ASCII characters after A-Z are lower-cased, compared by 64-bit hashes. A benchmark text
+    gives its windows of `window` words, or itself as one if it is shorter; null texts, null ids and texts without words give
+    none. A null or empty text has no words and no hits. Repeated rows are judged each on its own. Columns of `docs` named as
+    the made ones are replaced. Empty tables of either side are fine.
     """
     rows = docs.drop(*_MADE).withColumn("text", F.col("text").cast("string"))
-    for phrases in benchmark_parts(benchmark, window):
-        rows = _pass(rows, phrases)
-    return rows
+    found = _contaminated(rows, F.col("text"), benchmark, window)
+    return found.select(*[F.col(f"`{c}`") for c in rows.columns], "_found.*")
 
 
 def judged(rows: DataFrame, hundredths: int = 5) -> DataFrame:
@@ -303,5 +313,6 @@ def judged(rows: DataFrame, hundredths: int = 5) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, hundredths: int = 5) -> DataFrame:
     """Rows of `docs`, its columns, that are not contaminated."""
-    rows = docs.withColumn("_row", F.struct(*[f"`{c}`" for c in docs.columns])).select("_row", "text")
-    return judged(contamination(rows, benchmark, window), hundredths).where("not contaminated").select("_row.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    found = _contaminated(rows, F.col("_row.text").cast("string"), benchmark, window).select("_row", "_found.*")
+    return judged(found, hundredths).where("not contaminated").select("_row.*")

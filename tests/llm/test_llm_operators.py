@@ -75,6 +75,20 @@ def test_ngram_join_odd(spark):
     assert sorted(r.doc_id or 0 for r in ngram_join.one_of_each(odd(spark)).collect()) == [0, 1, 2, 3, 4, 5, 7]
 
 
+def test_one_id_on_unlike_texts(spark, monkeypatch):
+    """A text that is no copy of another stays, whatever stands under its doc_id; of copies one row stays."""
+    first, second, third = "a b c d e f g h", "q w e r t y u i", "z x c v b n m k"
+    rows = [(1, first, 1), (1, second, 2), (2, first, 3), (1, first, 1), (1, first, 9), (4, second, 4), (3, None, 5), (3, None, 5), (5, third, 6), (4, third, 7)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, text_hash long")
+    for block in (ngram_join.BLOCK_ROWS, 1):
+        monkeypatch.setattr(ngram_join, "BLOCK_ROWS", block)
+        for size in (ngram_join.FRAGMENT_BYTES, 20):
+            monkeypatch.setattr(ngram_join, "FRAGMENT_BYTES", size)
+            kept = [tuple(r) for r in ngram_join.one_of_each(table.repartition(3)).collect()]
+            assert sorted(r[:2] for r in kept if r[1]) == [(1, first), (1, second), (4, third)]
+            assert sum(r[0] == 3 for r in kept) == 1 and table.columns == ["doc_id", "text", "text_hash"]
+
+
 def test_decontamination(spark, docs):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()] + [(900, "the of"), (901, None), (902, "..."), (None, "the")]
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -99,13 +113,17 @@ def test_decontamination(spark, docs):
         want[(i, len(w), len(hit), tuple(sorted(found)))] += 1
     assert got == want
     assert decontaminate.clean(table.limit(0), bench).count() == 0
+    assert decontaminate.clean(table, bench.limit(0)).count() == len(rows)
+    named = bench.where("item_id < 20").select(F.concat(F.lit("item-"), F.col("item_id")).alias("item_id"), "text")
+    got = {x for r in decontaminate.contamination(table, named).collect() for x in r["items"]}
+    assert got == {f"item-{x}" for r in want for x in r[3] if x < 20} and got
 
 
 def test_benchmark_in_parts(spark, docs, monkeypatch):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     columns = ["doc_id", "n_words", "hit_from", "hit_to", "items"]
     once = sorted(decontaminate.contamination(docs, bench).select(columns).collect())
-    monkeypatch.setattr(decontaminate, "BENCHMARK_BYTES", 1500)
+    monkeypatch.setattr(decontaminate, "PART_PAIRS", 250)
     assert sorted(decontaminate.contamination(docs, bench).select(columns).collect()) == once
 
 
