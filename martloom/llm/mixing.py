@@ -10,6 +10,8 @@ blocks, and its rows are shuffled by hash within it.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -20,8 +22,8 @@ BLOCK_WORDS, SHARDS, SEED = 20_000, 32, 7
 WORD = r"[^\x20\x09-\x0D]+"
 #: Blocks whose words are added up in one task.
 TOGETHER = 1024
-#: A prime above any number of blocks of a source; steps of it visit all places.
-_STEP = 2_147_483_647
+#: Words of an output shard, once there are more than SHARDS of them.
+SHARD_WORDS = 32_000_000
 _LARGEST = float(1 << 63)
 
 
@@ -145,8 +147,8 @@ def _carried(loose: DataFrame, room: DataFrame) -> list[DataFrame]:
         room = filled.select("src", F.col("block").alias("after"), F.col("left").alias("room"))
 
 
-def _draws(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int, shards: int, block_words: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """(docs with src, size, key and block; per src and block: target, source size, shards of each pass, keys of a part)."""
+def _draws(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int, shards: int | None, block_words: int, seed: int) -> tuple[DataFrame, DataFrame, int]:
+    """(docs with src, size, key and block; per src and block: target, source size, shards of each pass, keys of a part; shards)."""
     key = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 1)
     sized = docs.withColumn("src", _source_key("source")).withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")).withColumn("key", key)
     light = written(sized.select("source", "src", "size", "key"), "sizes")
@@ -177,21 +179,24 @@ def _draws(docs: DataFrame, weights: tuple[int, ...], share: float, repeats: int
     turns = F.when(partly, F.col("passes")).otherwise(F.col("passes") - 1)
     drawn = blocks.where(turns >= 0).select("src", "block", F.explode(F.sequence(F.lit(0).cast("long"), turns)).alias("turn"))
     quota = written(blocks.where(turns >= 0).groupBy("src").agg(F.sum(turns + 1).alias("blocks")), "quotas")
+    shards = shards or max(SHARDS, math.ceil((per_source.agg(F.sum("target")).first()[0] or 0) / SHARD_WORDS))
     tree = splitting_tree(quota, shards, seed)
     to = tree.select("src", "shard", F.explode(F.expr("sequence(begin, begin + blocks - 1)")).alias("place"))
-    # Within a source the drawn blocks are numbered through: group by group, so that no task counts a whole source.
-    numbered = drawn.withColumn("group", F.floor(F.col("block") / TOGETHER))
-    counts = numbered.groupBy("src", "group").agg(F.count(F.lit(1)).alias("n"))
+    # A source's draws are permuted by numbering them in the order of a keyed hash; groups of a hash prefix each are numbered on
+    # their own, so that no task numbers a whole source.
+    hashed = drawn.join(quota, "src").withColumn("h", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "src", "block", "turn", F.lit("place")), 1))
+    groups = F.ceil(F.col("blocks") / TOGETHER)
+    hashed = written(hashed.withColumn("group", F.least(groups - 1, F.floor(F.col("h") / _LARGEST * groups))), "hashed")
+    counts = hashed.groupBy("src", "group").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.select("src", "group", F.coalesce(F.sum("n").over(_earlier("src").orderBy("group")), F.lit(0)).alias("base"))
-    number = F.col("base") + F.row_number().over(Window.partitionBy("src", "group").orderBy("block", "turn")) - 1
-    numbered = numbered.join(counts, ["src", "group"]).withColumn("number", number).join(quota, "src")
-    place = F.pmod(F.col("number") * _STEP + seed, F.col("blocks"))
-    shard_of = numbered.withColumn("place", place).join(to, ["src", "place"]).groupBy("src", "block").agg(*[F.max(F.when(F.col("turn") == t, F.col("shard"))).alias(f"shard{t}") for t in range(repeats)])
+    number = F.col("base") + F.row_number().over(Window.partitionBy("src", "group").orderBy("h", "block", "turn")) - 1
+    numbered = hashed.join(counts, ["src", "group"]).withColumn("place", number)
+    shard_of = numbered.join(to, ["src", "place"]).groupBy("src", "block").agg(*[F.max(F.when(F.col("turn") == t, F.col("shard"))).alias(f"shard{t}") for t in range(repeats)])
     plan = blocks.join(shard_of, ["src", "block"], "left").select("src", "block", "target", "source_size", "n_blocks", "passes", whole.alias("whole"), "chosen", *[f"shard{t}" for t in range(repeats)])
     plan = written(plan, "plan")
     count = per_source.select(F.col("src").alias("_src"), F.col("n_blocks").alias("_n"))
     home = F.least(F.col("_n") - 1, F.floor(F.col("key") / _LARGEST * F.col("_n"))).cast("long")
-    return sized.join(count, F.col("src") == F.col("_src")).withColumn("block", home).drop("_src", "_n"), plan
+    return sized.join(count, F.col("src") == F.col("_src")).withColumn("block", home).drop("_src", "_n"), plan, shards
 
 
 def _taken(repeats: int) -> Column:
@@ -200,25 +205,25 @@ def _taken(repeats: int) -> Column:
     return F.array_compact(F.array(*[F.when((F.lit(t) < F.col("passes")) | ((F.lit(t) == F.col("passes")) & part), F.col(f"shard{t}")) for t in range(repeats)]))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, shards: int = SHARDS, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, shards: int | None = None, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
     """Per row of `docs` (doc_id, text, source): doc_id, size, source_size, target, taken and its output shards.
 
     size counts runs of anything but ASCII white space; a null or empty text has none and is never taken beyond 0 words. A source takes its
     target but for fewer words than any document has that the part of a pass leaves. Rows equal in doc_id and text are taken or left together. A
     null source is a source; an empty table gives no rows.
     """
-    rows, plan = _draws(docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")), weights, share, repeats, shards, block_words, seed)
+    rows, plan, shards = _draws(docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source")), weights, share, repeats, shards, block_words, seed)
     rows = rows.select("doc_id", "src", "size", "key", "block").join(plan, ["src", "block"])
     return rows.withColumn("shards", _taken(repeats)).select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"), "shards")
 
 
-def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, shards: int = SHARDS, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, shards: int | None = None, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
     """The mix itself: rows of `docs`, its columns, as often as taken, shard by shard, each shard in shuffled order.
 
-    Rows without words are in the mix as often as their block is drawn.
+    Rows without words are in the mix as often as their block is drawn. The number of shards grows with the words unless it is given.
     """
     held = docs.select("doc_id", "text", "source", F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
-    rows, plan = _draws(held, weights, share, repeats, shards, block_words, seed)
+    rows, plan, shards = _draws(held, weights, share, repeats, shards, block_words, seed)
     rows = rows.select("row", "src", "key", "block").join(plan, ["src", "block"]).select("row", "key", F.explode(_taken(repeats)).alias("shard"))
     order = F.xxhash64("key", "shard", F.lit(seed))
-    return rows.repartition("shard").sortWithinPartitions("shard", order).select("row.*")
+    return rows.repartition(shards, "shard").sortWithinPartitions("shard", order).select("row.*")

@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from compare import difference
 from conftest import SMALL
@@ -348,3 +349,45 @@ def test_pseudonyms_of_other_shapes(spark):
     for iban in (plain[12], plain[13].removesuffix("2024")):
         assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
     assert re.fullmatch(r"GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d 2024", out[13])
+
+
+def test_copies_go_to_shards_at_random(spark):
+    """The two draws of a block fall into one shard as often as chance has it, whatever the number of a source's blocks."""
+    names = [f"s{i}" for i in range(24)]
+    table = spark.range(24 * 400).select(F.col("id").alias("doc_id"), F.lit("w " * 30).alias("text"), F.concat(F.lit("s"), F.col("id") % 24).alias("source"))
+    rows = table.select("doc_id", "source").join(mixing.mix(table, weights=(1,), share=2.0, shards=16, block_words=100), "doc_id").collect()
+    share = {n: [len(set(r.shards)) == 1 for r in rows if r.source == n and len(r.shards) == 2] for n in names}
+    assert all(len(x) == 400 for x in share.values())
+    assert all(sum(x) / len(x) < 0.2 for x in share.values())
+    assert 0.03 < sum(map(sum, share.values())) / len(rows) < 0.1  # 1 in 16
+
+
+def test_shards_grow_with_words(spark, monkeypatch):
+    table = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("w " * 10).alias("text"), F.lit("s").alias("source"))
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 50)
+    monkeypatch.setattr(mixing, "SHARDS", 2)
+    assert mixing.mixed(table, block_words=20).rdd.getNumPartitions() == 60
+
+
+def test_topk_ends_by_its_bounds():
+    """Few long vectors among many short ones: queries end after the first stretches; uniform ones read further; both are exact."""
+    rng = np.random.default_rng(2)
+    n, k = 4000, 20
+    steep = rng.integers(1, 5, (n, 8))
+    steep[rng.choice(n, 60, replace=False)] *= 200
+    flat = rng.integers(-200, 201, (n, 64))
+    for x, low, least in ((steep, 1, 0.9), (flat, -50, 0.0)):
+        q = rng.integers(low, 51, (100, x.shape[1]))
+        block = topk_search.Block(np.arange(n), x, topk_search._kind(x, q))
+        found = block.search(np.arange(10_000, 10_100), q, k)
+        for row, (ids, scores) in zip(q, found, strict=True):
+            every = x @ row
+            want = np.lexsort((np.arange(n), -every))[:k]
+            assert ids.tolist() == want.tolist() and scores.tolist() == every[want].tolist()
+        assert sum(block.ended) == 100 and sum(block.ended[:2]) >= 100 * least and block.rows <= 100 * n * len(topk_search.STRETCHES)
+
+
+def test_topk_scores_beyond_64_bits(spark):
+    v = spark.createDataFrame([(0, [1 << 40]), (1, [1 << 30])], "vec_id long, v array<long>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk_search.top_k(v, v).collect()
