@@ -338,11 +338,16 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     doc_id all stay, as do null and empty texts, once for each doc_id. Columns named as the made ones keep their values.
     """
     rows = membership(_hashed(docs), size, percent)
-    kept = rows.where("n > 0").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("d")).select("d.*")
-    kept = kept.union(rows.where("n = 0").select("doc_id", "text_hash").distinct())
+    counted = rows.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("times"))
+    first = counted.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_hash", "times")).alias("d")).select("d.*")
+    kept = written(first.union(counted.where("component is null").drop("component")), "kept")
     every = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     named = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_text"), every.alias("_row")).where("_id is not null")
-    named = named.join(kept, (F.col("_id") == kept["doc_id"]) & (F.col("_text") == kept["text_hash"]), "left_semi")
+
+    def among(some: DataFrame) -> DataFrame:
+        return named.join(some, (F.col("_id") == some["doc_id"]) & (F.col("_text") == some["text_hash"]), "left_semi")
+
+    # Only rows that are repeated are brought together; the others stay where they are unless the list of the kept is long.
     same = Window.partitionBy("_id", "_text").orderBy(F.xxhash64(F.to_json("_row")))
-    once = named.withColumn("_n", F.row_number().over(same)).where("_n = 1").select("_row.*")
-    return once.unionByName(docs.where("doc_id is null"))
+    once = among(kept.where("times > 1")).withColumn("_n", F.row_number().over(same)).where("_n = 1").select("_row.*")
+    return among(kept.where("times = 1")).select("_row.*").unionByName(once).unionByName(docs.where("doc_id is null"))
