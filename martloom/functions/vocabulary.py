@@ -56,10 +56,12 @@ class Defaults:
     repair_price: bool
     keep_empty_orders: bool
     numbers_from_text: bool
+    codes_to_states: bool
+    keep_delivery_date: bool
 
 
-# "Live" repeats what the streaming job writes; "documented" follows the written requirements, which decode messages
-# into typed events, so that a text such as "12.5" is read as a number.
+# "Live" repeats what the streaming job writes: it takes an order's state as it comes and no delivery date. "Documented"
+# follows the written requirements, which decode messages into typed events, so that a text such as "12.5" is a number.
 LIVE = Defaults(
     order_id="-",
     product_id="-",
@@ -70,6 +72,8 @@ LIVE = Defaults(
     repair_price=False,
     keep_empty_orders=True,
     numbers_from_text=False,
+    codes_to_states=False,
+    keep_delivery_date=False,
 )
 DOCUMENTED = Defaults(
     order_id="UNKNOWN",
@@ -81,6 +85,8 @@ DOCUMENTED = Defaults(
     repair_price=True,
     keep_empty_orders=False,
     numbers_from_text=True,
+    codes_to_states=True,
+    keep_delivery_date=True,
 )
 PRESETS = {"live": LIVE, "documented": DOCUMENTED}
 

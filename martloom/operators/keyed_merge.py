@@ -82,6 +82,30 @@ def append_groups(state: DataFrame | None, rows: DataFrame, group: str, seq: str
     return fresh
 
 
+#: Part of a message that holds a whole order.
+WHOLE_ORDER = ""
+
+
+def judged_parts(offered: DataFrame, stored: DataFrame) -> DataFrame:
+    """(order_id, part, seq, fits, known) of the first message of each part in ``offered`` (order_id, part, seq).
+
+    A message without part is the whole order. The first message with items, stored or offered, decides whether an order
+    comes whole or in parts; messages of the other kind do not fit. A part in ``stored`` (order_id, part) is known.
+    """
+    firsts = offered.groupBy("order_id", "part").agg(F.min("seq").alias("seq"))
+    parts = stored.select("order_id", "part").distinct()
+    whole = F.col("part") == WHOLE_ORDER
+    before = parts.groupBy("order_id").agg(F.bool_or(whole).alias("was_whole"))
+    kinds = firsts.groupBy("order_id").agg(F.min_by(whole, "seq").alias("comes_whole")).join(before, "order_id", "left")
+    kinds = kinds.select("order_id", F.coalesce("was_whole", "comes_whole").alias("whole"))
+    known = parts.withColumn("known", F.lit(True))
+    return (
+        firsts.join(kinds, "order_id")
+        .join(known, ["order_id", "part"], "left")
+        .select("order_id", "part", "seq", (whole == F.col("whole")).alias("fits"), F.coalesce("known", F.lit(False)).alias("known"))
+    )
+
+
 def upsert_metrics(
     state: DataFrame, new: DataFrame, key: Sequence[str], frozen: Sequence[str], live: Sequence[str]
 ) -> DataFrame:

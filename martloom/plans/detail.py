@@ -36,8 +36,8 @@ def is_abnormal(price: Column, *required: Column) -> Column:
     return bad
 
 
-def _carried(docs: DataFrame) -> list[str]:
-    return [c for c in ("seq", "part") if c in docs.columns]
+def _carried(docs: DataFrame, *more: str) -> list[str]:
+    return [c for c in ("seq", "part", *more) if c in docs.columns]
 
 
 def product_rows(docs: DataFrame, as_of: datetime | Column, defaults: Defaults = DOCUMENTED) -> DataFrame:
@@ -67,24 +67,29 @@ def product_rows(docs: DataFrame, as_of: datetime | Column, defaults: Defaults =
     )
 
 
-def order_status(doc: Column) -> Column:
-    """The order's state: codes become names, other texts are kept, a blank one awaits payment."""
+def order_status(doc: Column, defaults: Defaults = DOCUMENTED) -> Column:
+    """The order's state: codes become names where the preset says so, other texts are kept, a blank one awaits payment."""
     given = J.raw_text(doc, "order_status")
-    return F.coalesce(state_name(given), given, F.lit(AWAITING_PAYMENT))
+    names = [state_name(given)] if defaults.codes_to_states else []
+    return F.coalesce(*names, given, F.lit(AWAITING_PAYMENT))
 
 
 def order_rows(
     docs: DataFrame,
     as_of: datetime | Column,
     defaults: Defaults = DOCUMENTED,
-    keep_delivery_date: bool = True,
+    keep_delivery_date: bool | None = None,
+    items: Column | None = None,
 ) -> DataFrame:
     """One order header per parsed message.
 
-    Cancelled orders carry no payment and no amount; only dispatched orders carry logistics.
+    Cancelled orders carry no payment and no amount; only dispatched orders carry logistics. ``items`` is the number of
+    items where it was counted over several messages.
     """
     stamp = load_time(as_of)
-    flat = docs.withColumn("order_status", order_status(F.col("doc")))
+    if keep_delivery_date is None:
+        keep_delivery_date = defaults.keep_delivery_date
+    flat = docs.withColumn("order_status", order_status(F.col("doc"), defaults))
     d, typed = F.col("doc"), defaults.numbers_from_text
     cancelled = F.col("order_status") == CANCELLED
     paid = ~cancelled & J.present(d, "payment")
@@ -114,7 +119,7 @@ def order_rows(
         J.money(d, "order_amount", typed).alias("order_amount"),
         J.money(d, "discount", typed).alias("discount"),
         F.when(cancelled, F.lit(0).cast(MONEY)).otherwise(J.money(d, "actual_amount", typed)).alias("actual_amount"),
-        item_count(d).alias("item_count"),
+        (item_count(d) if items is None else items).alias("item_count"),
         J.timestamp(d, "created_at", stamp).alias("created_at"),
         J.raw_text(d, "remark").alias("remark"),
         stamp.alias("load_time"),
@@ -128,11 +133,11 @@ def item_count(doc: Column) -> Column:
 
 
 def item_rows(docs: DataFrame, as_of: datetime | Column, defaults: Defaults = DOCUMENTED) -> DataFrame:
-    """One row per element of the order's item list, numbered from 1."""
+    """One row per element of the order's item list, numbered from 1. A column ``created_at`` goes along."""
     stamp = load_time(as_of)
     items = docs.select(
         J.text(F.col("doc"), "order_id", defaults.order_id).alias("order_id"),
-        *_carried(docs),
+        *_carried(docs, "created_at"),
         F.posexplode(J.list_of(F.col("doc"), "items")).alias("position", "item"),
     )
     i, typed = F.col("item"), defaults.numbers_from_text
@@ -150,6 +155,6 @@ def item_rows(docs: DataFrame, as_of: datetime | Column, defaults: Defaults = DO
         J.whole(i, "sales_volume", 1, typed).alias("sales_volume"),
         J.money(i, "subtotal", typed).alias("subtotal"),
         stamp.alias("load_time"),
-        *_carried(docs),
+        *_carried(docs, "created_at"),
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.amounts import MONEY
@@ -29,7 +29,7 @@ DESCRIBED = [
 ]
 
 
-def goods_info(products: DataFrame) -> DataFrame:
+def goods_info(products: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """Current goods. Units sharing a name form one product line with a common price range.
 
     The range is a plain aggregate joined back, not a window, so a name shared by a third of all units is folded where
@@ -61,9 +61,35 @@ def goods_info(products: DataFrame) -> DataFrame:
         F.lit(1).alias("is_active"),
         F.col("created_at").alias("dw_create_time"),
         F.col("created_at").alias("dw_update_time"),
+        *carried,
     )
 
 
+VERSIONED = ("name", "brand", "category", "sub_category", "price", "image_url", "keywords")
+
+
+def goods_history(versions: DataFrame, time: str = "created_at", order: str | None = None) -> DataFrame:
+    """Goods of all versions, each with the days it was valid: from its own day to the day before the next version's.
+
+    ``versions`` has a row per product and report, with the time it came into force. The last report of a day counts
+    (``order`` breaks ties); a day that changes nothing belongs to the version before it. A unit's last version is open and
+    active. Reports are folded to one row per unit and day before they are ordered, so a unit reported a third of all times
+    is a row per day. The price range of a line spans all versions under its name.
+    """
+    last = F.struct(time, *([order] if order else []))
+    fields = F.struct(*VERSIONED, F.col(time).alias("created_at"))
+    daily = versions.groupBy("product_id", F.to_date(time).alias("_from")).agg(F.max_by(fields, last).alias("_v"))
+    w = Window.partitionBy("product_id").orderBy("_from")
+    same = F.struct(*[F.col(f"_v.{c}") for c in VERSIONED])
+    changed = daily.withColumn("_before", F.lag(same).over(w)).filter(~F.col("_before").eqNullSafe(same) | F.col("_before").isNull())
+    until = F.date_sub(F.lead("_from").over(w), 1)
+    rows = changed.withColumn("_until", until).select("product_id", "_from", "_until", "_v.*")
+    still = F.col("_until").isNull()
+    return goods_info(rows, carried=("_until",)).withColumns(
+        {"end_date": F.coalesce("_until", F.lit(OPEN_END).cast("date")), "is_active": F.when(still, 1).otherwise(0)}
+    ).drop("_until")
+
+
 def refreshed_goods(state: DataFrame, current: DataFrame, as_of: datetime | Column) -> DataFrame:
     """Stored goods brought up to ``current``: a changed unit's open row is closed and a new one opened.
 

@@ -115,47 +115,61 @@ def user_value(user_days: DataFrame, bounds: tuple[int, int] = TIER_BOUNDS) -> D
     )
 
 
-def product_ranking(product_days: DataFrame) -> DataFrame:
-    """Products ranked by quantity sold; equal quantities share a rank."""
-    totals = product_days.groupBy("product_id").agg(
+def product_totals(product_days: DataFrame) -> DataFrame:
+    """One row per product, not ranked."""
+    return product_days.groupBy("product_id").agg(
         F.max("product_name").alias("product_name"),
         F.max("category").alias("category"),
         F.max("brand").alias("brand"),
         count_sum(F.col("total_quantity")).alias("total_quantity"),
         money_sum(F.col("total_amount")).alias("total_amount"),
     )
-    return rank_by(totals, "total_quantity", spread_by="product_id").select(
-        "product_id", "product_name", "category", "brand", "total_quantity", "total_amount", "rank"
-    )
 
 
-def regional_sales(wide: DataFrame, levels: Sequence[str] = REGION) -> DataFrame:
-    """Orders, amount, average and buyers per region, one set of rows per level in ``levels``.
+RANKED = ("product_id", "product_name", "category", "brand", "total_quantity", "total_amount", "rank")
 
-    The amount adds an order's payment once per wide row, as the running job does. Wide rows are folded to one row per
-    region, order and buyer before the levels multiply them. Province rows need a province, deeper rows a city.
-    """
-    base = wide.groupBy(*REGION, "order_id", "buyer_phone").agg(money_sum(F.col("actual_amount")).alias("_amount"))
-    return _by_level(base, levels)
 
+def product_ranking(product_days: DataFrame) -> DataFrame:
+    """Products ranked by quantity sold; equal quantities share a rank."""
+    return rank_by(product_totals(product_days), "total_quantity", spread_by="product_id").select(*RANKED)
 
-def regional_sales_order_grain(wide: DataFrame, levels: Sequence[str] = REGION) -> DataFrame:
-    """As above, with an order's payment added once."""
-    base = (
-        wide.select(*REGION, "order_id", "buyer_phone", F.col("actual_amount").alias("_amount")).distinct()
-    )
-    return _by_level(base, levels)
 
+def top_products(product_days: DataFrame, size: int) -> DataFrame:
+    """The first rows of the ranking. All that rank above them are among them, so only these few are ranked."""
+    first = product_totals(product_days).orderBy(F.desc("total_quantity"), "product_id").limit(size)
+    return first.withColumn("rank", F.rank().over(Window.orderBy(F.desc("total_quantity"))).cast("bigint")).select(*RANKED)
 
-def _by_level(base: DataFrame, levels: Sequence[str]) -> DataFrame:
-    sets = [[F.col(c) for c in REGION[: REGION.index(level) + 1]] for level in levels]
-    rows = base.groupingSets(sets, *REGION).agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        money_sum(F.col("_amount")).alias("total_amount"),
-        F.countDistinct("buyer_phone").alias("buyer_count"),
+
+def region_buyers(wide: DataFrame, order_grain: bool = False) -> DataFrame:
+    """Orders and amount per finest region and buyer: the set that regional counts are rolled up from.
+
+    An order has one region and one buyer, so counts of orders add up; the buyers of a larger region are the distinct ones.
+    ``order_grain`` adds an order's payment once instead of once per wide row.
+    """
+    base = wide.select(*REGION, "order_id", "buyer_phone", F.col("actual_amount").alias("amount"))
+    per_order = (base.distinct() if order_grain else base).groupBy(*REGION, "order_id", "buyer_phone").agg(money_sum(F.col("amount")).alias("amount"))
+    return per_order.groupBy(*REGION, "buyer_phone").agg(F.count(F.lit(1)).alias("orders"), money_sum(F.col("amount")).alias("amount"))
+
+
+def regional_rows(buyers: DataFrame, levels: Sequence[str] = REGION) -> DataFrame:
+    """Orders, amount, average and buyers per region from the finest set (region, buyer, orders, amount).
+
+    The levels multiply that set only, which has a row per buyer and region, never the order rows behind it. A buyer of a
+    larger region is one row there after the first sum, so buyers are counted without a distinct count. Province rows need a
+    province, deeper rows a city.
+    """
+    sets = [[F.col(c) for c in (*REGION[: REGION.index(level) + 1], "buyer_phone")] for level in levels]
+    per_buyer = buyers.groupingSets(sets, *REGION, "buyer_phone").agg(
+        F.sum("orders").alias("orders"),
+        money_sum(F.col("amount")).alias("amount"),
         F.grouping("city").alias("_no_city"),
         F.grouping("district").alias("_no_district"),
     )
+    rows = per_buyer.groupBy(*REGION, "_no_city", "_no_district").agg(
+        count_sum(F.col("orders")).alias("total_orders"),
+        money_sum(F.col("amount")).alias("total_amount"),
+        F.count("buyer_phone").alias("buyer_count"),
+    )
     named = F.when(F.col("_no_city") == 1, F.col("province") != "").otherwise(F.col("city") != "")
     return _with_average(rows.filter(named), "total_amount", "total_orders").select(
         "province",
@@ -166,3 +180,13 @@ def _by_level(base: DataFrame, levels: Sequence[str]) -> DataFrame:
         "avg_order_amount",
         "buyer_count",
     )
+
+
+def regional_sales(wide: DataFrame, levels: Sequence[str] = REGION) -> DataFrame:
+    """Orders, amount, average and buyers per region; the amount adds an order's payment once per wide row."""
+    return regional_rows(region_buyers(wide), levels)
+
+
+def regional_sales_order_grain(wide: DataFrame, levels: Sequence[str] = REGION) -> DataFrame:
+    """As above, with an order's payment added once."""
+    return regional_rows(region_buyers(wide, order_grain=True), levels)

@@ -79,7 +79,7 @@ def user_recency(users: DataFrame, as_of: date | str | Column) -> DataFrame:
 
 
 def home_top(revenue: DataFrame, ranking: DataFrame, size: int = TOP_HOME) -> DataFrame:
-    """Top categories by amount and top products by quantity, as one list."""
+    """Top categories by amount and top products by quantity, as one list. Of the ranking its first rows suffice."""
     categories = revenue.orderBy("rank", "category").limit(size)
     products = ranking.orderBy("rank", "product_id").limit(size)
     return categories.select(

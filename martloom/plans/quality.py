@@ -11,12 +11,38 @@ from martloom.functions.amounts import MONEY_SUM, ratio_or_null, ratio_or_zero
 from martloom.functions.vocabulary import SUBTOTAL, TIER_BOUNDS, value_tier
 
 
+def violation_counts(broken: Column) -> list[Column]:
+    return [F.count(F.lit(1)).alias("checked"), F.count_if(broken).alias("violations")]
+
+
 def _violations(name: str, df: DataFrame, broken: Column) -> DataFrame:
-    return df.agg(
-        F.lit(name).alias("check"),
-        F.count(F.lit(1)).alias("checked"),
-        F.count_if(broken).alias("violations"),
-    )
+    return df.agg(F.lit(name).alias("check"), *violation_counts(broken))
+
+
+def blank_counts(columns: Sequence[str]) -> list[Column]:
+    """Null and blank values per column."""
+    return [F.count_if(F.coalesce(F.col(c).cast("string"), F.lit("")) == "").alias(c) for c in columns]
+
+
+def share_and_rank_counts() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("categories"),
+        F.sum("percentage").cast("decimal(15,2)").alias("percentage_sum"),
+        F.min("rank").alias("first_rank"),
+        F.max("rank").alias("last_rank"),
+    ]
+
+
+def wrong_price() -> Column:
+    return _differs("avg_price", ratio_or_zero(F.col("total_amount"), F.col("total_quantity")))
+
+
+def wrong_average() -> Column:
+    return _differs("avg_order_amount", ratio_or_null(F.col("total_sales_amount"), F.col("total_order_count")))
+
+
+def wrong_tier(bounds: tuple[int, int] = TIER_BOUNDS) -> Column:
+    return _differs("value_tier", value_tier(F.col("total_monetary"), bounds))
 
 
 def _differs(a: Column | str, b: Column | str) -> Column:
@@ -35,33 +61,24 @@ def wide_vs_items(wide: DataFrame, items: DataFrame) -> DataFrame:
 
 def ratios(product_days: DataFrame, trend: DataFrame) -> DataFrame:
     """Stored averages against their definition."""
-    price = ratio_or_zero(F.col("total_amount"), F.col("total_quantity"))
-    order = ratio_or_null(F.col("total_sales_amount"), F.col("total_order_count"))
-    return _violations("avg_price", product_days, _differs("avg_price", price)).unionByName(
-        _violations("avg_order_amount", trend, _differs("avg_order_amount", order))
+    return _violations("avg_price", product_days, wrong_price()).unionByName(
+        _violations("avg_order_amount", trend, wrong_average())
     )
 
 
 def share_and_rank(revenue: DataFrame) -> DataFrame:
     """Sum of the shares and the range of ranks; without ties the ranks run from 1 to the number of rows."""
-    return revenue.agg(
-        F.count(F.lit(1)).alias("categories"),
-        F.sum("percentage").cast("decimal(15,2)").alias("percentage_sum"),
-        F.min("rank").alias("first_rank"),
-        F.max("rank").alias("last_rank"),
-        (F.count(F.lit(1)) - F.countDistinct("rank")).alias("tied_rows"),
-    )
+    tied = (F.count(F.lit(1)) - F.countDistinct("rank")).alias("tied_rows")
+    return revenue.agg(*share_and_rank_counts(), tied)
 
 
 def tiers(users: DataFrame, bounds: tuple[int, int] = TIER_BOUNDS) -> DataFrame:
-    return _violations("value_tier", users, _differs("value_tier", value_tier(F.col("total_monetary"), bounds)))
+    return _violations("value_tier", users, wrong_tier(bounds))
 
 
 def required_fields(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null and blank values per column, counted in one pass."""
-    counted = df.agg(
-        *[F.count_if(F.coalesce(F.col(c).cast("string"), F.lit("")) == "").alias(c) for c in columns]
-    )
+    counted = df.agg(*blank_counts(columns))
     return counted.unpivot([], list(columns), "column_name", "blank_rows")
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Sequence
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,8 +53,8 @@ def regional_sales(regions: DataFrame, level: str | None = "province") -> DataFr
     return regions.orderBy(F.desc("total_amount"), "province", "city", "district")
 
 
-def dashboard_kpi(trend: DataFrame, users: DataFrame, ranking: DataFrame) -> DataFrame:
-    """One row: all sales, all orders, active buyers, products sold.
+def dashboard_kpi(trend: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
+    """One row: all sales, all orders, active buyers, products sold. ``products`` has a row each, ranked or not.
 
     Each part is reduced to one row by itself; the rows are then merged, not crossed.
     """
@@ -62,7 +63,7 @@ def dashboard_kpi(trend: DataFrame, users: DataFrame, ranking: DataFrame) -> Dat
         F.coalesce(F.sum("total_order_count"), F.lit(0)).cast("bigint").alias("total_order_count"),
     )
     buyers = users.agg(F.count(F.lit(1)).alias("active_user_count"))
-    products = ranking.agg(F.count(F.lit(1)).alias("active_sku_count"))
+    products = products.agg(F.count(F.lit(1)).alias("active_sku_count"))
     parts = sales.unionByName(buyers, allowMissingColumns=True).unionByName(products, allowMissingColumns=True)
     return parts.agg(*[F.max(c).alias(c) for c in parts.columns])
 
@@ -95,6 +96,55 @@ def goods_page(
     return rows
 
 
+def goods_days(
+    goods: DataFrame, category: str | None = None, brand: str | None = None, keyword: str | None = None
+) -> DataFrame:
+    """Active goods per day of creation, newest first: the index that pages are sought by. One row per calendar day."""
+    rows = _goods(goods, category, brand, keyword).groupBy(F.to_date("dw_create_time").alias("day"))
+    return rows.agg(F.count(F.lit(1)).alias("goods")).orderBy(F.desc("day"))
+
+
+def goods_page_sought(
+    goods: DataFrame,
+    index: Sequence[tuple[date, int]],
+    category: str | None = None,
+    brand: str | None = None,
+    keyword: str | None = None,
+    page: int = 1,
+    size: int = PAGE_SIZE,
+) -> DataFrame:
+    """As ``goods_page``, reading only the days that the page lies in; ``index`` are the rows of ``goods_days``."""
+    skip, before, chosen = (page - 1) * size, 0, []
+    for day, count in index:
+        if before + count > skip and before < skip + size:
+            chosen.append((day, before))
+        before += count
+    rows = _goods(goods, category, brand, keyword)
+    if not chosen:
+        return rows.limit(0)
+    newest, oldest = chosen[0][0], chosen[-1][0]
+    created = F.col("dw_create_time")
+    inside = rows.filter((created >= F.lit(oldest).cast("timestamp")) & (created < F.date_add(F.lit(newest), 1).cast("timestamp")))
+    return inside.orderBy(F.desc("dw_create_time"), "sku_id").offset(skip - chosen[0][1]).limit(size)
+
+
+def goods_after(
+    goods: DataFrame,
+    created: datetime | None = None,
+    sku: str | None = None,
+    category: str | None = None,
+    brand: str | None = None,
+    keyword: str | None = None,
+    size: int = PAGE_SIZE,
+) -> DataFrame:
+    """The page after the unit ``sku`` created at ``created``, or the first one: earlier pages are filtered, not skipped."""
+    rows = _goods(goods, category, brand, keyword)
+    if created is not None:
+        at, time = F.lit(created).cast("timestamp"), F.col("dw_create_time")
+        rows = rows.filter((time <= at) & ((time < at) | (F.col("sku_id") > sku)))
+    return rows.orderBy(F.desc("dw_create_time"), "sku_id").limit(size)
+
+
 def goods_count(
     goods: DataFrame, category: str | None = None, brand: str | None = None, keyword: str | None = None
 ) -> DataFrame:

@@ -12,7 +12,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Lookups by a list of keys reach the files' statistics and Bloom filters up to this many keys.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
+LOOKUP_KEYS = int(RUNTIME_SETTINGS["spark.sql.parquet.pushdown.inFilterThreshold"])
 
 
 def tune(spark: SparkSession) -> SparkSession:

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions.amounts import MONEY, MONEY_SUM, SHARE
+from martloom.functions.vocabulary import AWAITING_PAYMENT, SUBTOTAL
 
 
 @dataclass(frozen=True)
@@ -25,6 +30,7 @@ class Table:
     added: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     not_null: tuple[str, ...] = field(default=())
+    defaults: dict[str, str | int] = field(default_factory=dict)
 
     @property
     def schema(self) -> T.StructType:
@@ -43,6 +49,37 @@ class Table:
         return tuple(f.name for f in self.schema if f.name not in other)
 
 
+#: Default of a time: that of the run.
+NOW = "now"
+
+
+def filled(df: DataFrame, table: Table, as_of: datetime | Column | None = None) -> DataFrame:
+    """The table's columns: those that ``df`` leaves out get their default, or NULL. A given NULL stays one."""
+
+    def made(f: T.StructField) -> Column:
+        if f.name in df.columns:
+            return F.col(f.name).cast(f.dataType).alias(f.name)
+        value = table.defaults.get(f.name)
+        if value == NOW:
+            value = as_of
+        return (value if isinstance(value, Column) else F.lit(value)).cast(f.dataType).alias(f.name)
+
+    return df.select(*[made(f) for f in table.schema])
+
+
+def refusal(table: Table) -> Column:
+    """Name of the first required column that is NULL in a row, NULL for a row the table takes."""
+    return F.coalesce(*[F.when(F.col(f.name).isNull(), f.name) for f in table.schema if not f.nullable])
+
+
+def enforced(df: DataFrame, table: Table) -> DataFrame:
+    """``df`` whose reading fails at the first row the table refuses."""
+    required = [f.name for f in table.schema if not f.nullable and f.name in df.columns]
+    return df.withColumns(
+        {c: F.when(F.col(c).isNotNull(), F.col(c)).otherwise(F.raise_error(F.lit(f"{table.name}.{c} is NULL"))) for c in required}
+    )
+
+
 _ORDER_HEADER = f"""order_id string, buyer_name string, buyer_phone string, buyer_email string, province string,
 city string, district string, address_detail string, postal_code string, recipient_name string,
 recipient_phone string, order_status string, payment_method string, payment_amount {MONEY}, payment_time timestamp,
@@ -61,7 +98,8 @@ TABLES = {
             description string, image_url string, keywords string, created_at timestamp, is_variant boolean,
             is_abnormal boolean, load_time timestamp""",
             live=("name", "price", "load_time"),
-            not_null=("name", "category", "price", "created_at", "is_variant", "is_abnormal"),
+            not_null=("name", "category", "price", "created_at", "is_variant", "is_abnormal", "load_time"),
+            defaults={"price": 0, "created_at": NOW, "is_variant": False, "is_abnormal": False, "load_time": NOW},
         ),
         Table(
             "dwd_order",
@@ -70,7 +108,13 @@ TABLES = {
             _ORDER_HEADER,
             live=("order_status", "actual_amount", "load_time"),
             added=("item_count",),
-            not_null=("order_status", "order_amount", "discount", "actual_amount", "item_count", "created_at"),
+            not_null=("order_status", "order_amount", "discount", "actual_amount", "item_count", "created_at", "load_time"),
+            defaults={
+                "order_status": AWAITING_PAYMENT,
+                **dict.fromkeys(("order_amount", "discount", "actual_amount", "item_count"), 0),
+                "created_at": NOW,
+                "load_time": NOW,
+            },
         ),
         Table(
             "dwd_order_item",
@@ -79,7 +123,14 @@ TABLES = {
             f"""order_id string, part string, item_no int, product_id string, product_name string, brand string, category string,
             sub_category string, original_price {MONEY}, price {MONEY}, quantity int, sales_volume int,
             subtotal {MONEY}, load_time timestamp""",
-            not_null=("product_id", "product_name", "original_price", "price", "quantity", "subtotal"),
+            not_null=(
+                "product_id", "product_name", "original_price", "price", "quantity", "sales_volume", "subtotal", "load_time"
+            ),
+            defaults={
+                **dict.fromkeys(("original_price", "price", "subtotal"), 0),
+                **dict.fromkeys(("quantity", "sales_volume"), 1),
+                "load_time": NOW,
+            },
         ),
         Table(
             "dws_order_wide",
@@ -101,6 +152,7 @@ TABLES = {
             total_quantity bigint, total_amount {MONEY_SUM}, order_count bigint, avg_price {MONEY_SUM}""",
             live=("total_quantity", "total_amount", "order_count", "avg_price"),
             partition_by=("dt",),
+            defaults=dict.fromkeys(("total_quantity", "total_amount", "order_count", "avg_price"), 0),
         ),
         Table(
             "dws_category_sales_1d",
@@ -109,6 +161,7 @@ TABLES = {
             f"""category string, dt date, total_quantity bigint, total_amount {MONEY_SUM}, order_count bigint,
             sku_count bigint""",
             live=("total_quantity", "total_amount", "order_count", "sku_count"),
+            defaults=dict.fromkeys(("total_quantity", "total_amount", "order_count", "sku_count"), 0),
         ),
         Table(
             "dws_user_order_1d",
@@ -164,6 +217,10 @@ TABLES = {
             f"""province string, city string, district string, total_orders bigint, total_amount {MONEY_SUM},
             avg_order_amount {MONEY_SUM}, buyer_count bigint""",
             live=("total_orders", "total_amount", "avg_order_amount", "buyer_count"),
+            defaults={
+                **dict.fromkeys(("city", "district"), SUBTOTAL),
+                **dict.fromkeys(("total_orders", "total_amount", "avg_order_amount", "buyer_count"), 0),
+            },
         ),
         Table(
             "dim_goods_info",
@@ -178,3 +235,15 @@ TABLES = {
         ),
     )
 }
+
+# Tables that only the jobs read: totals that are kept up to date, and the day of every order.
+INTERNAL = {
+    t.name: t
+    for t in (
+        Table("sum_category", "totals per category", ("category",), f"category string, days bigint, total_amount {MONEY_SUM}, total_quantity bigint, order_count bigint, sku_count bigint"),
+        Table("sum_user", "totals per buyer", ("buyer_phone",), f"buyer_phone string, buyer_name string, dt date, days bigint, order_count bigint, total_amount {MONEY_SUM}"),
+        Table("sum_product", "totals per product", ("product_id",), f"product_id string, product_name string, category string, brand string, days bigint, total_quantity bigint, total_amount {MONEY_SUM}"),
+        Table("sum_region", "orders and amount per region and buyer", (), f"province string, city string, district string, buyer_phone string, orders bigint, amount {MONEY_SUM}"),
+        Table("order_days", "first message and day of an order", ("order_id",), "order_id string, seq struct<batch: bigint, origin: string, position: bigint, row: bigint>, dt date"),
+    )
+}

@@ -26,6 +26,8 @@ ORDER_EVENT = """order_id string, part string, order_status string,
     logistics struct<company: string, tracking_number: string, shipped_at: string, estimated_delivery: string>,
     created_at string, remark string"""
 
+BAD_RECORD = "_bad_record"
+
 SEQ = "struct<batch: bigint, origin: string, position: bigint, row: bigint>"
 
 
@@ -127,6 +129,17 @@ def rejected(judged: DataFrame) -> DataFrame:
     return judged.filter(F.col("reason").isNotNull()).drop("doc")
 
 
+def with_typed_reason(messages: DataFrame, event: str) -> DataFrame:
+    """Add ``event``, the message read by a schema, and ``reason``: NULL, or why it does not fit.
+
+    A field of a wrong type makes the whole message a reject; reading it as NULL would hide the mistake.
+    """
+    read = F.from_json("value", f"{event}, {BAD_RECORD} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD})
+    is_object = F.btrim("value", F.lit(" \t\r\n")).startswith("{") & F.try_parse_json("value").isNotNull()
+    reason = F.when(~F.coalesce(is_object, F.lit(False)), "malformed_json").when(F.col(f"event.{BAD_RECORD}").isNotNull(), "wrong_type")
+    return computed_once(messages, "event", read).withColumn("reason", reason).withColumn("event", F.col("event").dropFields(BAD_RECORD))
+
+
 def decode_products(messages: DataFrame) -> DataFrame:
     """Typed product events; unknown fields are ignored."""
     return messages.select(F.from_json("value", PRODUCT_EVENT).alias("event")).select("event.*")

@@ -250,8 +250,9 @@ def _damaged(message: Column, empty: Column, cut: Column) -> Column:
 def order_feed(spark: SparkSession, folder: str) -> DataFrame:
     """One JSON message per item row, and one per order without items, with defects chosen by the order key.
 
-    Each message has the order's header and a ``part`` of its own, so an order of any size is sent the same way and no
-    order's items are gathered in one place.
+    Each message has the order's header and a ``part`` named by its line's own numbers, so an order of any size is sent the
+    same way, no order's items are gathered in one place, and a message reads the same whenever it is made. An exact copy of
+    a line is the same message once more.
     """
     rows = items(spark, folder)
     odd_quantity = F.pmod(F.col("order_id").cast("bigint"), F.lit(23)) == 4
@@ -278,7 +279,7 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
     fields = F.struct(
         "order_id",
         F.when(every(31, 8), "").when(every(3, 0), code).otherwise(F.col("order_status")).alias("order_status"),
-        F.monotonically_increasing_id().cast("string").alias("part"),
+        "part",
         F.when(~every(29, 6), F.col("items")).alias("items"),
         F.lit(99).alias("item_count"),
         F.when(every(10, 4), rounded_up).otherwise(F.col("order_amount")).alias("order_amount"),
@@ -318,9 +319,9 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
         F.when(every(7, 2), "unknown").otherwise(placed).alias("created_at"),
     )
     facts = _order_facts(spark, folder)
-    sold = rows.select("order_id", F.array(item).alias("items")).join(facts, "order_id")
-    bare = facts.join(rows.select("order_id").distinct(), "order_id", "left_anti")
-    sent = sold.unionByName(bare, allowMissingColumns=True)
+    part = F.concat_ws("-", *[F.col(c).cast("string") for c in LINE_ORDER])
+    sent = facts.join(rows.select("order_id", F.array(item).alias("items"), part.alias("part")), "order_id", "left")
+    sent = sent.withColumn("part", F.coalesce("part", F.lit("none")))
     value = _damaged(F.col("text"), every(37, 9), every(50, 49))
     texts = sent.select("o_orderkey", F.to_json(fields).alias("text"))
     return computed_once(texts, "value", value).select("value")

@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from martloom.operators.keyed_merge import FIRST, LAST, merge_changes
 from martloom.sources import shared_files
-from martloom.sources.catalog import TABLES
+from martloom.session import tune
+from martloom.sources.catalog import INTERNAL, TABLES, enforced
 from martloom.sources.feeds import SEQ
 
 DAY = "dt"
@@ -27,10 +28,11 @@ WHOLE = ""
 
 # Tables kept as appended changes and merged by key when read.
 MERGED_ON_READ = ("dwd_product", "dwd_order")
-PRODUCTS, ORDERS, REFRESH = "products", "orders", "refresh"
+PRODUCTS, ORDERS, REFRESH, GOODS = "products", "orders", "refresh", "goods"
 WRITERS = {
     PRODUCTS: ("dwd_product", "rejected_products"),
-    ORDERS: ("dwd_order", "dwd_order_item", "rejected_orders"),
+    ORDERS: ("dwd_order", "dwd_order_item", "rejected_orders", "order_days"),
+    GOODS: ("dim_goods_info",),
     REFRESH: (
         "dws_order_wide",
         "dws_product_sales_1d",
@@ -41,8 +43,15 @@ WRITERS = {
         "ads_user_value",
         "ads_product_ranking",
         "ads_regional_sales",
+        "sum_category",
+        "sum_user",
+        "sum_product",
+        "sum_region",
     ),
 }
+# Tables looked up by a key: sorted by it, in small row groups that carry a Bloom filter of it.
+LOOKED_UP = {"order_days": "order_id"}
+ROW_GROUP_BYTES = 1 << 20
 OWNER = {table: writer for writer, tables in WRITERS.items() for table in tables}
 DAILY = (
     "dwd_order",
@@ -59,7 +68,7 @@ def stored_schema(table: str) -> T.StructType:
     """Columns as stored: the table's own, its place in arrival order, and the day for tables split by day."""
     if table.startswith("rejected_"):
         return T.StructType.fromDDL(REJECTS)
-    fields = [T.StructField(f.name, f.dataType) for f in TABLES[table].schema]
+    fields = [T.StructField(f.name, f.dataType) for f in (INTERNAL | TABLES)[table].schema]
     if table in MERGED_ON_READ:
         seq = T.StructType.fromDDL(f"seq {SEQ}")[0].dataType
         fields += [T.StructField(FIRST, seq), T.StructField(LAST, seq)]
@@ -70,7 +79,7 @@ def stored_schema(table: str) -> T.StructType:
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+        self.spark = tune(spark)
         self.root = root.rstrip("/")
 
     # Commits
@@ -169,10 +178,13 @@ class Warehouse:
         return removed
 
     def compact(self, table: str) -> int:
-        """Fold the change rows of a table that is merged on read into one set of files."""
-        if table not in MERGED_ON_READ:
+        """Fold the change rows of a table that is merged on read, or the files of one looked up, into one set of files."""
+        if table not in MERGED_ON_READ and table not in LOOKED_UP:
             raise ValueError(f"{table} is not kept as changes")
         change = self.begin(OWNER[table])
+        if table in LOOKED_UP:
+            change.replace(table, self.read(table))
+            return change.commit(touch=False)
         spec = TABLES[table]
         frozen = [*spec.frozen, *([DAY] if table in DAILY else [])]
         folded = merge_changes(self.changes(table), spec.key, frozen, spec.live, keep_seq=True, added=spec.added)
@@ -202,6 +214,13 @@ class Change:
         folder = f"tables/{table}/run={self.attempt}"
         target = f"{self.wh.root}/{folder}"
         rows = df.select(*stored_schema(table).names)
+        if table in TABLES:
+            rows = enforced(rows, TABLES[table])
+        if table in LOOKED_UP:
+            key = LOOKED_UP[table]
+            writer = rows.orderBy(key).write.option("parquet.block.size", ROW_GROUP_BYTES)
+            writer.option(f"parquet.bloom.filter.enabled#{key}", "true").parquet(target)
+            return {WHOLE: folder}
         if table not in DAILY:
             rows.write.parquet(target)
             return {WHOLE: folder}

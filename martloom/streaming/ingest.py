@@ -11,17 +11,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martloom.functions import json_fields as J
 from martloom.functions.vocabulary import DOCUMENTED, Defaults
-from martloom.operators.keyed_merge import FIRST, as_changes, merge_changes
+from martloom.operators.keyed_merge import WHOLE_ORDER, as_changes, judged_parts, merge_changes
 from martloom.plans import detail
+from martloom.session import LOOKUP_KEYS
 from martloom.sources import feeds
 from martloom.sources.catalog import TABLES
-from martloom.sources.warehouse import DAY, ORDERS, PRODUCTS, Change, Warehouse
+from martloom.sources.warehouse import DAY, ORDERS, PRODUCTS, Warehouse
 
 Clock = Callable[[], datetime]
 
-# Part of a message that holds a whole order.
-WHOLE_ORDER = ""
-
 
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -70,39 +68,26 @@ def ingest_products(
     return version
 
 
-def _days(change: Change, headers: DataFrame) -> DataFrame:
-    """Per order of the batch, the day of its first message.
+def stored_days(rows: DataFrame, orders: DataFrame) -> DataFrame:
+    """The rows of the table of order days that belong to ``orders`` (order_id).
 
-    Stored orders are looked up by id in two columns of the stored headers; the first message decides the day for good,
-    so all rows of an order share a folder and a refresh can prune by day.
+    The ids of a small batch are pushed down to the files, where sort order and Bloom filters leave only the row groups that
+    hold one; those of a large batch are joined.
     """
-    here = headers.select("order_id", "seq", F.to_date("created_at").alias(DAY))
-    stored = (
-        change.changes("dwd_order")
-        .join(here.select("order_id").distinct(), "order_id", "left_semi")
-        .select("order_id", F.col(FIRST).alias("seq"), DAY)
-    )
-    return here.unionByName(stored).groupBy("order_id").agg(F.min_by(DAY, "seq").alias(DAY))
+    ids = [r.order_id for r in orders.select("order_id").distinct().limit(LOOKUP_KEYS + 1).collect()]
+    if len(ids) <= LOOKUP_KEYS:
+        return rows.filter(F.col("order_id").isin(ids))
+    return rows.join(orders.select("order_id").distinct(), "order_id", "left_semi")
 
 
-def _new_parts(headers: DataFrame, stored: DataFrame) -> DataFrame:
-    """(order_id, part, seq) of the messages whose items are taken: the first of each part that is not stored.
+def _days(headers: DataFrame, stored: DataFrame) -> DataFrame:
+    """Per order of the batch, the day of its first message and whether it was known before.
 
-    A message without part is the whole order. The first message with items, stored or of this batch, decides whether an
-    order comes whole or in parts; messages of the other kind add no items to it.
+    The first message decides the day for good, so all rows of an order share a folder and a refresh can prune by day.
     """
-    offered = headers.filter(F.col("item_count") > 0).groupBy("order_id", "part").agg(F.min("seq").alias("seq"))
-    parts = stored.select("order_id", "part").distinct()
-    whole = F.col("part") == WHOLE_ORDER
-    before = parts.groupBy("order_id").agg(F.bool_or(whole).alias("was_whole"))
-    kinds = offered.groupBy("order_id").agg(F.min_by(whole, "seq").alias("comes_whole")).join(before, "order_id", "left")
-    kinds = kinds.select("order_id", F.coalesce("was_whole", "comes_whole").alias("whole"))
-    return (
-        offered.join(kinds, "order_id")
-        .filter(whole == F.col("whole"))
-        .drop("whole")
-        .join(parts, ["order_id", "part"], "left_anti")
-    )
+    here = headers.select("order_id", "seq", F.to_date("created_at").alias(DAY), F.lit(False).alias("known"))
+    both = here.unionByName(stored.select("order_id", "seq", DAY, F.lit(True).alias("known")))
+    return both.groupBy("order_id").agg(F.min_by(DAY, "seq").alias(DAY), F.min("seq").alias("seq"), F.bool_or("known").alias("known"))
 
 
 def ingest_orders(
@@ -116,7 +101,8 @@ def ingest_orders(
     """Publish one batch of order messages: headers, items and rejects together.
 
     An order may come in several messages, told apart by their ``part``. Items are those of the first message of each
-    part, so a replayed one adds none; the item count is the number of items kept.
+    part, so a replayed one adds none; the item count is the number of items kept. A message whose items are set aside, because
+    its order came whole and it is a part, or the other way round, is also a reject.
     """
     change = wh.begin(ORDERS)
     if source is not None and change.seen(source, batch_id):
@@ -128,20 +114,27 @@ def ingest_orders(
     part = F.coalesce(J.raw_text(F.col("doc"), "part"), F.lit(WHOLE_ORDER))
     docs = feeds.accepted(judged).withColumn("part", part)
     headers = detail.order_rows(docs, stamp, defaults)
-    days, days_stage = wh.stage(_days(change, headers), "days")
+    found = stored_days(change.read("order_days"), headers)
+    days, days_stage = wh.stage(_days(headers, found), "days")
     # One row per calendar day, however many orders there are.
     busy = [str(r[DAY]) for r in days.select(DAY).distinct().collect()]
     stored = change.read("dwd_order_item", busy).join(days, "order_id", "left_semi")
-    new, new_stage = wh.stage(_new_parts(headers, stored), "new-parts")
+    offered = headers.filter(F.col("item_count") > 0)
+    parts, new_stage = wh.stage(judged_parts(offered, stored), "parts")
+    new = parts.filter("fits and not known").select("order_id", "part", "seq")
+    odd = parts.filter("not fits").select("seq")
 
     place = ["order_id", "part", "seq"]
     counted = headers.join(new.withColumn("taken", F.lit(True)), place, "left").withColumn(
         "item_count", F.when(F.col("taken"), F.col("item_count")).otherwise(0)
     )
-    change.append("dwd_order", _folded(counted.join(days, "order_id"), "dwd_order", (DAY,)))
+    day_of = days.select("order_id", DAY)
+    change.append("order_days", days.filter("not known"))
+    change.append("dwd_order", _folded(counted.join(day_of, "order_id"), "dwd_order", (DAY,)))
     items = detail.item_rows(docs, stamp, defaults).join(new, place, "left_semi")
-    change.append("dwd_order_item", items.join(days, "order_id"))
-    change.append("rejected_orders", _rejects(judged, stamp))
+    change.append("dwd_order_item", items.join(day_of, "order_id"))
+    mixed = judged.join(odd, "seq", "left_semi").select("value", F.lit("mixed_parts").alias("reason"), stamp.alias("load_time"))
+    change.append("rejected_orders", _rejects(judged, stamp).unionByName(mixed))
     version = change.commit(source, batch_id)
     wh.drop_stage(new_stage)
     wh.drop_stage(days_stage)
