@@ -99,6 +99,9 @@ _VIEWS = {
  amount AS order_amount, CAST(0 AS DECIMAL(15,2)) discount,
  CASE WHEN state='已取消' THEN CAST(0 AS DECIMAL(15,2)) ELSE order_amount END actual_amount,
  CAST(item_count AS INTEGER) item_count, placed AS created_at, CAST(NULL AS VARCHAR) remark FROM order_doc""",
+    "order_doc_raw": """SELECT * REPLACE (CASE WHEN k%31=8 THEN '待付款' WHEN k%3<>0 THEN order_status ELSE CASE order_status
+ WHEN '待付款' THEN 'pending' WHEN '已付款' THEN 'paid' WHEN '已发货' THEN 'shipped' WHEN '已完成' THEN 'completed'
+ ELSE 'cancelled' END END AS state) FROM order_doc""",
     "item_doc": """SELECT i.order_id, product_id, product_name, brand, category,
  sub_category, price AS original_price, price, quantity, subtotal, o.k FROM item i
  JOIN order_doc o ON i.order_id=o.order_id WHERE o.k%29<>6""",
@@ -183,11 +186,17 @@ def _select(body: str) -> str:
     return f"WITH {ctes}\n{body}" if ctes else body
 
 
+_VIEWS["order_raw"] = _VIEWS["order_live"].replace("FROM order_doc", "FROM order_doc_raw")
+
 _PROD_COLUMNS = "product_id, name, brand, category, sub_category, price, description, image_url, keywords, created_at, \
 is_variant, is_abnormal"
 _REPORT_ORDER = "l_shipdate, l_orderkey, l_linenumber, l_suppkey, subtotal, quantity"
 _REPORT_PRICE = half_up("subtotal", "quantity")
 
+_GOODS_PAGE = """SELECT sku_id, spu_name, sku_name, brand_name, first_category_name, sku_price, price_min, price_max
+ FROM active_goods WHERE first_category_name='PROMO' AND (contains(spu_name,'ring') OR contains(sku_name,'ring'))
+ ORDER BY dw_create_time DESC, sku_id LIMIT 10 OFFSET 10"""
+
 _BODIES = {
     "ods_nonempty": """SELECT 'products' AS feed, COUNT(*) AS messages FROM part WHERE p_partkey%97<>5
  UNION ALL SELECT 'orders', CAST(SUM(messages) AS BIGINT) FROM order_message WHERE k%37<>9""",
@@ -213,6 +222,16 @@ _BODIES = {
  UNION ALL SELECT messages, 'orders', CASE WHEN f.k%50=49 THEN 'malformed_json' WHEN item_count=0 THEN 'no_items' END
  FROM order_message f LEFT JOIN order_doc d ON f.order_id=d.order_id WHERE f.k%37<>9) t
  WHERE reason IS NOT NULL GROUP BY feed, reason""",
+    "ods_typed_rejects": """SELECT CASE WHEN k%50=49 THEN 'malformed_json' WHEN k%3=1 OR k%5=0 THEN 'wrong_type'
+ ELSE 'accepted' END AS reason, COUNT(*) AS messages FROM product_all WHERE k%97<>5 GROUP BY 1""",
+    "ods_typed_products": """SELECT product_id, COALESCE(name,'') AS name, CAST(CASE k%10 WHEN 1 THEN -5.005 WHEN 2 THEN NULL
+ WHEN 3 THEN 12.5 WHEN 4 THEN 2.345 ELSE price_given END AS DECIMAL(18,3)) AS price, sub_category, is_variant,
+ created_text AS created_at FROM product_doc WHERE k%3<>1 AND k%5<>0""",
+    "ddl_defaults": f"""SELECT product_id, name, category, CAST(0 AS DECIMAL(15,2)) AS price, CAST(NULL AS VARCHAR) AS description,
+ {ODD} AS created_at, FALSE AS is_variant, FALSE AS is_abnormal FROM product_doc
+ WHERE name IS NOT NULL AND category IS NOT NULL""",
+    "ddl_refusals": """SELECT CASE WHEN name IS NULL THEN 'name' ELSE 'category' END AS refused, COUNT(*) AS rows
+ FROM product_doc WHERE name IS NULL OR category IS NULL GROUP BY 1""",
     "clean_strings": """SELECT product_id, COALESCE(name,'?') AS name_live, COALESCE(name,'未知商品') AS name_documented,
  COALESCE(category,'') AS category_live, COALESCE(category,'其他') AS category_documented, sub_category,
  'none' AS description FROM product_doc""",
@@ -235,6 +254,7 @@ _BODIES = {
  sub_category, price_live AS price, '' AS description, '' AS image_url, keywords, created_live AS created_at,
  is_variant, FALSE AS is_abnormal FROM product_doc""",
     "dwd_order": "SELECT * FROM order_live",
+    "dwd_order_live": "SELECT * REPLACE (CAST(NULL AS DATE) AS estimated_delivery) FROM order_raw",
     "dwd_order_item": """SELECT order_id, product_id, product_name, brand, category, sub_category,
  original_price, price, CASE WHEN k%23=4 THEN 1 ELSE quantity END AS quantity, 1 AS sales_volume, subtotal
  FROM item_doc""",
@@ -254,6 +274,10 @@ _BODIES = {
     "append_items_idempotent": """SELECT i.order_id, product_id, quantity, subtotal,
  CASE WHEN order_status IN ('已完成','已取消') THEN 'stored' ELSE 'added' END AS origin
  FROM item i JOIN order_head o ON i.order_id=o.order_id""",
+    "append_parts_idempotent": """SELECT DISTINCT i.order_id, CAST(l_linenumber AS VARCHAR) AS part, TRUE AS fits,
+ order_status='已完成' AS known FROM item i JOIN order_head o ON i.order_id=o.order_id
+ UNION ALL SELECT DISTINCT i.order_id, '', FALSE, FALSE FROM item i JOIN order_head o ON i.order_id=o.order_id
+ WHERE order_status='已取消'""",
     "upsert_metrics": """SELECT COALESCE(n.product_id,o.product_id) AS product_id, COALESCE(n.dt,o.dt) AS dt,
  CASE WHEN o.product_id IS NOT NULL THEN 'stored ' || o.product_name ELSE n.product_name END AS product_name,
  COALESCE(o.category,n.category) AS category, COALESCE(o.brand,n.brand) AS brand,
@@ -323,9 +347,9 @@ _BODIES = {
     "q_dashboard_kpi": """SELECT (SELECT CAST(SUM(total_sales_amount) AS DECIMAL(25,2)) FROM trend) AS total_sales_amount,
  (SELECT CAST(SUM(total_order_count) AS BIGINT) FROM trend) AS total_order_count,
  (SELECT COUNT(*) FROM user_worth) AS active_user_count, (SELECT COUNT(*) FROM ranking) AS active_sku_count""",
-    "q_goods_page": """SELECT sku_id, spu_name, sku_name, brand_name, first_category_name, sku_price, price_min, price_max
- FROM active_goods WHERE first_category_name='PROMO' AND (contains(spu_name,'ring') OR contains(sku_name,'ring'))
- ORDER BY dw_create_time DESC, sku_id LIMIT 10 OFFSET 10""",
+    "q_goods_page": _GOODS_PAGE,
+    "q_goods_page_sought": _GOODS_PAGE,
+    "q_goods_page_after": _GOODS_PAGE,
     "q_goods_count": """SELECT COUNT(*) AS total FROM active_goods WHERE first_category_name='PROMO'
  AND (contains(spu_name,'ring') OR contains(sku_name,'ring'))""",
     "q_goods_categories": "SELECT DISTINCT first_category_name FROM active_goods ORDER BY 1",
@@ -347,8 +371,10 @@ _BODIES = {
  total_amount, total_quantity FROM ranking ORDER BY "rank", product_id LIMIT 5) b""",
     "dq_wide_vs_items": """SELECT w AS wide_rows, i AS item_rows, i-w AS missing_rows
  FROM (SELECT (SELECT COUNT(*) FROM wide) w, (SELECT COUNT(*) FROM item) i) t""",
-    "dq_ratios": """SELECT 'avg_price' AS "check", COUNT(*) AS checked, 0 AS violations FROM product_day
- UNION ALL SELECT 'avg_order_amount', COUNT(*), 0 FROM trend""",
+    "dq_ratios": """SELECT 'avg_price' AS "check", COUNT(*) AS checked, COUNT(*) FILTER (WHERE NOT COALESCE(
+ ABS(2*(avg_price*total_quantity-total_amount))<=total_quantity*0.01, FALSE)) AS violations FROM product_day
+ UNION ALL SELECT 'avg_order_amount', COUNT(*), COUNT(*) FILTER (WHERE NOT COALESCE(
+ ABS(2*(avg_order_amount*total_order_count-total_sales_amount))<=total_order_count*0.01, FALSE)) FROM trend""",
     "dq_share_rank": """SELECT COUNT(*) AS categories, CAST(SUM(percentage) AS DECIMAL(15,2)) AS percentage_sum,
  MIN("rank") AS first_rank, MAX("rank") AS last_rank, COUNT(*)-COUNT(DISTINCT "rank") AS tied_rows FROM revenue""",
     "dq_tiers": """SELECT 'value_tier' AS "check", COUNT(*) AS checked, SUM(CASE
@@ -375,6 +401,22 @@ _BODIES = {
     "event_daily_windows": """SELECT CAST(ts AS DATE) AS dt, event_type, COUNT(*) AS events,
  CAST(SUM(CAST(value AS DECIMAL(15,2))) AS DECIMAL(25,2)) AS total FROM events GROUP BY 1, 2""",
     "event_without_repeats": "SELECT event_id, user_id, event_type FROM events",
+    "event_pairs_once": "SELECT DISTINCT user_id, event_type FROM events",
+    "ads_category_revenue_kept": "SELECT * FROM revenue",
+    "ads_product_ranking_kept": "SELECT * FROM ranking",
+    "ads_user_value_kept": "SELECT * FROM user_worth",
+    "ads_regional_sales_kept": "SELECT * FROM regional",
+    "stream_category_totals": "SELECT category, dt, total_quantity, total_amount FROM category_day",
+    "dim_goods_history": """SELECT product_id AS sku_id, product_name AS spu_name, category AS first_category_name,
+ MIN(price) OVER (PARTITION BY product_name) AS price_min, MAX(price) OVER (PARTITION BY product_name) AS price_max,
+ price AS sku_price, CAST(price-MIN(price) OVER (PARTITION BY product_name) AS DECIMAL(15,2)) AS price_delta,
+ day AS start_date, COALESCE(LEAD(day) OVER (PARTITION BY product_id ORDER BY day) - 1, DATE '9999-12-31') AS end_date,
+ CASE WHEN LEAD(day) OVER (PARTITION BY product_id ORDER BY day) IS NULL THEN 1 ELSE 0 END AS is_active FROM (
+ SELECT *, LAG(price) OVER (PARTITION BY product_id ORDER BY day) AS was FROM (
+ SELECT product_id, product_name, category, CAST(l_shipdate AS DATE) AS day,
+ CAST(FLOOR(subtotal/10000)*10000 AS DECIMAL(15,2)) AS price, ROW_NUMBER() OVER (PARTITION BY product_id,
+  CAST(l_shipdate AS DATE) ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC, subtotal DESC,
+  quantity DESC) AS n FROM item) r WHERE n=1) v WHERE was IS DISTINCT FROM price""",
 }
 
 ORACLES: dict[str, str] = {name: _select(body) for name, body in _BODIES.items()}

@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from martloom.functions import json_fields as J
 from martloom.functions import vocabulary as V
 from martloom.functions.amounts import MONEY
-from martloom.operators.keyed_merge import append_groups, as_changes, merge_changes, upsert_metrics
+from martloom.operators.keyed_merge import WHOLE_ORDER, append_groups, as_changes, judged_parts, merge_changes, upsert_metrics
 from martloom.operators.order_join import defaulted_orphans, items_with_orders, with_product
-from martloom.plans import detail, metrics, page_views, quality, serving, summary
-from martloom.session import tune
+from martloom.plans import detail, goods, maintained, metrics, page_views, quality, serving, summary
+from martloom.session import scratch, tune
 from martloom.sources import feeds, samples
-from martloom.sources.catalog import TABLES
-from martloom.streaming import event_windows
+from martloom.sources.catalog import TABLES, filled, refusal
+from martloom.streaming import event_windows, live_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,13 @@ class Layers:
     def order_docs(self) -> DataFrame:
         return feeds.accepted(feeds.with_reject_reason(self.order_parsed))
 
+    @cached_property
+    def order_firsts(self) -> DataFrame:
+        """The message of each order's first part and the items of all its parts: its header is decoded once."""
+        d = F.col("doc")
+        rows = self.order_docs.select(J.text(d, "order_id").alias("_order"), "seq", "doc", detail.item_count(d).alias("_n"))
+        return rows.groupBy("_order").agg(F.min_by("doc", "seq").alias("doc"), F.sum("_n").cast("int").alias("_items"))
+
     # Detail
 
     @cached_property
@@ -200,8 +207,8 @@ def _products(x: Layers, preset: V.Defaults) -> DataFrame:
     return detail.product_rows(x.product_docs, AS_OF, preset).drop("load_time")
 
 
-def _orders(x: Layers, preset: V.Defaults = V.LIVE) -> DataFrame:
-    return detail.order_rows(x.order_docs, AS_OF, preset).drop("load_time")
+def _orders(x: Layers, preset: V.Defaults = V.DOCUMENTED) -> DataFrame:
+    return detail.order_rows(x.order_firsts, AS_OF, preset, items=F.col("_items")).drop("load_time")
 
 
 def _items(x: Layers, preset: V.Defaults) -> DataFrame:
@@ -291,6 +298,18 @@ def _upsert_order(x: Layers) -> DataFrame:
     )
 
 
+def _judged_parts(x: Layers) -> DataFrame:
+    """Orders come in parts by line number; those of finished orders are stored. Cancelled orders then come once more as a
+    whole, and all parts again."""
+    parts = x.lines.select("order_id", F.col("l_linenumber").cast("string").alias("part"), F.lit(1).alias("seq"))
+    state = x.order_states.select("order_id", "order_status")
+    stored = parts.join(state.filter(F.col("order_status") == V.COMPLETED), "order_id", "left_semi")
+    cancelled = state.filter(F.col("order_status") == V.CANCELLED).select("order_id", F.lit(WHOLE_ORDER).alias("part"), F.lit(2).alias("seq"))
+    whole = cancelled.join(parts.select("order_id"), "order_id", "left_semi")
+    offered = parts.unionByName(whole).unionByName(parts.withColumn("seq", F.lit(3)))
+    return judged_parts(offered, stored).drop("seq")
+
+
 def _append_items(x: Layers) -> DataFrame:
     """Items of finished orders are stored; then the items of all orders arrive."""
     columns = ["order_id", "product_id", "quantity", "subtotal"]
@@ -310,6 +329,129 @@ def _upsert_metrics(x: Layers) -> DataFrame:
     return upsert_metrics(state, new, spec.key, spec.frozen, spec.live)
 
 
+# Totals kept up to date: the days from 1998 on are first stored with finished orders only, and then reported in full.
+
+SINCE = "1998-01-01"
+
+
+def _early(rows: DataFrame) -> DataFrame:
+    return rows.filter((F.col("dt") < F.lit(SINCE).cast("date")) | F.col("order_status").isin(V.COMPLETED, V.CANCELLED))
+
+
+def _since(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("dt") >= F.lit(SINCE).cast("date"))
+
+
+def _kept_up(early: DataFrame, now: DataFrame, spec: maintained.Totals) -> DataFrame:
+    """Totals of what was stored early, moved by the rows that have changed."""
+    return maintained.moved(maintained.totals(early, spec), _since(early), _since(now), spec)
+
+
+def _kept_revenue(x: Layers) -> DataFrame:
+    return metrics.category_revenue(_kept_up(summary.category_sales(_early(x.item_days)), x.category_days, maintained.CATEGORIES))
+
+
+def _kept_ranking(x: Layers) -> DataFrame:
+    return metrics.product_ranking(_kept_up(summary.product_sales(_early(x.item_days)), x.product_days, maintained.PRODUCTS))
+
+
+def _kept_users(x: Layers) -> DataFrame:
+    """Orders on their way were first stored a day late, so a buyer's last day may have to be taken back."""
+    late = (F.col("order_status") == V.SHIPPED) & (F.to_date("created_at") >= F.lit(SINCE).cast("date"))
+    day_later = F.when(late, F.col("created_at") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("created_at"))
+    early = summary.user_orders(x.lines, x.orders.withColumn("created_at", day_later))
+    rows = _kept_up(early, x.user_days, maintained.USERS)
+    return metrics.user_value(maintained.settled(rows, x.user_days, maintained.USERS), samples.SAMPLE_TIERS)
+
+
+def _kept_regions(x: Layers) -> DataFrame:
+    early, spec = _early(x.wide), maintained.REGION_BUYERS
+    state = maintained.totals(metrics.region_buyers(early), spec)
+    old, new = metrics.region_buyers(_since(early)), metrics.region_buyers(_since(x.wide))
+    return metrics.regional_rows(maintained.moved(state, old, new, spec))
+
+
+def _streamed_totals(x: Layers) -> DataFrame:
+    """Line items as a stream; its totals are kept in the state store and sent out as they change."""
+    stored = samples.table(x.spark, x.folder, "lineitem")
+    reader = x.spark.readStream.schema(stored.schema)
+    # A stream reads folders; a table that is one file is picked from its folder by name.
+    one_file = stored.inputFiles()[0].endswith("/lineitem.parquet")
+    stream = reader.option("pathGlobFilter", "lineitem.parquet").parquet(x.folder) if one_file else reader.parquet(f"{x.folder}/lineitem.parquet")
+    part = samples.table(x.spark, x.folder, "part").select("p_partkey", F.col("p_type").alias("category"))
+    placed = samples.table(x.spark, x.folder, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("created_at"))
+    items = stream.join(part, F.col("l_partkey") == F.col("p_partkey")).join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+    measured = items.select("category", "created_at", F.col("l_quantity").cast("int").alias("quantity"), F.col("l_extendedprice").cast(MONEY).alias("subtotal"))
+    root = scratch(x.spark, "live-totals")
+    live = live_totals.start(live_totals.daily_totals(measured.withWatermark("created_at", "1 day")), f"{root}/totals", f"{root}/checkpoint")
+    live.query.awaitTermination()
+    live.stop()
+    return live_totals.latest(x.spark, live.root)
+
+
+# Catalog
+
+
+def _ddl_rows(x: Layers) -> DataFrame:
+    """Products written with few columns."""
+    d = F.col("doc")
+    given = x.product_docs.select(*[J.raw_text(d, c).alias(c) for c in ("product_id", "name", "brand", "category")])
+    return filled(given, TABLES["dwd_product"], AS_OF)
+
+
+def _ddl_defaults(x: Layers) -> DataFrame:
+    rows = _ddl_rows(x).filter(refusal(TABLES["dwd_product"]).isNull())
+    return rows.select("product_id", "name", "category", "price", "description", "created_at", "is_variant", "is_abnormal")
+
+
+def _ddl_refusals(x: Layers) -> DataFrame:
+    rows = _ddl_rows(x).withColumn("refused", refusal(TABLES["dwd_product"])).filter("refused is not null")
+    return rows.groupBy("refused").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _typed_rejects(x: Layers) -> DataFrame:
+    judged = feeds.with_typed_reason(x.product_messages, feeds.PRODUCT_EVENT)
+    return judged.groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count(F.lit(1)).alias("messages"))
+
+
+def _typed_products(x: Layers) -> DataFrame:
+    judged = feeds.with_typed_reason(x.product_messages, feeds.PRODUCT_EVENT).filter("reason is null").select("event.*")
+    return judged.select("product_id", "name", F.col("price").cast("decimal(18,3)").alias("price"), "sub_category", "is_variant", "created_at")
+
+
+# Goods
+
+
+def _goods_history(x: Layers) -> DataFrame:
+    """Each line item reports its product's price band on its ship date."""
+    reports = x.items.select(
+        "product_id", F.col("product_name").alias("name"), "brand", "category", "sub_category",
+        (F.floor(F.col("subtotal") / 10000) * 10000).cast(MONEY).alias("price"),
+        F.lit("").alias("image_url"), F.lit("").alias("keywords"), F.col("l_shipdate").cast("timestamp").alias("created_at"),
+        F.struct(F.col("order_id").cast("bigint"), *samples.LINE_ORDER[:4]).alias("seq"),
+    )
+    return goods.goods_history(reports, "created_at", "seq").select(
+        "sku_id", "spu_name", "first_category_name", "price_min", "price_max", "sku_price", "price_delta", "start_date",
+        "end_date", "is_active",
+    )
+
+
+PAGE_COLUMNS = ["sku_id", "spu_name", "sku_name", "brand_name", "first_category_name", "sku_price", "price_min", "price_max"]
+CHOSEN = {"category": "PROMO", "keyword": "ring"}
+
+
+def _page_sought(x: Layers) -> DataFrame:
+    index = [(r.day, r.goods) for r in serving.goods_days(x.goods, **CHOSEN).collect()]
+    return serving.goods_page_sought(x.goods, index, **CHOSEN, page=2, size=10).select(*PAGE_COLUMNS)
+
+
+def _page_after(x: Layers) -> DataFrame:
+    first = serving.goods_after(x.goods, **CHOSEN, size=10).collect()
+    if len(first) < 10:
+        return x.goods.limit(0).select(*PAGE_COLUMNS)
+    return serving.goods_after(x.goods, first[-1].dw_create_time, first[-1].sku_id, **CHOSEN, size=10).select(*PAGE_COLUMNS)
+
+
 # Joins
 
 
@@ -342,6 +484,11 @@ def _repeated_events(x: Layers) -> DataFrame:
     return event_windows.without_repeats(events.unionByName(events), ["event_id"])
 
 
+def _pairs_once(x: Layers) -> DataFrame:
+    """A buyer's repeated events of one kind count once."""
+    return event_windows.without_repeats(_events(x).select("user_id", "event_type", "ts"), ["user_id", "event_type"]).drop("ts")
+
+
 FLAT_COLUMNS = [
     "order_id", "buyer_name", "buyer_phone", "buyer_email", "province", "city", "district", "address_detail",
     "postal_code", "recipient_name", "recipient_phone",
@@ -357,6 +504,10 @@ _BUILDS: dict[str, Callable[[Layers], DataFrame]] = {
     "ods_order_decode": _order_decode,
     "ods_product_decode": _product_decode,
     "ods_dead_letter": _dead_letter,
+    "ods_typed_rejects": _typed_rejects,
+    "ods_typed_products": _typed_products,
+    "ddl_defaults": _ddl_defaults,
+    "ddl_refusals": _ddl_refusals,
     "clean_strings": _clean_strings,
     "clean_money": _clean_money,
     "clean_ints": _clean_ints,
@@ -369,19 +520,21 @@ _BUILDS: dict[str, Callable[[Layers], DataFrame]] = {
     ),
     "clean_timestamps": _clean_timestamps,
     "clean_price_repair": lambda x: _products(x, V.DOCUMENTED).select("product_id", "price", "is_abnormal"),
-    "order_flatten": lambda x: _by_order(_orders(x).select("seq", *FLAT_COLUMNS)),
-    "order_status_rules": lambda x: _by_order(_orders(x).select("seq", *STATE_COLUMNS)),
-    "order_item_count": lambda x: _by_order(_orders(x).select("seq", "order_id", "item_count"), "item_count"),
+    "order_flatten": lambda x: _orders(x).select(*FLAT_COLUMNS),
+    "order_status_rules": lambda x: _orders(x).select(*STATE_COLUMNS),
+    "order_item_count": lambda x: _orders(x).select("order_id", "item_count"),
     "order_status_map": _order_state,
     "dwd_product": lambda x: _products(x, V.DOCUMENTED),
     "dwd_product_live": lambda x: _products(x, V.LIVE),
-    "dwd_order": lambda x: _by_order(_orders(x), "item_count"),
+    "dwd_order": lambda x: _orders(x),
+    "dwd_order_live": lambda x: _orders(x, V.LIVE),
     "dwd_order_item": lambda x: _items(x, V.LIVE),
     "dwd_order_item_documented": lambda x: _items(x, V.DOCUMENTED),
     "dwd_order_nonempty": _nonempty_orders,
     "upsert_partial_product": _upsert_product,
     "upsert_partial_order": _upsert_order,
     "append_items_idempotent": _append_items,
+    "append_parts_idempotent": _judged_parts,
     "upsert_metrics": _upsert_metrics,
     "join_item_order": _join_item_order,
     "join_wide_product": _join_product,
@@ -410,10 +563,12 @@ _BUILDS: dict[str, Callable[[Layers], DataFrame]] = {
     "q_tier_distribution": lambda x: serving.tier_distribution(x.users),
     "q_product_ranking": lambda x: serving.product_ranking(x.ranking, 20, "MEDIUM"),
     "q_regional_sales": lambda x: serving.regional_sales(x.regions, "city"),
-    "q_dashboard_kpi": lambda x: serving.dashboard_kpi(x.trend, x.users, x.ranking),
+    "q_dashboard_kpi": lambda x: serving.dashboard_kpi(x.trend, x.users, metrics.product_totals(x.product_days)),
     "q_goods_page": lambda x: serving.goods_page(x.goods, "PROMO", keyword="ring", page=2, size=10).select(
         "sku_id", "spu_name", "sku_name", "brand_name", "first_category_name", "sku_price", "price_min", "price_max"
     ),
+    "q_goods_page_sought": _page_sought,
+    "q_goods_page_after": _page_after,
     "q_goods_count": lambda x: serving.goods_count(x.goods, "PROMO", keyword="ring"),
     "q_goods_categories": lambda x: serving.goods_categories(x.goods),
     "q_goods_brands": lambda x: serving.goods_brands(x.goods),
@@ -426,7 +581,7 @@ _BUILDS: dict[str, Callable[[Layers], DataFrame]] = {
     "v_user_recency": lambda x: page_views.user_recency(x.users, TODAY).select(
         "buyer_phone", "recency_days", "order_frequency", "total_monetary"
     ),
-    "v_home_top5": lambda x: page_views.home_top(x.revenue, x.ranking),
+    "v_home_top5": lambda x: page_views.home_top(x.revenue, metrics.top_products(x.product_days, page_views.TOP_HOME)),
     "dq_wide_vs_items": lambda x: quality.wide_vs_items(x.wide, x.lines),
     "dq_ratios": lambda x: quality.ratios(x.product_days, x.trend),
     "dq_share_rank": lambda x: quality.share_and_rank(x.revenue),
@@ -438,6 +593,13 @@ _BUILDS: dict[str, Callable[[Layers], DataFrame]] = {
     "dim_goods_info": lambda x: x.goods.withColumn("keywords", F.array_join("keywords", ",")),
     "event_daily_windows": lambda x: event_windows.daily_windows(_events(x), ["event_type"], "value"),
     "event_without_repeats": _repeated_events,
+    "event_pairs_once": _pairs_once,
+    "ads_category_revenue_kept": _kept_revenue,
+    "ads_product_ranking_kept": _kept_ranking,
+    "ads_user_value_kept": _kept_users,
+    "ads_regional_sales_kept": _kept_regions,
+    "stream_category_totals": _streamed_totals,
+    "dim_goods_history": _goods_history,
 }
 
 QUERIES: dict[str, Query] = {name: _query(build) for name, build in _BUILDS.items()}

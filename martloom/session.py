@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Order-keyed joins are followed by windows and distinct counts that would reuse the join's partitioning. Without the
@@ -26,6 +29,16 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scratch(spark: SparkSession, purpose: str) -> str:
+    """A new path below `spark.checkpoint.dir`. Only a local session may lack that setting; it gets a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        root = tempfile.mkdtemp(prefix="martloom-")
+    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
 def local_session(cores: str = "8", name: str = "martloom", memory: str = "8g") -> SparkSession:
     """Session for tests and the bench on one machine; on a cluster the submitter supplies the session."""
     spark = (

@@ -75,6 +75,7 @@ class LateRows(StreamingQueryListener):
 class Live:
     """A running query that writes totals below ``root``."""
 
+    spark: SparkSession
     query: StreamingQuery
     root: str
     listener: LateRows
@@ -88,7 +89,7 @@ class Live:
 
     def stop(self) -> None:
         self.query.stop()
-        self.query.sparkSession.streams.removeListener(self.listener)
+        self.spark.streams.removeListener(self.listener)
 
 
 def start(totals: DataFrame, root: str, checkpoint: str, every: str | None = None) -> Live:
@@ -104,7 +105,7 @@ def start(totals: DataFrame, root: str, checkpoint: str, every: str | None = Non
     totals.sparkSession.streams.addListener(listener)
     writer = totals.writeStream.outputMode("update").foreachBatch(publish).option("checkpointLocation", checkpoint)
     query = writer.trigger(**({"processingTime": every} if every else {"availableNow": True})).start()
-    return Live(query, root, listener)
+    return Live(totals.sparkSession, query, root, listener)
 
 
 def latest(spark: SparkSession, root: str, key: list[str] = KEY, measures: list[str] = MEASURES) -> DataFrame:
