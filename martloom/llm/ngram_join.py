@@ -39,10 +39,11 @@ BITMAP_WORDS = 8
 WORTHWHILE = 0.01
 
 #: Text bytes whose n-grams one fragment holds, and rows of an n-gram's list that are compared as one block.
-FRAGMENT_BYTES = 8 << 20
+FRAGMENT_BYTES = 6 << 20
 BLOCK_ROWS = 2048
 
 _GRAMS = "k1 binary, k2 binary, n binary, sizes binary, grams binary"
+_CELL, _CELL_KINDS = ("k1", "k2", "n", "sizes", "grams"), (np.int64, np.int32, np.int32, np.int32, np.uint64)
 _DOCUMENTS = "m_id binary, m_text binary, m_k1 binary, m_k2 binary, m_n binary"
 _SENT = f"fragment int, {_GRAMS}, {_DOCUMENTS}"
 _COUNTED = f"bucket int, {_GRAMS}, seen binary, {_DOCUMENTS}"
@@ -83,11 +84,11 @@ def _sent(batches: Iterator[pa.RecordBatch], size: int, fragments: int) -> Itera
     turn = TaskContext.get().partitionId() * 7919 if TaskContext.get() else 0
 
     def flush(ids: np.ndarray, texts: np.ndarray, sets: list) -> pa.RecordBatch:
-        key = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), dtype="<i8").reshape(-1, 2)
-        n = np.array([len(s) for s in sets], dtype=np.int64)
+        key = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=12).digest() for s in sets), dtype=[("k1", "<i8"), ("k2", "<i4")])
+        k1, k2, n = key["k1"], key["k2"], np.array([len(s) for s in sets], dtype=np.int32)
         classes, first = {}, []
-        for i, (a, b) in enumerate(key.tolist()):
-            if n[i] and classes.setdefault((a, b), i) == i:
+        for i, name in enumerate(key.tolist()):
+            if n[i] and classes.setdefault(name, i) == i:
                 first.append(i)
         first = np.array(first, dtype=np.int64)
         grams = np.concatenate([sets[i] for i in first]) if len(first) else np.empty(0, np.uint64)
@@ -98,11 +99,11 @@ def _sent(batches: Iterator[pa.RecordBatch], size: int, fragments: int) -> Itera
         cells, counts = np.unique(cell, return_counts=True)
         at, ends = cells // max(len(first), 1), np.concatenate(([0], np.cumsum(counts)))
         bounds = np.searchsorted(at, np.arange(fragments + 1))
-        rows = [(turn % fragments, *[None] * 5, ids.tobytes(), texts.tobytes(), key[:, 0].tobytes(), key[:, 1].tobytes(), n.tobytes())]
+        rows = [(turn % fragments, *[None] * 5, ids.tobytes(), texts.tobytes(), k1.tobytes(), k2.tobytes(), n.tobytes())]
         for f in np.flatnonzero(np.diff(bounds)):
             a, b = bounds[f], bounds[f + 1]
             who = first[cells[a:b] % len(first)]
-            rows.append((int(f), key[who, 0].tobytes(), key[who, 1].tobytes(), n[who].tobytes(), counts[a:b].astype(np.int32).tobytes(), grams[ends[a] : ends[b]].tobytes(), *[None] * 5))
+            rows.append((int(f), k1[who].tobytes(), k2[who].tobytes(), n[who].tobytes(), counts[a:b].astype(np.int32).tobytes(), grams[ends[a] : ends[b]].tobytes(), *[None] * 5))
         return _batch(rows, _SENT)
 
     ids, texts, sets, held = [], [], [], 0
@@ -122,26 +123,26 @@ def _sent(batches: Iterator[pa.RecordBatch], size: int, fragments: int) -> Itera
 
 def _counted(table: pa.Table, buckets: int) -> pa.Table:
     """One fragment: in how many classes each n-gram occurs; those of two or more go on, dealt by class."""
-    k1, k2, n = (_joined(table[c], np.int64) for c in ("k1", "k2", "n"))
-    sizes, grams = _joined(table["sizes"], np.int32).astype(np.int64), _joined(table["grams"], np.uint64)
-    keys = np.empty(len(k1), dtype=[("a", np.int64), ("b", np.int64)])
-    keys["a"], keys["b"] = k1, k2
-    _, first = np.unique(keys, return_index=True)
-    chosen = np.zeros(len(k1), dtype=bool)
-    chosen[first] = True
-    owner = np.repeat(np.arange(len(k1)), sizes)
-    of_first = chosen[owner]
-    grams, owner = grams[of_first], owner[of_first]
+    k1, k2, n, sizes, grams = (_joined(table[c], kind) for c, kind in zip(_CELL, _CELL_KINDS, strict=True))
+    order = np.lexsort((k2, k1))
+    again = (k1[order][1:] == k1[order][:-1]) & (k2[order][1:] == k2[order][:-1])
+    owner = np.repeat(np.arange(len(k1), dtype=np.int32), sizes)
+    if again.any():
+        chosen = np.ones(len(k1), dtype=bool)
+        chosen[order[1:][again]] = False
+        grams, owner = grams[chosen[owner]], owner[chosen[owner]]
     order = np.argsort(grams)
     grams, owner = grams[order], owner[order]
+    del order, again
     starts = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1]))) if len(grams) else np.empty(0, np.int64)
-    seen = np.repeat(*(np.diff(np.append(starts, len(grams))),) * 2)
+    times = np.diff(np.append(starts, len(grams))).astype(np.int32)
+    seen = np.repeat(times, times)
     shared = seen > 1
-    grams, owner, seen = grams[shared], owner[shared], seen[shared].astype(np.int32)
+    grams, owner, seen = grams[shared], owner[shared], seen[shared]
     bucket = (k1.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
     order = np.lexsort((owner, bucket[owner]))
     grams, owner, seen = grams[order], owner[order], seen[order]
-    rows = [(None,) * 7 + tuple(_joined(table[c], np.int64).tobytes() for c in ("m_id", "m_text", "m_k1", "m_k2", "m_n"))]
+    rows = [(None,) * 7 + tuple(_joined(table[c], np.uint8).tobytes() for c in ("m_id", "m_text", "m_k1", "m_k2", "m_n"))]
     at = bucket[owner]
     bounds = np.searchsorted(at, np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(bounds)):
@@ -153,13 +154,13 @@ def _counted(table: pa.Table, buckets: int) -> pa.Table:
 
 def _gathered(table: pa.Table, percent: int) -> pa.Table:
     """One bucket of classes: each that may have a partner, with its shared n-grams in the global order."""
-    k1, k2, n = (_joined(table[c], np.int64) for c in ("k1", "k2", "n"))
-    sizes, grams, seen = _joined(table["sizes"], np.int32).astype(np.int64), _joined(table["grams"], np.uint64), _joined(table["seen"], np.int32)
-    keys = np.empty(len(k1), dtype=[("a", np.int64), ("b", np.int64)])
+    k1, k2, n, sizes, grams = (_joined(table[c], kind) for c, kind in zip(_CELL, _CELL_KINDS, strict=True))
+    seen = _joined(table["seen"], np.int32)
+    keys = np.empty(len(k1), dtype=[("a", np.int64), ("b", np.int32)])
     keys["a"], keys["b"] = k1, k2
     found, first, which = np.unique(keys, return_index=True, return_inverse=True)
     shared = np.bincount(which, weights=sizes, minlength=len(found)).astype(np.int64)
-    able = 100 * shared >= percent * n[first]
+    able = 100 * shared >= percent * n[first].astype(np.int64)
     owner = np.repeat(which, sizes)
     kept = able[owner]
     grams, seen, owner = grams[kept], seen[kept], owner[kept]
@@ -172,14 +173,16 @@ def _gathered(table: pa.Table, percent: int) -> pa.Table:
     row = np.searchsorted(classes, owner)
     np.bitwise_xor.at(maps, (row, bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64))
     lists = pa.array(bounds.astype(np.int32))
-    columns = {"k1": k1[first][classes], "k2": k2[first][classes], "n": n[first][classes], "own": (n[first] - shared)[classes], "grams": pa.ListArray.from_arrays(lists, pa.array(grams.view(np.int64))), "seen": pa.ListArray.from_arrays(lists, pa.array(seen))}
+    whole = {"k1": k1[first], "k2": k2[first], "n": n[first], "own": n[first] - shared}
+    columns = {c: x[classes].astype(np.int64) for c, x in whole.items()} | {"grams": pa.ListArray.from_arrays(lists, pa.array(grams.view(np.int64))), "seen": pa.ListArray.from_arrays(lists, pa.array(seen))}
     columns |= {f"b{i}": maps[:, i].view(np.int64) for i in range(BITMAP_WORDS)}
     return pa.table({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at = [_joined(pa.chunked_array([batch.column(c)]), np.int64) for c in ("m_id", "m_text", "m_k1", "m_k2", "m_n")]
+        kinds = {"m_id": np.int64, "m_text": np.int64, "m_k1": np.int64, "m_k2": np.int32, "m_n": np.int32}
+        at = [_joined(pa.chunked_array([batch.column(c)]), k).astype(np.int64) for c, k in kinds.items()]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in at], ["doc_id", "text_hash", "k1", "k2", "n"])
 
 
@@ -322,7 +325,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     sequence if it has fewer. Two documents link if 100 * intersection >= percent * union. component_id is the smallest
     doc_id reachable by links. A null, empty or blank text has an empty set and is its own component. A row without doc_id
     takes no part: its size is 0 and its component null. Repeated rows come out as often as they went in; unlike texts under one doc_id
-    are documents of their own. N-grams are 64-bit hashes and classes 128-bit digests.
+    are documents of their own. N-grams are 64-bit hashes and classes 96-bit digests.
     """
     rows = _hashed(docs)
     found = membership(rows, size, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
