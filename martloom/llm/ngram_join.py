@@ -41,6 +41,8 @@ WORTHWHILE = 0.01
 #: Text bytes whose n-grams one fragment holds, and rows of an n-gram's list that are compared as one block.
 FRAGMENT_BYTES = 6 << 20
 BLOCK_ROWS = 2048
+#: Documents kept, 24 bytes each, whose list goes to all tasks; a longer one is joined by shuffling the documents.
+BROADCAST_ROWS = 1 << 20
 
 _GRAMS = "k1 binary, k2 binary, n binary, sizes binary, grams binary"
 _CELL, _CELL_KINDS = ("k1", "k2", "n", "sizes", "grams"), (np.int64, np.int32, np.int32, np.int32, np.uint64)
@@ -347,10 +349,13 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     every = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     named = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_text"), every.alias("_row")).where("_id is not null")
 
+    short = kept.count() <= BROADCAST_ROWS
+
     def among(some: DataFrame) -> DataFrame:
+        some = F.broadcast(some) if short else some
         return named.join(some, (F.col("_id") == some["doc_id"]) & (F.col("_text") == some["text_hash"]), "left_semi")
 
-    # Only rows that are repeated are brought together; the others stay where they are unless the list of the kept is long.
+    # Only rows that are repeated are brought together; the others stay where they are unless that list is long.
     same = Window.partitionBy("_id", "_text").orderBy(F.xxhash64(F.to_json("_row")))
     once = among(kept.where("times > 1")).withColumn("_n", F.row_number().over(same)).where("_n = 1").select("_row.*")
     return among(kept.where("times = 1")).select("_row.*").unionByName(once).unionByName(docs.where("doc_id is null"))

@@ -83,6 +83,7 @@ def test_one_id_on_unlike_texts(spark, monkeypatch):
     table = spark.createDataFrame(rows, "doc_id long, text string, text_hash long")
     for block in (ngram_join.BLOCK_ROWS, 1):
         monkeypatch.setattr(ngram_join, "BLOCK_ROWS", block)
+        monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", block - 1)
         for size in (ngram_join.FRAGMENT_BYTES, 20):
             monkeypatch.setattr(ngram_join, "FRAGMENT_BYTES", size)
             kept = [tuple(r) for r in ngram_join.one_of_each(table.repartition(3)).collect()]
