@@ -77,6 +77,26 @@ def utf8_buffer(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+#: Bytes whose running sums are held at a time.
+PIECE_BYTES = 1 << 19
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each word data[start:end], a run of words of about PIECE_BYTES at a time."""
+    out = np.empty(len(start), dtype=np.uint64)
+    i = 0
+    while i < len(start):
+        at = start[i]
+        j = max(i + 1, int(np.searchsorted(end, at + PIECE_BYTES, "right")))
+        piece = data[at : end[j - 1]]
+        _POWER.reach(len(piece) + 1)
+        running = np.zeros(len(piece) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_VALUE[piece] * _POWER.up[: len(piece)], out=running[1:])
+        out[i:j] = (running[end[i:j] - at] - running[start[i:j] - at]) * _POWER.down[start[i:j] - at]
+        i = j
+    return mix(out)
+
+
 class Words:
     """The words of a batch of texts: hash of each, and per text the place of its first word (`first`, one entry more)."""
 
@@ -94,10 +114,7 @@ class Words:
         closes[ends_text] = word[ends_text]
         start, last = np.flatnonzero(opens), np.flatnonzero(closes)
         self.first = np.searchsorted(start, at)
-        _POWER.reach(len(data) + 1)
-        running = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUE[data] * _POWER.up[: len(data)], out=running[1:])
-        self.hash = mix((running[last + 1] - running[start]) * _POWER.down[start])
+        self.hash = _hashes(data, start, last + 1)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
