@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 ROUNDS = 6
 #: Days of 400 Gregorian years, as the product of the two sides of the dates' network.
 _DAYS, _LEFT, _RIGHT = 146_097, 189, 773
+#: Social numbers: 898 areas of 99 groups, and serial numbers.
+_SOCIAL = (898 * 99, 9_999)
 
 # Countries by the length of their IBAN.
 IBAN = {
@@ -143,7 +145,12 @@ def _pseudonym(key: str) -> str:
     tail = f"regexp_extract(m, '{shape}', 0)"
     phone = _let("t", tail, f"concat(substring(m, 1, length(m) - length(t)), {_laid('t', _let('d', _digits('t'), _characters(key, 'd')))})")
     cases.append(f"WHEN m RLIKE '^([0-9]{{1,3}}[ .-])?{shape}' THEN {phone}")
-    social = f"IF(substring(m, 1, 3) IN ('000', '666') OR substring(m, 1, 1) = '9' OR substring(m, 5, 2) = '00' OR substring(m, 8) = '0000', m, {_laid('m', _let('d', _digits('m'), _characters(key, 'd')))})"
+    # Valid social numbers are counted through, so that the number they become is valid again.
+    area, rest = "cast(substring(m, 1, 3) as bigint)", "cast(substring(m, 5, 2) as bigint) - 1) * 9999 + cast(substring(m, 8) as bigint) - 1"
+    number = f"(({area} - IF({area} > 666, 2, 1)) * 99 + {rest}"
+    parts = "concat(lpad(cast(v div 989901 + IF(v div 989901 < 665, 1, 2) as string), 3, '0'), '-', lpad(cast(v div 9999 % 99 + 1 as string), 2, '0'), '-', lpad(cast(v % 9999 + 1 as string), 4, '0'))"
+    odd = "substring(m, 1, 3) IN ('000', '666') OR substring(m, 1, 1) = '9' OR substring(m, 5, 2) = '00' OR substring(m, 8) = '0000'"
+    social = f"IF({odd}, m, {_let('v', _numbers(key, number, *_SOCIAL), parts)})"
     cases.append(f"WHEN m RLIKE '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$' THEN {social}")
     body = _characters(key, "substring(d, 1, length(d) - 1)")
     new = _let("e", body, f"concat(e, {_check_digit('e')})")
