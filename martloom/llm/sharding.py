@@ -11,6 +11,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.llm.shared import written
 
@@ -54,7 +55,9 @@ def sharded(docs: DataFrame, key: str = "doc_id", limit: int = LIMIT_BYTES) -> D
     """
     docs = docs.drop(*_MADE)
     names = [F.col(f"`{c}`") for c in docs.columns]
-    bits = F.concat(F.lpad(F.bin(F.xxhash64(F.col(key))), 64, "0"), F.lpad(F.bin(F.xxhash64(*names)), 64, "0"))
+    # Maps have no hash; their text has.
+    hashed = [F.to_json(F.struct(F.map_entries(n) if isinstance(f.dataType, T.MapType) else n)) if "map<" in f.dataType.simpleString() else n for n, f in zip(names, docs.schema, strict=True)]
+    bits = F.concat(F.lpad(F.bin(F.xxhash64(F.col(key))), 64, "0"), F.lpad(F.bin(F.xxhash64(*hashed)), 64, "0"))
     size = F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).cast("long")
     keyed = docs.select(F.struct(*names).alias("row"), bits.alias("bits"), size.alias("bytes"))
     levels = directory(written(keyed.select("bits", "bytes"), "keys"), limit)
