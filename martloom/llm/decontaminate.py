@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.llm.ngram_join import slices
-from martloom.llm.shared import written
+from martloom.llm.shared import release, written
 from martloom.llm.text_arrays import ALPHANUMERIC, Words
 
 WINDOW = 13
@@ -273,6 +273,7 @@ def _pass(rows: DataFrame, text: Column, phrases: Phrases, name: str, earlier: b
         for arrays in batches:
             batch = pa.RecordBatch.from_arrays(list(arrays), ["text", "was"])
             yield pa.concat_arrays([shard(p) for p in slices(batch, "text", SHARD_BYTES)] or [shard(batch)])
+        release()
 
     return rows.withColumn("_found", searched(text, F.col("_found") if earlier else F.lit(0)))
 

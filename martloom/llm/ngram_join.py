@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.components import contracted
-from martloom.llm.shared import partitions, written
+from martloom.llm.shared import partitions, release, written
 from martloom.llm.text_arrays import NOT_SPACE, Words, shingle_sets
 
 #: Text bytes turned into arrays at a time, and n-grams sent on in one row for all fragments.
@@ -121,6 +121,8 @@ def _sent(batches: Iterator[pa.RecordBatch], size: int, fragments: int) -> Itera
                 ids, texts, sets, held, turn = [], [], [], 0, turn + 1
     if sets:
         yield flush(np.concatenate(ids), np.concatenate(texts), sets)
+        ids, texts, sets = [], [], []
+    release()
 
 
 def _counted(table: pa.Table, buckets: int) -> pa.Table:
@@ -198,10 +200,14 @@ def sets_by_class(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame,
     sent = docs.mapInArrow(partial(_sent, size=size, fragments=parts), _SENT).repartition(parts, "fragment")
 
     def counted_in(table: pa.Table) -> pa.Table:
-        return _counted(table, parts)
+        out = _counted(table, parts)
+        release()
+        return out
 
     def gathered_in(table: pa.Table) -> pa.Table:
-        return _gathered(table, percent)
+        out = _gathered(table, percent)
+        release()
+        return out
 
     counted = written(sent.groupBy("fragment").applyInArrow(counted_in, _COUNTED), "fragments")
     members = counted.where("bucket is null").select("m_id", "m_text", "m_k1", "m_k2", "m_n").mapInArrow(_members, "doc_id long, text_hash long, k1 long, k2 long, n long")

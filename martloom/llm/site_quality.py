@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.ngram_join import slices
-from martloom.llm.shared import written
+from martloom.llm.shared import release, written
 from martloom.llm.text_arrays import NOT_SPACE, Words, utf8_buffer
 
 #: Labelled documents that the classifier is fitted on at most: those with the smallest hashes of their ids.
@@ -129,6 +129,7 @@ def probability(classifier: Classifier | None, text: str) -> Column:
         for batch in texts:
             parts = slices(pa.RecordBatch.from_arrays([batch], ["text"]), "text")
             yield pa.concat_arrays([pa.array(classifier.probability(features(p.column("text")))) for p in parts] or [pa.array([], pa.float64())])
+        release()
 
     return measured(F.col(f"`{text}`").cast("string"))
 
