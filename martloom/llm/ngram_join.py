@@ -44,12 +44,12 @@ BLOCK_ROWS = 2048
 #: Documents kept, 24 bytes each, whose list goes to all tasks; a longer one is joined by shuffling the documents.
 BROADCAST_ROWS = 1 << 20
 
-_GRAMS = "k1 binary, k2 binary, n binary, sizes binary, grams binary"
-_CELL, _CELL_KINDS = ("k1", "k2", "n", "sizes", "grams"), (np.int64, np.int32, np.int32, np.int32, np.uint64)
-_DOCUMENTS = "m_id binary, m_text binary, m_k1 binary, m_k2 binary, m_n binary"
+# A class is named by the digest `k` of its set and the set's size n. Of a row's classes, `opens` tells at which n-grams each begins.
+_GRAMS = "k binary, n binary, opens binary, grams binary"
+_DOCUMENTS = "m_id binary, m_text binary, m_k binary, m_n binary"
 _SENT = f"fragment int, {_GRAMS}, {_DOCUMENTS}"
 _COUNTED = f"bucket int, {_GRAMS}, seen binary, {_DOCUMENTS}"
-_CLASS = f"k1 long, k2 long, n long, own long, grams array<long>, seen array<int>, {', '.join(f'b{i} long' for i in range(BITMAP_WORDS))}"
+_CLASS = f"k long, n long, own long, grams array<long>, seen array<int>, {', '.join(f'b{i} long' for i in range(BITMAP_WORDS))}"
 
 
 def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -74,6 +74,19 @@ def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     return np.concatenate(parts).view(kind)
 
 
+def _cells(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(k, n, sizes, grams) of all cells: a class and its n-grams there, which follow one another."""
+    grams = _joined(table["grams"], np.uint64)
+    begin = np.flatnonzero(_joined(table["opens"], np.uint8))
+    return _joined(table["k"], np.int64), _joined(table["n"], np.int32), np.diff(np.append(begin, len(grams))), grams
+
+
+def _cell_row(k: np.ndarray, n: np.ndarray, sizes: np.ndarray, grams: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
+    opens = np.zeros(len(grams), dtype=np.uint8)
+    opens[np.cumsum(sizes) - sizes] = 1
+    return k.tobytes(), n.tobytes(), opens.tobytes(), grams.tobytes()
+
+
 def _batch(rows: list[tuple], fields: str) -> pa.RecordBatch:
     schema = pa.schema([(f.split()[0], pa.int32() if f.endswith("int") else pa.binary()) for f in fields.split(", ")])
     columns = zip(*rows, strict=True) if rows else [()] * len(schema)
@@ -86,10 +99,10 @@ def _sent(batches: Iterator[pa.RecordBatch], size: int, fragments: int) -> Itera
     turn = TaskContext.get().partitionId() * 7919 if TaskContext.get() else 0
 
     def flush(ids: np.ndarray, texts: np.ndarray, sets: list) -> pa.RecordBatch:
-        key = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=12).digest() for s in sets), dtype=[("k1", "<i8"), ("k2", "<i4")])
-        k1, k2, n = key["k1"], key["k2"], np.array([len(s) for s in sets], dtype=np.int32)
+        k = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=8).digest() for s in sets), dtype="<i8")
+        n = np.array([len(s) for s in sets], dtype=np.int32)
         classes, first = {}, []
-        for i, name in enumerate(key.tolist()):
+        for i, name in enumerate(zip(k.tolist(), n.tolist(), strict=True)):
             if n[i] and classes.setdefault(name, i) == i:
                 first.append(i)
         first = np.array(first, dtype=np.int64)
@@ -101,11 +114,11 @@ def _sent(batches: Iterator[pa.RecordBatch], size: int, fragments: int) -> Itera
         cells, counts = np.unique(cell, return_counts=True)
         at, ends = cells // max(len(first), 1), np.concatenate(([0], np.cumsum(counts)))
         bounds = np.searchsorted(at, np.arange(fragments + 1))
-        rows = [(turn % fragments, *[None] * 5, ids.tobytes(), texts.tobytes(), k1.tobytes(), k2.tobytes(), n.tobytes())]
+        rows = [(turn % fragments, *[None] * 4, ids.tobytes(), texts.tobytes(), k.tobytes(), n.tobytes())]
         for f in np.flatnonzero(np.diff(bounds)):
             a, b = bounds[f], bounds[f + 1]
             who = first[cells[a:b] % len(first)]
-            rows.append((int(f), k1[who].tobytes(), k2[who].tobytes(), n[who].tobytes(), counts[a:b].astype(np.int32).tobytes(), grams[ends[a] : ends[b]].tobytes(), *[None] * 5))
+            rows.append((int(f), *_cell_row(k[who], n[who], counts[a:b], grams[ends[a] : ends[b]]), *[None] * 4))
         return _batch(rows, _SENT)
 
     ids, texts, sets, held = [], [], [], 0
@@ -127,12 +140,12 @@ def _sent(batches: Iterator[pa.RecordBatch], size: int, fragments: int) -> Itera
 
 def _counted(table: pa.Table, buckets: int) -> pa.Table:
     """One fragment: in how many classes each n-gram occurs; those of two or more go on, dealt by class."""
-    k1, k2, n, sizes, grams = (_joined(table[c], kind) for c, kind in zip(_CELL, _CELL_KINDS, strict=True))
-    order = np.lexsort((k2, k1))
-    again = (k1[order][1:] == k1[order][:-1]) & (k2[order][1:] == k2[order][:-1])
-    owner = np.repeat(np.arange(len(k1), dtype=np.int32), sizes)
+    k, n, sizes, grams = _cells(table)
+    order = np.lexsort((n, k))
+    again = (k[order][1:] == k[order][:-1]) & (n[order][1:] == n[order][:-1])
+    owner = np.repeat(np.arange(len(k), dtype=np.int32), sizes)
     if again.any():
-        chosen = np.ones(len(k1), dtype=bool)
+        chosen = np.ones(len(k), dtype=bool)
         chosen[order[1:][again]] = False
         grams, owner = grams[chosen[owner]], owner[chosen[owner]]
     order = np.argsort(grams)
@@ -143,25 +156,25 @@ def _counted(table: pa.Table, buckets: int) -> pa.Table:
     seen = np.repeat(times, times)
     shared = seen > 1
     grams, owner, seen = grams[shared], owner[shared], seen[shared]
-    bucket = (k1.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    bucket = (k.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
     order = np.lexsort((owner, bucket[owner]))
     grams, owner, seen = grams[order], owner[order], seen[order]
-    rows = [(None,) * 7 + tuple(_joined(table[c], np.uint8).tobytes() for c in ("m_id", "m_text", "m_k1", "m_k2", "m_n"))]
+    rows = [(None,) * 6 + tuple(_joined(table[c], np.uint8).tobytes() for c in ("m_id", "m_text", "m_k", "m_n"))]
     at = bucket[owner]
     bounds = np.searchsorted(at, np.arange(buckets + 1))
     for b in np.flatnonzero(np.diff(bounds)):
         s = slice(bounds[b], bounds[b + 1])
         who, counts = np.unique(owner[s], return_counts=True)
-        rows.append((int(b), k1[who].tobytes(), k2[who].tobytes(), n[who].tobytes(), counts.astype(np.int32).tobytes(), grams[s].tobytes(), seen[s].tobytes(), *[None] * 5))
+        rows.append((int(b), *_cell_row(k[who], n[who], counts, grams[s]), seen[s].tobytes(), *[None] * 4))
     return pa.Table.from_batches([_batch(rows, _COUNTED)])
 
 
 def _gathered(table: pa.Table, percent: int) -> pa.Table:
     """One bucket of classes: each that may have a partner, with its shared n-grams in the global order."""
-    k1, k2, n, sizes, grams = (_joined(table[c], kind) for c, kind in zip(_CELL, _CELL_KINDS, strict=True))
+    k, n, sizes, grams = _cells(table)
     seen = _joined(table["seen"], np.int32)
-    keys = np.empty(len(k1), dtype=[("a", np.int64), ("b", np.int32)])
-    keys["a"], keys["b"] = k1, k2
+    keys = np.empty(len(k), dtype=[("k", np.int64), ("n", np.int32)])
+    keys["k"], keys["n"] = k, n
     found, first, which = np.unique(keys, return_index=True, return_inverse=True)
     shared = np.bincount(which, weights=sizes, minlength=len(found)).astype(np.int64)
     able = 100 * shared >= percent * n[first].astype(np.int64)
@@ -177,7 +190,7 @@ def _gathered(table: pa.Table, percent: int) -> pa.Table:
     row = np.searchsorted(classes, owner)
     np.bitwise_xor.at(maps, (row, bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64))
     lists = pa.array(bounds.astype(np.int32))
-    whole = {"k1": k1[first], "k2": k2[first], "n": n[first], "own": n[first] - shared}
+    whole = {"k": k[first], "n": n[first], "own": n[first] - shared}
     columns = {c: x[classes].astype(np.int64) for c, x in whole.items()} | {"grams": pa.ListArray.from_arrays(lists, pa.array(grams.view(np.int64))), "seen": pa.ListArray.from_arrays(lists, pa.array(seen))}
     columns |= {f"b{i}": maps[:, i].view(np.int64) for i in range(BITMAP_WORDS)}
     return pa.table({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
@@ -185,13 +198,13 @@ def _gathered(table: pa.Table, percent: int) -> pa.Table:
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kinds = {"m_id": np.int64, "m_text": np.int64, "m_k1": np.int64, "m_k2": np.int32, "m_n": np.int32}
+        kinds = {"m_id": np.int64, "m_text": np.int64, "m_k": np.int64, "m_n": np.int32}
         at = [_joined(pa.chunked_array([batch.column(c)]), k).astype(np.int64) for c, k in kinds.items()]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in at], ["doc_id", "text_hash", "k1", "k2", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in at], ["doc_id", "text_hash", "k", "n"])
 
 
 def sets_by_class(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(members: doc_id, text_hash, k1, k2, n) of every row, and (classes) that may have a partner. Both written.
+    """(members: doc_id, text_hash, k, n) of every row, and (classes) that may have a partner. Both written.
 
     Fragments and buckets follow the size of the texts, so that what one holds is bounded at any number of partitions.
     """
@@ -210,8 +223,8 @@ def sets_by_class(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame,
         return out
 
     counted = written(sent.groupBy("fragment").applyInArrow(counted_in, _COUNTED), "fragments")
-    members = counted.where("bucket is null").select("m_id", "m_text", "m_k1", "m_k2", "m_n").mapInArrow(_members, "doc_id long, text_hash long, k1 long, k2 long, n long")
-    dealt = counted.where("bucket is not null").drop("m_id", "m_text", "m_k1", "m_k2", "m_n").repartition(parts, "bucket")
+    members = counted.where("bucket is null").select("m_id", "m_text", "m_k", "m_n").mapInArrow(_members, "doc_id long, text_hash long, k long, n long")
+    dealt = counted.where("bucket is not null").drop("m_id", "m_text", "m_k", "m_n").repartition(parts, "bucket")
     return written(members, "members"), written(dealt.groupBy("bucket").applyInArrow(gathered_in, _CLASS), "classes")
 
 
@@ -310,15 +323,15 @@ def membership(docs: DataFrame, size: int, percent: int) -> DataFrame:
     component tells components apart even where one doc_id stands on several texts; it is null for empty sets.
     """
     members, classes = sets_by_class(docs.where("doc_id is not null"), size, percent)
-    firsts = members.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first"))
+    firsts = members.where("n > 0").groupBy("k", "n").agg(F.min("doc_id").alias("first"))
     # Classes are numbered in the order of their smallest documents, so a component's smallest class has its smallest document.
-    firsts = written(firsts.orderBy("first", "k1", "k2").withColumn("rep", F.monotonically_increasing_id()), "firsts")
-    reps = written(classes.join(firsts.drop("first"), ["k1", "k2"]), "reps")
+    firsts = written(firsts.orderBy("first", "k", "n").withColumn("rep", F.monotonically_increasing_id()), "firsts")
+    reps = written(classes.join(firsts.drop("first"), ["k", "n"]), "reps")
     roots = _links_by_rounds(reps, percent).where("node <> root").join(firsts.select(F.col("rep").alias("root"), F.col("first").alias("low")), "root")
     placed = firsts.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    placed = written(placed.select("k1", "k2", F.coalesce("root", "rep").alias("component"), F.coalesce("low", "first").alias("component_id")), "placed")
+    placed = written(placed.select("k", "n", F.coalesce("root", "rep").alias("component"), F.coalesce("low", "first").alias("component_id")), "placed")
     blank = members.where("n = 0").select("doc_id", "text_hash", "n", F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("component_id"))
-    return members.where("n > 0").join(placed, ["k1", "k2"]).select("doc_id", "text_hash", "n", "component", "component_id").unionByName(blank)
+    return members.where("n > 0").join(placed, ["k", "n"]).select("doc_id", "text_hash", "n", "component", "component_id").unionByName(blank)
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
@@ -333,7 +346,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     sequence if it has fewer. Two documents link if 100 * intersection >= percent * union. component_id is the smallest
     doc_id reachable by links. A null, empty or blank text has an empty set and is its own component. A row without doc_id
     takes no part: its size is 0 and its component null. Repeated rows come out as often as they went in; unlike texts under one doc_id
-    are documents of their own. N-grams are 64-bit hashes and classes 96-bit digests.
+    are documents of their own. N-grams are 64-bit hashes; a class is a 64-bit digest and the size
+    of its set.
     """
     rows = _hashed(docs)
     found = membership(rows, size, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
