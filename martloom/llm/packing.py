@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.llm.ngram_join import slices
+from martloom.llm.shared import release
 from martloom.llm.token_records import ENCODED_BYTES, _encoder
 
 #: Windows that a group of remainders fills.
@@ -210,13 +211,14 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 204
         end = np.array([end_id], dtype=encoder.kind)
         for batch in batches:
             for part in slices(batch, "text", ENCODED_BYTES):
-                for name, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text").to_pylist()), strict=True):
+                for name, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text")), strict=True):
                     packer.add(name, np.concatenate((np.frombuffer(ids, dtype=encoder.kind), end)))
                     if packer.tokens >= BATCH_TOKENS:
                         yield packer.taken()
         packer.close()
         gc.enable()
         yield packer.taken()
+        release()
 
     return rows.mapInArrow(pack, _PIECE)
 

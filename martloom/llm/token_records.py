@@ -19,17 +19,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.ngram_join import slices
-from martloom.llm.shared import partitions, shared_folder, written
+from martloom.llm.shared import partitions, release, shared_folder, written
 
 FILE_BYTES = 8 << 20
 #: Words, and pieces of them with marks, whose ids a worker remembers, up to 200 bytes each; text encoded at a time.
-REMEMBERED, ENCODED_BYTES = 900_000, 4 << 20
+REMEMBERED, ENCODED_BYTES = 400_000, 4 << 20
 #: Words of letters that are encoded in one text.
 JOINED = 256
 NO_ID = -(1 << 63)
@@ -42,8 +43,9 @@ def masked(data: bytes) -> int:
 
 
 class Encoder:
-    """Whole texts to ids as bytes. The tokenizer never joins text across the start of a single space after a word, so a text
-    is encoded piece by piece, and pieces seen before are looked up. A text with white space after a space goes whole."""
+    """Whole texts to ids as bytes. The tokenizer never joins text across the start of a single space after a word, nor across a
+    line's end between two words, so a text is encoded piece by piece, and pieces seen before are looked up, each once for all
+    texts of a call. A text with white space after a space goes whole."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -51,28 +53,30 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.spaced[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        self.words: dict[str, bytes] = {}
+        self.opens: dict[str, np.ndarray] = {}
+        for lead, byte in ((" ", "\u0120"), ("\n", "\u010a")):
+            self.opens[lead] = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.opens[lead][[i for token, i in vocabulary.items() if token.startswith(byte)]] = True
+        self.words: dict[str, dict[str, bytes]] = {lead: {} for lead in self.opens}
         self.pieces: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
-    def _learn(self, words: list[str], joined: int) -> None:
-        """Words after a space each, several in one text if they have letters only: then each begins at a token with a space."""
+    def _learn(self, words: list[str], lead: str, joined: int) -> None:
+        """Words after `lead` each, several in one text if they have letters only: then each begins at a token with `lead`."""
         width = np.dtype(self.kind).itemsize
         texts = [words[i : i + joined] for i in range(0, len(words), joined)]
-        for group, e in zip(texts, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in texts], add_special_tokens=False), strict=True):
+        for group, e in zip(texts, self.tokenizer.encode_batch_fast([lead + lead.join(g) for g in texts], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, dtype=self.kind)
-            begins = np.flatnonzero(self.spaced[ids]) if len(group) > 1 else np.zeros(1, np.int64)
+            begins = np.flatnonzero(self.opens[lead][ids]) if len(group) > 1 else np.zeros(1, np.int64)
             if len(begins) != len(group):
-                self._learn(group, 1)
+                self._learn(group, lead, 1)
                 continue
             data, bounds = ids.tobytes(), [*(begins * width).tolist(), len(ids) * width]
             for w, a, b in zip(group, bounds[:-1], bounds[1:], strict=True):
-                self.words[w] = data[a:b]
+                self.words[lead][w] = data[a:b]
 
     @staticmethod
     def _letters(piece: str) -> str:
@@ -80,40 +84,80 @@ class Encoder:
         letters = piece.rstrip(_PUNCTUATION)
         return letters if letters.isalpha() else piece
 
-    def _add(self, pieces: list[str]) -> None:
-        """Remember ids of pieces after a space: those of their letters and those of the marks that end them."""
-        for known in (self.words, self.marks):
-            if len(known) > REMEMBERED:
-                known.clear()
-        new = {w for w in map(self._letters, pieces) if w not in self.words}
-        self._learn([w for w in new if w.isalpha()], JOINED)
-        self._learn([w for w in new if not w.isalpha()], 1)
-        for p in pieces:
-            w = self._letters(p)
+    def _ids(self, pieces: list[str], lead: str) -> list[bytes]:
+        """Ids of pieces after `lead`: those of their letters and those of the marks that end them."""
+        known, marks = self.words[lead], self.marks
+        letters = [self._letters(p) for p in pieces]
+        new = {w for w in letters if w not in known}
+        self._learn([w for w in new if w.isalpha()], lead, JOINED)
+        self._learn([w for w in new if not w.isalpha()], lead, 1)
+        out = []
+        for p, w in zip(pieces, letters, strict=True):
             if len(w) == len(p):
-                self.pieces[p] = self.words[w]
+                out.append(known[w])
             else:
                 mark = p[len(w) :]
-                if mark not in self.marks:
-                    self.marks[mark] = self.whole(mark)
-                self.pieces[p] = self.words[w] + self.marks[mark]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        new: set[str] = set()
-        for s in split:
-            new.update(s)
-        apart = {p for p in new if not p or p[0].isspace()}
+                if mark not in marks:
+                    marks[mark] = self.whole(mark)
+                out.append(known[w] + marks[mark])
+        return out
+
+    @staticmethod
+    def _lines(piece: str) -> list[str]:
+        """The piece's lines, if no white space stands beside the ends of lines; else all of it."""
+        lines = piece.split("\n")
+        return lines if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines) else [piece]
+
+    def _add(self, pieces: list[str]) -> None:
+        """Remember ids of pieces after a space."""
+        for known in (*self.words.values(), self.marks):
+            if len(known) > REMEMBERED:
+                known.clear()
+        plain = [p for p in pieces if "\n" not in p]
+        lines = [self._lines(p) for p in pieces if "\n" in p]
+        self.pieces.update(zip(plain, self._ids(plain, " "), strict=True))
+        first, later = [x[0] for x in lines], list({x for own in lines for x in own[1:]})
+        after = dict(zip(later, self._ids(later, "\n"), strict=True))
+        for own, ids in zip(lines, self._ids(first, " "), strict=True):
+            self.pieces["\n".join(own)] = b"".join([ids, *map(after.__getitem__, own[1:])])
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text; there are no nulls among `texts`."""
+        split = pc.split_pattern(texts, " ")
+        ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+        coded = split.flatten().dictionary_encode()
+        distinct, code = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         if len(self.pieces) > REMEMBERED:
             self.pieces.clear()
-        self._add([p for p in new if p not in self.pieces and p not in apart])
-        out = []
-        for text, s in zip(texts, split, strict=True):
-            rest = s[1:]
-            if apart and not apart.isdisjoint(rest):
-                out.append(self.whole(text))
+        ids = list(map(self.pieces.get, distinct))
+        apart = np.zeros(len(distinct), dtype=bool)
+        new = []
+        for i in [i for i, known in enumerate(ids) if known is None]:
+            if not distinct[i] or distinct[i][0].isspace():
+                apart[i], ids[i] = True, b""
             else:
-                out.append((self.whole(s[0]) if s[0] else b"") + b"".join(map(self.pieces.__getitem__, rest)))
+                new.append(i)
+        self._add([distinct[i] for i in new])
+        for i in new:
+            ids[i] = self.pieces[distinct[i]]
+        # A text's first piece has no space before it. Its ids stand behind those of all pieces.
+        begin = ends - np.diff(ends, prepend=0)
+        first = [distinct[i] for i in code[begin].tolist()]
+        code = code.astype(np.int64)
+        code[begin] = len(ids) + np.arange(len(begin))
+        ids += [self.whole(x) if x else b"" for x in first]
+        places = np.flatnonzero(np.concatenate((apart, np.zeros(len(begin), dtype=bool)))[code])
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // np.dtype(self.kind).itemsize
+        start = np.cumsum(size) - size
+        upto = np.cumsum(size[code])
+        data = np.frombuffer(b"".join(ids), dtype=self.kind)
+        at = np.repeat(start[code] - upto + size[code], size[code])
+        at += np.arange(len(at))
+        data = data[at]
+        bounds = [0, *upto[ends - 1].tolist()]
+        out = [data[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        for t in np.unique(np.searchsorted(ends, places, "right")).tolist():
+            out[t] = self.whole(texts[t].as_py())
         return out
 
 
@@ -179,10 +223,11 @@ def write_records(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0)
         end = np.array([end_id], dtype=encoder.kind).tobytes()
         for batch in batches:
             for part in slices(batch, "text", ENCODED_BYTES):
-                for name, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text").to_pylist()), strict=True):
+                for name, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text")), strict=True):
                     writer.add(name, ids + end, width)
         writer.close()
         gc.enable()
+        release()
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in writer.made], pa.int64()) for i in range(4)], ["task", "file", "records", "tokens"])
 
     return written(ranged.mapInArrow(write, "task long, file long, records long, tokens long"), "record-files")

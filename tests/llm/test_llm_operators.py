@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import difference
 from conftest import SMALL
@@ -145,6 +146,32 @@ def test_token_records(spark, docs):
     assert sorted(tuple(r) for r in got.collect()) == want
 
 
+def test_encoder_learns_words_of_lines_apart():
+    """A word that ends a line and one that begins the next are learned once each, not once for every pair of them."""
+    from public_tokenizers import path
+
+    encoder = token_records.Encoder(path("byte_bpe_50k.json"))
+    own, seen = encoder.tokenizer, []
+
+    class Counted:
+        def encode(self, text, **more):
+            seen.append(text)
+            return own.encode(text, **more)
+
+        def encode_batch_fast(self, texts, **more):
+            seen.extend(texts)
+            return own.encode_batch_fast(texts, **more)
+
+    texts = [f"so it {a}.\n{b}, then" for a in ("ends", "été", "x1", "stops") * 3 for b in ("Next", "The", "B2", "Über", "And") * 3]
+    texts += ["a \nb c", "a\n b c", "a b\n\nc", "a b\n", "\na", "a b\nc\nd'\ns e", "x <|endoftext|>\ny", "a b\r\nc", "a b\x85\nc", "", " ", "a  b"]
+    want = [np.array(own.encode(t, add_special_tokens=False).ids, dtype=encoder.kind).tobytes() for t in texts]
+    encoder.tokenizer = Counted()
+    for _ in range(2):
+        assert encoder.encode(pa.array(texts)) == want
+    assert not [t for t in seen if ".\n" in t and t.endswith(("Next,", "The,", "B2,"))]
+    assert encoder.encode(pa.array([], pa.string())) == []
+
+
 def test_record_files(spark, tmp_path):
     from public_tokenizers import path
 
