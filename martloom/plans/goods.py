@@ -85,9 +85,15 @@ def goods_history(versions: DataFrame, time: str = "created_at", order: str | No
     until = F.date_sub(F.lead("_from").over(w), 1)
     rows = changed.withColumn("_until", until).select("product_id", "_from", "_until", "_v.*")
     still = F.col("_until").isNull()
-    return goods_info(rows, carried=("_until",)).withColumns(
-        {"end_date": F.coalesce("_until", F.lit(OPEN_END).cast("date")), "is_active": F.when(still, 1).otherwise(0)}
-    ).drop("_until")
+    # The start is the day already at hand: read from `created_at` it would make the versions a wider table here than for
+    # the price range, and Spark would shuffle them once for each.
+    return goods_info(rows, carried=("_from", "_until")).withColumns(
+        {
+            "start_date": F.col("_from"),
+            "end_date": F.coalesce("_until", F.lit(OPEN_END).cast("date")),
+            "is_active": F.when(still, 1).otherwise(0),
+        }
+    ).drop("_from", "_until")
 
 
 def refreshed_goods(state: DataFrame, current: DataFrame, as_of: datetime | Column) -> DataFrame:

@@ -125,6 +125,22 @@ def test_order_days_are_looked_up(spark, tmp_path):
         wh.compact("order_days")
 
 
+def test_goods_history_shuffles_versions_once(spark):
+    """The price range of a line and its versions are read from one shuffle of the versions."""
+    rows = [("1", "n", "b", "c", "s", i, "", "", f"2024-01-0{i}") for i in range(1, 4)]
+    versions = spark.createDataFrame(rows, "product_id string, name string, brand string, category string, sub_category string, price int, image_url string, keywords string, day string")
+    versions = versions.withColumn("price", F.col("price").cast("decimal(15,2)")).withColumn("created_at", F.col("day").cast("timestamp"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        history = goods.goods_history(versions).select("sku_id", "spu_name", "sku_price", "price_min", "price_max", "start_date", "end_date", "is_active")
+        plan = history._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning(product_id" in line and "ReusedExchange" not in line]
+    assert len(shuffled) == 2, plan
+
+
 def test_goods_history_and_its_job(spark, tmp_path):
     fields = "product_id string, name string, brand string, category string, sub_category string, price decimal(15,2), image_url string, keywords string, created_at timestamp, n int"
     rows = [("1", "x", 5, 1, 0), ("1", "x", 6, 3, 0), ("1", "x", 6, 4, 0), ("1", "y", 6, 7, 1), ("1", "z", 6, 7, 2), ("1", "x", 5, 9, 0), ("2", "x", 9, 2, 0)]
