@@ -22,7 +22,7 @@ from martloom.llm.shared import release, written
 from martloom.llm.text_arrays import ALPHANUMERIC, Words
 
 WINDOW = 13
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 2 << 20
 #: (window, item) pairs that go to the executors at once, some 120 bytes each; more take one pass over the shards for each part.
 PART_PAIRS = 1 << 17
 SAMPLED = 8

@@ -121,3 +121,33 @@ def test_stages(spark, documents):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
+
+
+def test_python_work_holds_little():
+    """Numpy's memory at its highest while 6 MB of text go through the classifier's features and the benchmark's index."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from martloom.llm import decontaminate, ngram_join, site_quality
+    from martloom.llm.text_arrays import ALPHANUMERIC, Words
+
+    rng = np.random.default_rng(3)
+    words = np.array([f"w{i}" for i in range(2000)])
+    batch = pa.RecordBatch.from_arrays([pa.array([" ".join(words[rng.integers(0, 2000, 1000)]) for _ in range(1100)])], ["text"])
+    hashes = Words(pa.array([" ".join(words[:1900])]), ALPHANUMERIC).hash
+    windows = pa.table({"words": pa.array([hashes[i : i + 13].tobytes() for i in range(0, 1880, 13)], pa.binary()), "item_id": pa.array(range(0, 1880, 13))})
+    phrases = decontaminate.Phrases.of(windows, 13)
+
+    def peak(work, most):
+        tracemalloc.start()
+        for part in ngram_join.slices(batch, "text", most):
+            work(part.column("text"))
+        held = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return held >> 20
+
+    assert peak(site_quality.features, site_quality.MEASURED_BYTES) < 60
+    assert peak(lambda texts: decontaminate._found(texts, phrases), decontaminate.SHARD_BYTES) < 90
+    assert peak(lambda texts: decontaminate._found(texts, phrases), 6 << 20) > 100
