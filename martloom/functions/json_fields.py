@@ -19,7 +19,7 @@ DOCUMENTED_TIMESTAMP = (
 
 
 def _path(name: str) -> str:
-    return f"$.{name}"
+    return f"$.{name}" if name else "$"
 
 
 def _json_type(doc: Column, name: str) -> Column:
@@ -34,16 +34,32 @@ def _is_number(doc: Column, name: str, from_text: bool) -> Column:
 
 def raw_text(doc: Column, name: str) -> Column:
     """The field as text; NULL when missing, null or empty."""
-    return F.nullif(F.try_variant_get(doc, _path(name), "string"), F.lit(""))
+    return text(doc, name, None)
+
+
+def blank_to(value: Column, default: str | None = "") -> Column:
+    """A text already read, ``default`` when missing, null or empty."""
+    given = F.nullif(value, F.lit(""))
+    return given if default is None else F.coalesce(given, F.lit(default))
+
+
+def fields(doc: Column, kinds: str) -> Column:
+    """Many fields in one pass, each read as its own path would read it; NULL unless ``doc`` is an object.
+
+    ``kinds`` is a struct type. A field of a nested struct is NULL where the message has no object in its place.
+    """
+    return F.try_variant_get(doc, "$", kinds)
 
 
 def text(doc: Column, name: str, default: str | None = "") -> Column:
-    value = raw_text(doc, name)
-    return value if default is None else F.coalesce(value, F.lit(default))
+    return blank_to(F.try_variant_get(doc, _path(name), "string"), default)
 
 
 def number_or_null(doc: Column, name: str, from_text: bool = False) -> Column:
-    """A JSON number as a wide decimal, NULL for every other type; ``from_text`` also reads numeric texts."""
+    """A JSON number as a wide decimal, NULL for every other type; ``from_text`` also reads numeric texts.
+
+    With an empty ``name`` the document is the value itself.
+    """
     return F.when(_is_number(doc, name, from_text), F.try_variant_get(doc, _path(name), "decimal(38,10)"))
 
 
@@ -90,6 +106,6 @@ def list_of(doc: Column, name: str) -> Column:
     return F.try_variant_get(doc, _path(name), "array<variant>")
 
 
-def present(doc: Column, name: str) -> Column:
-    """True when the field holds an object."""
-    return F.coalesce(_json_type(doc, name).startswith("OBJECT"), F.lit(False))
+def list_size(doc: Column, name: str) -> Column:
+    """Length of a JSON array, 0 for anything else. Its elements are read as flags, whatever they are, so none is copied."""
+    return F.coalesce(F.array_size(F.try_variant_get(doc, _path(name), "array<boolean>")), F.lit(0))

@@ -19,6 +19,15 @@ from martloom.functions.vocabulary import (
 )
 
 
+#: An order's header without what is also asked for alone. Amounts keep their JSON type.
+ORDER_HEADER = """struct<buyer: struct<name: string, phone: string, email: string>,
+    shipping_address: struct<province: string, city: string, district: string, detail: string, postal_code: string,
+        recipient_name: string, recipient_phone: string>,
+    payment: struct<method: string, amount: variant, paid_at: string>,
+    logistics: struct<company: string, tracking_number: string, shipped_at: string, estimated_delivery: string>,
+    order_amount: variant, discount: variant, actual_amount: variant, remark: string>"""
+
+
 def load_time(as_of: datetime | Column) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
 
@@ -89,39 +98,43 @@ def order_rows(
     stamp = load_time(as_of)
     if keep_delivery_date is None:
         keep_delivery_date = defaults.keep_delivery_date
-    flat = docs.withColumn("order_status", order_status(F.col("doc"), defaults))
     d, typed = F.col("doc"), defaults.numbers_from_text
+    flat = docs.withColumns({"order_status": order_status(d, defaults), "_header": J.fields(d, ORDER_HEADER)})
     cancelled = F.col("order_status") == CANCELLED
-    paid = ~cancelled & J.present(d, "payment")
-    sent = F.col("order_status").isin(*DISPATCHED_STATES) & J.present(d, "logistics")
-    delivery = J.raw_text(d, "logistics.estimated_delivery")
+
+    def h(name: str) -> Column:
+        return F.col(f"_header.{name}")
+
+    paid = ~cancelled & h("payment").isNotNull()
+    sent = F.col("order_status").isin(*DISPATCHED_STATES) & h("logistics").isNotNull()
+    delivery = h("logistics.estimated_delivery")
     return flat.select(
         J.text(d, "order_id", defaults.order_id).alias("order_id"),
-        J.text(d, "buyer.name").alias("buyer_name"),
-        J.text(d, "buyer.phone").alias("buyer_phone"),
-        J.text(d, "buyer.email").alias("buyer_email"),
-        J.text(d, "shipping_address.province").alias("province"),
-        J.text(d, "shipping_address.city").alias("city"),
-        J.text(d, "shipping_address.district").alias("district"),
-        J.text(d, "shipping_address.detail").alias("address_detail"),
-        J.text(d, "shipping_address.postal_code").alias("postal_code"),
-        J.text(d, "shipping_address.recipient_name").alias("recipient_name"),
-        J.text(d, "shipping_address.recipient_phone").alias("recipient_phone"),
+        J.blank_to(h("buyer.name")).alias("buyer_name"),
+        J.blank_to(h("buyer.phone")).alias("buyer_phone"),
+        J.blank_to(h("buyer.email")).alias("buyer_email"),
+        J.blank_to(h("shipping_address.province")).alias("province"),
+        J.blank_to(h("shipping_address.city")).alias("city"),
+        J.blank_to(h("shipping_address.district")).alias("district"),
+        J.blank_to(h("shipping_address.detail")).alias("address_detail"),
+        J.blank_to(h("shipping_address.postal_code")).alias("postal_code"),
+        J.blank_to(h("shipping_address.recipient_name")).alias("recipient_name"),
+        J.blank_to(h("shipping_address.recipient_phone")).alias("recipient_phone"),
         "order_status",
-        F.when(paid, J.raw_text(d, "payment.method")).alias("payment_method"),
-        F.when(paid, J.money(d, "payment.amount", typed)).alias("payment_amount"),
-        F.when(paid, J.timestamp(d, "payment.paid_at", stamp)).alias("payment_time"),
-        F.when(sent, J.raw_text(d, "logistics.company")).alias("logistics_company"),
-        F.when(sent, J.raw_text(d, "logistics.tracking_number")).alias("tracking_number"),
-        F.when(sent, J.timestamp(d, "logistics.shipped_at", stamp)).alias("shipped_at"),
+        F.when(paid, J.blank_to(h("payment.method"), None)).alias("payment_method"),
+        F.when(paid, J.money(h("payment.amount"), "", typed)).alias("payment_amount"),
+        F.when(paid, F.coalesce(J.live_timestamp(h("payment.paid_at")), stamp)).alias("payment_time"),
+        F.when(sent, J.blank_to(h("logistics.company"), None)).alias("logistics_company"),
+        F.when(sent, J.blank_to(h("logistics.tracking_number"), None)).alias("tracking_number"),
+        F.when(sent, F.coalesce(J.live_timestamp(h("logistics.shipped_at")), stamp)).alias("shipped_at"),
         (F.when(sent, F.substring(delivery, 1, 10).try_cast("date")) if keep_delivery_date else F.lit(None).cast("date"))
         .alias("estimated_delivery"),
-        J.money(d, "order_amount", typed).alias("order_amount"),
-        J.money(d, "discount", typed).alias("discount"),
-        F.when(cancelled, F.lit(0).cast(MONEY)).otherwise(J.money(d, "actual_amount", typed)).alias("actual_amount"),
+        J.money(h("order_amount"), "", typed).alias("order_amount"),
+        J.money(h("discount"), "", typed).alias("discount"),
+        F.when(cancelled, F.lit(0).cast(MONEY)).otherwise(J.money(h("actual_amount"), "", typed)).alias("actual_amount"),
         (item_count(d) if items is None else items).alias("item_count"),
         J.timestamp(d, "created_at", stamp).alias("created_at"),
-        J.raw_text(d, "remark").alias("remark"),
+        J.blank_to(h("remark"), None).alias("remark"),
         stamp.alias("load_time"),
         *_carried(docs),
     )
@@ -129,7 +142,7 @@ def order_rows(
 
 def item_count(doc: Column) -> Column:
     """Length of the item list; the message's own count is not trusted."""
-    return F.coalesce(F.array_size(J.list_of(doc, "items")), F.lit(0))
+    return J.list_size(doc, "items")
 
 
 def item_rows(docs: DataFrame, as_of: datetime | Column, defaults: Defaults = DOCUMENTED) -> DataFrame:

@@ -121,6 +121,35 @@ def test_missing_nested_objects(spark, as_of):
     assert row.created_at == as_of
 
 
+def test_header_is_read_in_one_pass_as_its_paths_are(spark, as_of):
+    odd = [None, "", "x", 5, 2.5, True, [], [{"name": "n"}], {}, {"name": 1, "method": ["m"], "paid_at": None, "company": {"a": 1}}]
+    odd += [{"name": None, "amount": "7", "city": False, "shipped_at": "2024-01-02T00:00:00"}, {"Name": "other"}, "12.5", 10**20]
+    names = ("buyer", "shipping_address", "payment", "logistics", "order_amount", "discount", "actual_amount", "remark")
+    given = docs(spark, {}, {"order_id": "o"}, *[{n: v} for n in names for v in odd], *[dict.fromkeys(names, v) for v in odd])
+    read = given.select("doc", J.fields(F.col("doc"), detail.ORDER_HEADER).alias("h"))
+    for path in ("buyer.name", "shipping_address.city", "payment.method", "payment.paid_at", "logistics.company", "remark"):
+        alone = F.try_variant_get("doc", f"$.{path}", "string")
+        assert read.filter(~alone.eqNullSafe(F.col(f"h.{path}"))).count() == 0, path
+    for path in ("payment.amount", "order_amount", "discount", "actual_amount"):
+        alone = F.to_json(F.try_variant_get("doc", f"$.{path}", "variant"))
+        assert read.filter(~alone.eqNullSafe(F.to_json(F.col(f"h.{path}")))).count() == 0, path
+    rows = detail.order_rows(given, as_of)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "$.buyer.name" not in plan and "$.payment" not in plan and "$.logistics" not in plan
+    assert rows.filter(F.col("buyer_name") == "1").count() == 2
+    assert rows.filter(F.col("payment_method") == '["m"]').count() == 2
+    assert rows.filter(F.col("payment_amount") == 7).count() == 2
+    assert rows.filter(F.col("payment_amount").isNotNull()).count() == 2 * sum(isinstance(v, dict) for v in odd)
+    assert sorted({r.order_amount for r in rows.collect()}) == [Decimal(x) for x in ("0.00", "2.50", "5.00", "12.50")]
+
+
+def test_length_of_lists_of_anything(spark):
+    lists = [[], [1], [None, "x", {}, [1, 2], True], {"a": 1}, "text", None, 3]
+    given = docs(spark, *[{"items": v} for v in lists], {}).select(J.list_size(F.col("doc"), "items").alias("n"))
+    assert [r.n for r in given.collect()] == [0, 1, 5, 0, 0, 0, 0, 0]
+    assert "ArrayType(VariantType" not in given._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_items(spark, as_of):
     live = detail.item_rows(docs(spark, ORDER, {"order_id": "empty", "items": []}), as_of, LIVE).collect()
     assert [(r.item_no, r.product_id, r.quantity, r.sales_volume, r.subtotal) for r in live] == [
