@@ -89,7 +89,7 @@ def arrival(batch: int) -> Column:
 
 def nonempty(messages: DataFrame) -> DataFrame:
     """Drop null and empty payloads."""
-    return messages.filter(F.length("value") > 0)
+    return messages.filter(F.col("value") != "")
 
 
 def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -102,8 +102,12 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """Add ``doc``, the message as a VARIANT; NULL unless the text is one JSON object."""
-    is_object = F.btrim("value", F.lit(" \t\r\n")).startswith("{")
+    """Add ``doc``, the message as a VARIANT; NULL unless the text is one JSON object.
+
+    Only the blanks in front are taken off to see how the text begins: those behind it would be looked for from its first
+    character on.
+    """
+    is_object = F.ltrim("value", F.lit(" \t\r\n")).startswith("{")
     return computed_once(messages, "doc", F.when(is_object, F.try_parse_json("value")))
 
 
@@ -116,7 +120,7 @@ def with_reject_reason(parsed: DataFrame, required: tuple[str, ...] = (), items:
     for name in required:
         reason = reason.when(J.raw_text(F.col("doc"), name).isNull(), f"missing_{name}")
     if items:
-        count = F.coalesce(F.array_size(J.list_of(F.col("doc"), "items")), F.lit(0))
+        count = J.list_size(F.col("doc"), "items")
         reason = reason.when(count <= 0, "no_items")
     return parsed.withColumn("reason", reason)
 

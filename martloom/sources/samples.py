@@ -252,7 +252,8 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
 
     Each message has the order's header and a ``part`` named by its line's own numbers, so an order of any size is sent the
     same way, no order's items are gathered in one place, and a message reads the same whenever it is made. An exact copy of
-    a line is the same message once more.
+    a line is the same message once more. What the messages of an order have in common is written as JSON once, before the
+    items are joined.
     """
     rows = items(spark, folder)
     odd_quantity = F.pmod(F.col("order_id").cast("bigint"), F.lit(23)) == 4
@@ -276,11 +277,11 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
     code = F.create_map(*[F.lit(x) for word, name in STATE_CODES.items() for x in (name, word)])[F.col("order_status")]
     placed = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss")
     rounded_up = F.col("order_amount") + F.lit("0.005").cast("decimal(4,3)")
-    fields = F.struct(
+    first = F.struct(
         "order_id",
         F.when(every(31, 8), "").when(every(3, 0), code).otherwise(F.col("order_status")).alias("order_status"),
-        "part",
-        F.when(~every(29, 6), F.col("items")).alias("items"),
+    )
+    rest = F.struct(
         F.lit(99).alias("item_count"),
         F.when(every(10, 4), rounded_up).otherwise(F.col("order_amount")).alias("order_amount"),
         F.lit(0).alias("discount"),
@@ -318,10 +319,22 @@ def order_feed(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("logistics"),
         F.when(every(7, 2), "unknown").otherwise(placed).alias("created_at"),
     )
-    facts = _order_facts(spark, folder)
+    heads = _order_facts(spark, folder).select(
+        "o_orderkey",
+        "order_id",
+        F.regexp_replace(F.to_json(first), r"\}$", ',"part":"').alias("opening"),
+        F.regexp_replace(F.to_json(rest), r"^\{", ",").alias("closing"),
+    )
+    # A part is made of numbers and a day, or "none", so nothing in it needs an escape.
     part = F.concat_ws("-", *[F.col(c).cast("string") for c in LINE_ORDER])
-    sent = facts.join(rows.select("order_id", F.array(item).alias("items"), part.alias("part")), "order_id", "left")
-    sent = sent.withColumn("part", F.coalesce("part", F.lit("none")))
+    sent = heads.join(rows.select("order_id", F.array(item).alias("items"), part.alias("part")), "order_id", "left")
+    listed = F.to_json(F.when(~every(29, 6), F.col("items")))
+    text = F.concat(
+        "opening",
+        F.coalesce("part", F.lit("none")),
+        F.lit('"'),
+        F.coalesce(F.concat(F.lit(',"items":'), listed), F.lit("")),
+        "closing",
+    )
     value = _damaged(F.col("text"), every(37, 9), every(50, 49))
-    texts = sent.select("o_orderkey", F.to_json(fields).alias("text"))
-    return computed_once(texts, "value", value).select("value")
+    return computed_once(sent.select("o_orderkey", text.alias("text")), "value", value).select("value")

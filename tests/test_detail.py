@@ -7,7 +7,7 @@ from decimal import Decimal
 from martloom.functions import json_fields as J
 from martloom.functions.vocabulary import DOCUMENTED, LIVE
 from martloom.plans import detail
-from martloom.sources import feeds
+from martloom.sources import feeds, samples
 from pyspark.sql import functions as F
 
 
@@ -150,6 +150,40 @@ def test_length_of_lists_of_anything(spark):
     assert "ArrayType(VariantType" not in given._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_begin_of_messages(spark):
+    texts = [" \t\r\n{}", "{} \n", "{", "}", " ", "x{}", "\u00a0{}", "{}{}", " [] "]
+    parsed = feeds.parse(feeds.nonempty(messages(spark, *texts, "", None)))
+    assert [r.value for r in parsed.filter("doc IS NOT NULL").collect()] == [" \t\r\n{}", "{} \n", "{}{}"]
+    plan = feeds.parse(messages(spark, "{}"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "ltrim" in plan and " trim(" not in plan
+
+
+def test_headers_of_the_order_feed_are_written_before_items_are_joined(spark, tmp_path):
+    def table(name, schema, *rows):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    day = datetime(2024, 1, 1)
+    table("region", "r_regionkey int, r_name string", (1, "R"))
+    table("nation", "n_nationkey int, n_name string, n_regionkey int", (1, "N", 1))
+    table("customer", "c_custkey long, c_name string, c_nationkey int, c_mktsegment string", (1, 'C "}{"', 1, None))
+    orders = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    table("orders", orders, (1, 1, "O", 9.5, day, "p"), (2, 1, None, None, None, None), (None, 1, "F", 1.0, day, "p"), (6, 1, "O", 1.0, day, "p"))
+    table("part", "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double", (1, "}", None, "t", 1, 2.0))
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate date"
+    bought = [(o, 1, 3, n, 2.0, 4.0, day.date()) for o, n in ((1, 1), (1, 1), (1, 2), (6, 1))]
+    table("lineitem", line, *bought, (2, 1, None, None, None, None, None))
+    feed = samples.order_feed(spark, str(tmp_path))
+    sent = [json.loads(r.value) for r in feed.collect()]
+    assert sorted((m.get("order_id", "-"), m["part"], len(m.get("items", []))) for m in sent) == [
+        ("-", "none", 0), ("1", "1-3-4.00-2-2024-01-01", 1), ("1", "1-3-4.00-2-2024-01-01", 1), ("1", "2-3-4.00-2-2024-01-01", 1),
+        ("2", "", 1), ("6", "1-3-4.00-2-2024-01-01", 0),
+    ]
+    assert {m["buyer"]["name"] for m in sent} == {'C "}{"'}
+    assert [list(m) for m in sent if m.get("order_id") == "1"][0][:5] == ["order_id", "order_status", "part", "items", "item_count"]
+    above, below = feed._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter", 1)
+    assert "date_format" in below and "date_format" not in above
+
+
 def test_items(spark, as_of):
     live = detail.item_rows(docs(spark, ORDER, {"order_id": "empty", "items": []}), as_of, LIVE).collect()
     assert [(r.item_no, r.product_id, r.quantity, r.sales_volume, r.subtotal) for r in live] == [
